@@ -136,7 +136,7 @@ def _all_outcomes(w: Workspace) -> DataFrame:
 
 
 def _all_rows(w: Workspace) -> DataFrame:
-    return _once(w, "rows", lambda: reduce(DataFrame.unionAll, [engine.row_result(w.checked(t).evaluated, t) for t in mapping.TABLES]))
+    return engine.row_results(_all_outcomes(w))
 
 
 _kept: dict[tuple[int, str], DataFrame] = {}
@@ -150,7 +150,7 @@ def _once(w: Workspace, name: str, make: Callable[[], DataFrame]) -> DataFrame:
 
 
 def _dq_rows(w: Workspace, table: str) -> DataFrame:
-    return w.checked(table).evaluated.select(*_keys(table), engine.reason_text().alias("broken_rules"))
+    return w.checked(table).evaluated.select(*_keys(table), engine.reason_text(RULES[table]).alias("broken_rules"))
 
 
 def _silver(w: Workspace, table: str) -> DataFrame:
@@ -174,18 +174,19 @@ def _foreign_keys(w: Workspace) -> DataFrame:
 
 
 def _fk_rows(w: Workspace) -> DataFrame:
-    rows = engine.evaluate_rows(w.source("transactions"), foreign_key_rules("transactions"), {"accounts": w.silver("accounts")})
-    return rows.select("txn_id", "account_id", engine.reason_text().alias("broken_rules"))
+    rules = foreign_key_rules("transactions")
+    rows = engine.evaluate_rows(w.source("transactions"), rules, {"accounts": w.silver("accounts")})
+    return rows.select("txn_id", "account_id", engine.reason_text(rules).alias("broken_rules"))
 
 
 def _formats(w: Workspace) -> DataFrame:
     rows = engine.evaluate_rows(w.source("customers"), FORMAT_RULES)
-    return rows.select("customer_id", engine.reason_text().alias("broken_rules"))
+    return rows.select("customer_id", engine.reason_text(FORMAT_RULES).alias("broken_rules"))
 
 
 def _catalog_rules(w: Workspace) -> DataFrame:
     rules = rules_from_catalog(CATALOG["transactions"])
-    return engine.evaluate_rules(w.source("transactions"), rules, "transactions", "2025-03-01").drop("run_date")
+    return engine.evaluate_rules(w.source("transactions"), rules, "transactions", "2025-03-01").drop("run_date", "failed_rows")
 
 
 def _reprocess(w: Workspace) -> DataFrame:
@@ -351,12 +352,10 @@ def _checks_report(w: Workspace) -> DataFrame:
 
 
 def _inventory(w: Workspace) -> DataFrame:
-    w.all_gold()
     return lakes.zone_inventory(w.spark, w.lake.base)
 
 
 def _registered(w: Workspace) -> DataFrame:
-    w.all_gold()
     names = lakes.register_zone(w.lake, "gold", list(WAREHOUSE), "gold_")
     counts = [w.spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n.removeprefix("gold_")).alias("table_name"), "row_count") for n in names]
     return reduce(DataFrame.unionAll, counts)
@@ -372,7 +371,7 @@ def builds() -> dict[str, Build]:
     for t in mapping.TABLES:
         q[f"bronze_audit_{t}"] = lambda w, t=t: _bronze(w, t)
         q[f"dq_rows_{t}"] = lambda w, t=t: _dq_rows(w, t)
-        q[f"dq_rules_{t}"] = lambda w, t=t: _outcomes(w, t).drop("run_date")
+        q[f"dq_rules_{t}"] = lambda w, t=t: _outcomes(w, t).drop("run_date", "failed_rows")
         q[f"silver_{t}"] = lambda w, t=t: _silver(w, t)
         q[f"quarantine_{t}"] = lambda w, t=t: _quarantine(w, t)
     for t in WAREHOUSE:

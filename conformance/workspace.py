@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property
 
@@ -11,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conformance import mapping
-from tellerlake.plans import aggregates, dims, facts
+from tellerlake.plans.nightly import SORTED_BY, STAGES, gold_plan
 from tellerlake.plans.silver import SPEC, SilverResult, build_silver
 from tellerlake.schemas import WAREHOUSE
-from tellerlake.session import shared_dir
+from tellerlake.session import in_parallel, scratch_path, settle
 from tellerlake.sources.lake import Lake
 
 RUN_TS = datetime(2025, 3, 1)
@@ -32,9 +30,13 @@ class Workspace:
 
     @cached_property
     def lake(self) -> Lake:
-        mark = hashlib.md5(self.sf_dir.encode()).hexdigest()[:12]
-        app = self.spark.sparkContext.applicationId
-        return Lake(self.spark, f"{shared_dir(self.spark)}/tellerlake-{app}/lake-{mark}")
+        """Lake with silver and gold tables published."""
+        lake = Lake(self.spark, scratch_path(self.spark, "lake"))
+        for name in mapping.TABLES:
+            lake.append(self.silver(name), "silver", name)
+        for name, df in self.all_gold().items():
+            lake.replace(df, "gold", name)
+        return lake
 
     def source(self, name: str) -> DataFrame:
         return mapping.source(self.spark, self.sf_dir, name)
@@ -51,50 +53,28 @@ class Workspace:
     def silver(self, name: str) -> DataFrame:
         """Written silver table."""
         if name not in self._silver:
-            self._silver[name] = self.lake.replace(self.checked(name).silver, "silver", name)
+            self._silver[name] = settle(self.checked(name).silver, f"silver-{name}")
         return self._silver[name]
 
     def plan(self, name: str) -> DataFrame:
         """Lazy plan of a gold table over written ones."""
-        start, end = CALENDAR
-        makers: dict[str, Callable[[], DataFrame]] = {
-            "dim_date": lambda: dims.build_dim_date(self.spark, start, end),
-            "dim_branch": lambda: dims.build_dim_branch(self.silver("branches"), RUN_TS),
-            "dim_customer": lambda: dims.build_dim_customer(self.silver("customers"), self.gold("dim_branch"), RUN_TS),
-            "dim_account": lambda: dims.build_dim_account(
-                self.silver("accounts"), self.gold("dim_customer"), self.gold("dim_branch"), RUN_TS
-            ),
-            "fact_transactions": lambda: facts.build_fact_transactions(
-                self.silver("transactions"), self.gold("dim_account"), self.gold("dim_date"), RUN_TS
-            ),
-            "fact_payments": lambda: facts.build_fact_payments(
-                self.silver("payment_gateway_logs"), self.gold("dim_date"), RUN_TS
-            ),
-            "fact_credit_risk": lambda: facts.build_fact_credit_risk(
-                self.silver("credit_bureau_reports"), self.gold("dim_customer"), self.gold("dim_date"), RUN_TS
-            ),
-            "agg_daily_balances": lambda: aggregates.agg_daily_balances(
-                self.gold("fact_transactions"), self.gold("dim_account"), RUN_TS
-            ),
-            "agg_monthly_summary": lambda: aggregates.agg_monthly_summary(
-                self.gold("fact_transactions"), self.gold("dim_branch"), RUN_TS
-            ),
-            "agg_branch_performance": lambda: aggregates.agg_branch_performance(
-                self.gold("fact_transactions"), self.gold("dim_branch"), RUN_TS
-            ),
-            "agg_customer_360": lambda: aggregates.agg_customer_360(self.gold("fact_transactions"), RUN_TS),
-        }
-        return makers[name]()
+        return gold_plan(name, self.silver, self.gold, self.spark, RUN_TS, CALENDAR)
 
     def gold(self, name: str) -> DataFrame:
         """Written gold table, built with what it needs on first use."""
         if name not in self._gold:
             plan = self.plan(name)
-            day = {"fact_transactions": "txn_date", "fact_payments": "txn_date"}.get(name)
-            self._gold[name] = self.lake.replace(plan.sortWithinPartitions(day) if day else plan, "gold", name)
+            day = SORTED_BY.get(name)
+            self._gold[name] = settle(plan.sortWithinPartitions(day) if day else plan, f"gold-{name}")
         return self._gold[name]
 
+    def all_silver(self) -> dict[str, DataFrame]:
+        return in_parallel({t: lambda t=t: self.silver(t) for t in mapping.TABLES})
+
     def all_gold(self) -> dict[str, DataFrame]:
+        self.all_silver()
+        for stage in STAGES:
+            in_parallel({t: lambda t=t: self.gold(t) for t in stage})
         return {t: self.gold(t) for t in WAREHOUSE}
 
 

@@ -9,15 +9,15 @@ from tellerlake.operators.skew import keyed_join, with_keys, without_keys
 from tellerlake.operators.windows import carry_forward
 
 
-def join_dim(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, key: str, spread: bool = True) -> DataFrame:
     """Inner join to one dimension; facts of the unknown member (key 0) drop out."""
-    return keyed_join(fact, dim, [key], "inner")
+    return keyed_join(fact, dim, [key], "inner", spread)
 
 
-def star_join(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def star_join(fact: DataFrame, dims: dict[str, DataFrame], spread: bool = True) -> DataFrame:
     """Inner joins to several dimensions, given by key column."""
     for key, dim in dims.items():
-        fact = join_dim(fact, dim, key)
+        fact = join_dim(fact, dim, key, spread)
     return fact
 
 

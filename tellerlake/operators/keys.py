@@ -7,18 +7,33 @@ from pyspark.sql import functions as F
 
 from tellerlake.functions.hashing import row_hash
 from tellerlake.operators.skew import without_keys
+from tellerlake.session import settle
+
+
+_ROWS_PER_BUCKET = 1_000_000
+_MAX_DIGITS = 5
+
+
+def _digits(rows: int) -> int:
+    """Hex characters that cut ``rows`` into buckets of about a million."""
+    digits = 1
+    while digits < _MAX_DIGITS and rows > _ROWS_PER_BUCKET * 16**digits:
+        digits += 1
+    return digits
 
 
 def assign_sk(
-    df: DataFrame, natural_key: list[str], name: str, start: int = 0, as_type: str = "bigint", digits: int = 3
+    df: DataFrame, natural_key: list[str], name: str, start: int = 0, as_type: str = "bigint", digits: int | None = None
 ) -> DataFrame:
     """Number the rows of a frame with a unique natural key, densely from ``start + 1``.
 
     Rows are numbered in the order of the MD5 of their key. Its first ``digits`` hex characters cut
     the rows into 16**digits buckets of equal size whatever the keys look like, so every bucket is
     numbered on its own and only the bucket counts (16**digits rows at most) are summed up.
-    The numbers do not depend on ``digits``.
+    The numbers do not depend on ``digits``, which by default follows from the number of rows. Pass
+    a written table: its keys are read twice, once for the counts.
     """
+    digits = digits or _digits(df.count())
     digest, bucket = "_digest", "_bucket"
     hashed = row_hash(*natural_key)
     counts = df.groupBy(F.substring(hashed, 1, digits).alias(bucket)).agg(F.count(F.lit(1)).alias("_n"))
@@ -41,6 +56,6 @@ def extend_sk(existing: DataFrame, incoming: DataFrame, natural_key: list[str],
     """Key map after a load: known keys keep their number, new ones continue after the highest."""
     known = existing.select(name, *natural_key)
     top = known.agg(F.max(name)).first()[0] or 0
-    fresh = without_keys(incoming.select(*natural_key).distinct(), known, natural_key)
+    fresh = settle(without_keys(incoming.select(*natural_key).distinct(), known, natural_key), "fresh")
     as_type = existing.schema[name].dataType.simpleString()
     return known.unionByName(assign_sk(fresh, natural_key, name, start=top, as_type=as_type))

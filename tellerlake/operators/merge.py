@@ -14,11 +14,14 @@ from tellerlake.operators.windows import duplicate_keys, latest
 def union_loads(loads: list[DataFrame], pk: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
     """All loads of a source by column name; with a key, only the latest row of each key."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loads)
-    return latest(rows, pk, order or pk) if pk else rows
+    return dedupe(rows, pk, order or pk) if pk else rows
 
 
 def dedupe(df: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
-    """Latest row per key when few keys repeat: only rows of repeated keys are shuffled whole."""
+    """Latest row per key when few keys repeat: only rows of repeated keys are shuffled whole.
+
+    Rows without a key are not compared with each other and stay.
+    """
     repeated, single = split_by_keys(df, duplicate_keys(df, pk), pk)
     return single.unionByName(latest(repeated, pk, order))
 

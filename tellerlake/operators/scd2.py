@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.functions.hashing import row_hash
-from tellerlake.operators.skew import split_by_keys
+from tellerlake.operators.skew import hot_keys, split_by_keys
 from tellerlake.operators.windows import changed, latest, validity
 
 SCD_COLUMNS = ["effective_from", "effective_to", "is_current"]
@@ -18,8 +18,9 @@ def scd2(history: DataFrame, key: list[str], tracked: list[str], ts: str, segmen
     Two states with the same time count as one (the one with the greater fingerprint); a state that
     repeats the tracked attributes of its predecessor opens no version.
     """
+    hot = hot_keys(history, key)
     states = latest(history, [*key, ts], [ts]).withColumn("attr_hash", row_hash(*tracked))
-    return validity(changed(states, key, ts, "attr_hash", segment), key, ts, segment)
+    return validity(changed(states, key, ts, "attr_hash", segment, hot), key, ts, segment, hot)
 
 
 def scd2_apply(

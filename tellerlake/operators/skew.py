@@ -60,11 +60,14 @@ def salted_join(
     return spread.join(copied, [*on, _SALT], how).drop(_SALT)
 
 
-def keyed_join(many: DataFrame, one: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+def keyed_join(
+    many: DataFrame, one: DataFrame, on: list[str], how: str = "left", spread: bool = True
+) -> DataFrame:
     """Join ``many`` with a frame that has at most one row per key.
 
     ``one`` is broadcast only if its measured size stays below the limit; otherwise both sides are
-    shuffled and hot keys of ``many`` (a missing key included) are spread.
+    shuffled and hot keys of ``many`` (a missing key included) are spread. ``spread=False`` skips the
+    search for hot keys where the rows per key are known to be few, as after a grouping.
     """
     spark = many.sparkSession
     one = one.withColumns({k: F.col(k).cast(many.schema[k].dataType) for k in on})
@@ -74,7 +77,7 @@ def keyed_join(many: DataFrame, one: DataFrame, on: list[str], how: str = "left"
         return many.withColumns({f.name: F.lit(None).cast(f.dataType) for f in rest})
     if size <= setting(spark, BROADCAST_BYTES):
         return many.join(F.broadcast(one), on, how)
-    hot = hot_keys(many, on)
+    hot = hot_keys(many, on) if spread else []
     if not hot:
         return many.join(one, on, how)
     return salted_join(many, one, on, how, hot, setting(spark, FANOUT))

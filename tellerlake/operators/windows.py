@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tellerlake.functions.hashing import row_hash
-from tellerlake.operators.skew import keyed_join
+from tellerlake.operators.skew import hot_keys, keyed_join
 
 
 def latest(df: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the greatest by ``order``; ties go to the greatest row fingerprint.
+    """One row per key, the greatest by ``order`` and, among equals, by its other columns.
 
     An aggregate and no window: every map task reduces its rows first, so a hot key stays small.
     """
-    rank = F.struct(*order, row_hash(*df.columns))
-    best = df.groupBy(*pk).agg(F.max_by(F.struct(*df.columns), rank).alias("_row"))
-    return best.select("_row.*")
+    rest = [c for c in df.columns if c not in order]
+    best = df.groupBy(*pk).agg(F.max(F.struct(*order, *rest)).alias("_row"))
+    return best.select(*[F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,48 +41,53 @@ def carry_forward(
     segment: Column,
     inclusive: bool = False,
     backward: bool = False,
+    hot: list[int] | None = None,
 ) -> DataFrame:
     """Last non-null ``value`` before each row (or next one after it, with ``backward``) per key.
 
-    Rows are sorted within (key, segment) only. The last value of every segment forms a small
-    table, one row per key and segment, from which a segment takes what came before it.
+    Keys with few rows are one window each. Hot keys (looked up here unless given) are cut along
+    time: rows are sorted within (key, segment) only, the last value of every segment forms a small
+    table with one row per key and segment, and a segment takes from there what came before it.
     ``segment`` must not decrease along ``order``.
     """
-    seg, carried = "_segment", "_carried"
-    cut = df.withColumn(seg, segment)
+    hot = hot_keys(df, keys) if hot is None else hot
     sort = [F.desc(c) if backward else F.asc(c) for c in order]
-    inside = Window.partitionBy(*keys, seg).orderBy(*sort)
-    inside = inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    to = 0 if inclusive else -1
+
+    def last_in(window: WindowSpec) -> Column:
+        frame = window.orderBy(*sort).rowsBetween(Window.unboundedPreceding, to)
+        return F.last(value, ignorenulls=True).over(frame)
+
+    if not hot:
+        return df.withColumn(out, last_in(Window.partitionBy(*keys)))
+    is_hot = F.xxhash64(*keys).isin(hot)
+    plain = df.filter(~is_hot).withColumn(out, last_in(Window.partitionBy(*keys)))
 
+    seg, carried = "_segment", "_carried"
+    cut = df.filter(is_hot).withColumn(seg, segment)
     pick = F.min_by if backward else F.max_by
     rank = F.when(F.col(value).isNotNull(), F.struct(*order))
     edges = cut.groupBy(*keys, seg).agg(pick(F.col(value), rank).alias(carried))
     across = Window.partitionBy(*keys).orderBy(F.desc(seg) if backward else F.asc(seg))
     across = across.rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.withColumn(carried, F.last(carried, ignorenulls=True).over(across))
-
-    local = cut.withColumn(out, F.last(value, ignorenulls=True).over(inside))
-    joined = local.join(edges, [*keys, seg], "left")
-    return joined.withColumn(out, F.coalesce(out, carried)).select(*df.columns, out)
+    local = cut.withColumn(out, last_in(Window.partitionBy(*keys, seg)))
+    joined = local.join(edges, [*keys, seg], "left").withColumn(out, F.coalesce(out, carried))
+    return plain.unionByName(joined.select(*df.columns, out))
 
 
-def previous(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, segment: Column) -> DataFrame:
-    return carry_forward(df, keys, order, value, out, segment)
-
-
-def following(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, segment: Column) -> DataFrame:
-    return carry_forward(df, keys, order, value, out, segment, backward=True)
-
-
-def changed(df: DataFrame, pk: list[str], ts: str, hash_col: str, segment: str = "month") -> DataFrame:
+def changed(
+    df: DataFrame, pk: list[str], ts: str, hash_col: str, segment: str = "month", hot: list[int] | None = None
+) -> DataFrame:
     """Versions that differ from the one before them, first versions included."""
-    seen = previous(df, pk, [ts], hash_col, "_before", F.date_trunc(segment, F.col(ts)))
+    seen = carry_forward(df, pk, [ts], hash_col, "_before", F.date_trunc(segment, F.col(ts)), hot=hot)
     return seen.filter(F.col("_before").isNull() | (F.col("_before") != F.col(hash_col))).drop("_before")
 
 
-def validity(df: DataFrame, pk: list[str], ts: str, segment: str = "month") -> DataFrame:
+def validity(df: DataFrame, pk: list[str], ts: str, segment: str = "month", hot: list[int] | None = None) -> DataFrame:
     """Add effective_from, effective_to (NULL while open) and is_current to the versions of a key."""
-    ended = following(df, pk, [ts], ts, "effective_to", F.date_trunc(segment, F.col(ts)))
+    cut = F.date_trunc(segment, F.col(ts))
+    ended = carry_forward(df, pk, [ts], ts, "effective_to", cut, backward=True, hot=hot)
     return ended.withColumn("effective_from", F.col(ts)).withColumn(
         "is_current", F.col("effective_to").isNull().cast("int")
     )

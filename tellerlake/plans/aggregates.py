@@ -57,7 +57,7 @@ def finish(df: DataFrame, table: str, run_ts: datetime) -> DataFrame:
 
 def agg_daily_balances(fact: DataFrame, dim_account: DataFrame, run_ts: datetime) -> DataFrame:
     days = roll(transaction_measures(fact), ["account_sk", "txn_date"], _SUMS)
-    named = keyed_join(days, dim_account.select("account_sk", "account_id"), ["account_sk"])
+    named = keyed_join(days, dim_account.select("account_sk", "account_id"), ["account_sk"], spread=False)
     out = named.withColumns(
         {
             "total_credit": F.col("credits"),
@@ -75,7 +75,7 @@ def agg_monthly_summary(fact: DataFrame, dim_branch: DataFrame, run_ts: datetime
     accounts = roll(months, ["branch_sk", "year_month", "account_sk"], _SUMS)
     counted = accounts.withColumn("active_accounts", F.lit(1).cast("bigint"))
     per_month = roll(counted, ["branch_sk", "year_month"], [*_SUMS, "active_accounts"])
-    named = keyed_join(per_month, dim_branch.select("branch_sk", "branch_code", "branch_name"), ["branch_sk"])
+    named = keyed_join(per_month, dim_branch.select("branch_sk", "branch_code", "branch_name"), ["branch_sk"], spread=False)
     out = named.withColumns(
         {
             "total_txn_volume": F.col("volume"),

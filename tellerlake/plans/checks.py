@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake.functions.masking import MASKS, PAN_TAIL, UNKNOWN
-from tellerlake.quality.engine import FAILED_RULES, PASSED
+from tellerlake.quality.engine import HELPERS
 
 CHECK_SCHEMA = "table_name string, check_name string, failures bigint, rows bigint, status string"
 
@@ -87,7 +87,7 @@ def check_bronze(df: DataFrame, table: str, min_rows: int) -> DataFrame:
 
 def check_silver(df: DataFrame, table: str, min_rows: int) -> DataFrame:
     """Raw personal data and helper columns are gone, and only passed rows are left."""
-    leftovers = [c for c in (*MASKS, FAILED_RULES, PASSED) if c in df.columns]
+    leftovers = [c for c in (*MASKS, *HELPERS) if c in df.columns]
     checks = {
         "min_rows": row_range(min_rows),
         "dq_status": F.count_if(F.coalesce(F.col("dq_status") != "PASSED", F.lit(True))),

@@ -12,6 +12,7 @@ from tellerlake.operators.joins import current, lookup_sk
 from tellerlake.operators.keys import assign_sk
 from tellerlake.operators.scd2 import scd2
 from tellerlake.schemas import warehouse_columns
+from tellerlake.session import settle
 
 # Default calendar range.
 CALENDAR_START = date(2020, 1, 1)
@@ -52,14 +53,14 @@ def calendar_of(dates: DataFrame, column: str, fiscal_year_mode: str = "ending")
 
 
 def build_dim_branch(silver: DataFrame, run_ts: datetime) -> DataFrame:
-    versions = scd2(silver, ["branch_code"], TRACKED["dim_branch"], "created_at")
+    versions = settle(scd2(silver, ["branch_code"], TRACKED["dim_branch"], "created_at"), "versions")
     keyed = assign_sk(versions, ["branch_code", "effective_from"], "branch_sk", as_type="int")
     return stamp(keyed.withColumn("source_created_at", F.col("created_at")), run_ts).select(*columns_of("dim_branch"))
 
 
 def build_dim_customer(silver: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
     """Customer versions with the key of their current branch."""
-    versions = scd2(silver, ["customer_id"], TRACKED["dim_customer"], "updated_at")
+    versions = settle(scd2(silver, ["customer_id"], TRACKED["dim_customer"], "updated_at"), "versions")
     keyed = assign_sk(versions, ["customer_id", "effective_from"], "customer_sk", as_type="int")
     placed = lookup_sk(keyed, current(dim_branch), ["branch_code"], ["branch_sk"])
     named = placed.withColumns(
@@ -73,7 +74,7 @@ def build_dim_customer(silver: DataFrame, dim_branch: DataFrame, run_ts: datetim
 
 
 def build_dim_account(silver: DataFrame, dim_customer: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
-    versions = scd2(silver, ["account_id"], TRACKED["dim_account"], "updated_at")
+    versions = settle(scd2(silver, ["account_id"], TRACKED["dim_account"], "updated_at"), "versions")
     keyed = assign_sk(versions, ["account_id", "effective_from"], "account_sk", as_type="int")
     owned = lookup_sk(keyed, current(dim_customer), ["customer_id"], ["customer_sk"])
     placed = lookup_sk(owned, current(dim_branch), ["branch_code"], ["branch_sk"])

@@ -9,13 +9,14 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake.operators.merge import dedupe
 from tellerlake.plans import aggregates, dims, facts
 from tellerlake.plans.silver import SPEC, build_silver
-from tellerlake.quality.engine import dq_gate, enforce_gate, row_result
+from tellerlake.quality.engine import dq_gate, enforce_gate, row_results
+from tellerlake.session import in_parallel, settle
 from tellerlake.sources.lake import Lake, require_rows
 from tellerlake.sources.landing import Batch, add_audit_columns
 from tellerlake.sources.state import LOAD_POLICY, append_run_log
@@ -78,9 +79,10 @@ def refine(run: Run, table: str, halt: bool = True) -> int:
     spec = SPEC[table]
     result = build_silver(todays(run, "bronze", table), spec, run.run_ts)
     lake = run.lake
-    lake.append_json(result.outcomes, "dq_results")
+    outcomes = settle(result.outcomes, "outcomes")
+    lake.append_json(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results")
     if halt:
-        enforce_gate(dq_gate(row_result(result.evaluated, table), result.outcomes))
+        enforce_gate(dq_gate(row_results(outcomes), outcomes))
     by = list(spec.partition_by)
     lake.append(result.quarantine, "quarantine", table, ["load_date"] if by else None)
     lake.append(result.silver, "silver", table, by)
@@ -95,35 +97,76 @@ def silver_of(lake: Lake, table: str) -> DataFrame:
     return rows
 
 
-def build_gold(lake: Lake, run_ts: datetime, calendar: tuple[date, date] | None = None, run: Run | None = None) -> dict[str, DataFrame]:
-    """Dimensions, facts and aggregates in dependency order, each published as a new version."""
-    gold: dict[str, DataFrame] = {}
-
-    def put(name: str, make: Callable[[], DataFrame], sort: str | None = None) -> None:
-        def work() -> int:
-            df = make()
-            # Clustered by day inside each file, so day filters skip row groups.
-            gold[name] = lake.replace(df.sortWithinPartitions(sort) if sort else df, "gold", name)
-            return gold[name].count()
-
-        if run is None:
-            work()
-        elif not run.step("gold", name, work):
-            raise RuntimeError(f"{name} is needed by later tables")
-
-    start, end = calendar or (dims.CALENDAR_START, dims.CALENDAR_END)
-    put("dim_date", lambda: dims.build_dim_date(lake.spark, start, end))
-    put("dim_branch", lambda: dims.build_dim_branch(silver_of(lake, "branches"), run_ts))
-    put("dim_customer", lambda: dims.build_dim_customer(silver_of(lake, "customers"), gold["dim_branch"], run_ts))
-    put("dim_account", lambda: dims.build_dim_account(silver_of(lake, "accounts"), gold["dim_customer"], gold["dim_branch"], run_ts))
-    put("fact_transactions", lambda: facts.build_fact_transactions(silver_of(lake, "transactions"), gold["dim_account"], gold["dim_date"], run_ts), "txn_date")
-    put("fact_payments", lambda: facts.build_fact_payments(silver_of(lake, "payment_gateway_logs"), gold["dim_date"], run_ts), "txn_date")
-    put("fact_credit_risk", lambda: facts.build_fact_credit_risk(silver_of(lake, "credit_bureau_reports"), gold["dim_customer"], gold["dim_date"], run_ts), "bureau_pull_date")
-    put("agg_daily_balances", lambda: aggregates.agg_daily_balances(gold["fact_transactions"], gold["dim_account"], run_ts), "txn_date")
-    put("agg_monthly_summary", lambda: aggregates.agg_monthly_summary(gold["fact_transactions"], gold["dim_branch"], run_ts))
-    put("agg_branch_performance", lambda: aggregates.agg_branch_performance(gold["fact_transactions"], gold["dim_branch"], run_ts))
-    put("agg_customer_360", lambda: aggregates.agg_customer_360(gold["fact_transactions"], run_ts))
-    return gold
+# Gold tables that can be built side by side, in dependency order.
+STAGES = (
+    ("dim_date", "dim_branch"),
+    ("dim_customer",),
+    ("dim_account",),
+    ("fact_transactions", "fact_payments", "fact_credit_risk"),
+    ("agg_daily_balances", "agg_monthly_summary", "agg_branch_performance", "agg_customer_360"),
+)
+# Clustered by day inside each file, so that day filters skip row groups.
+SORTED_BY = {
+    "fact_transactions": "txn_date",
+    "fact_payments": "txn_date",
+    "fact_credit_risk": "bureau_pull_date",
+    "agg_daily_balances": "txn_date",
+}
+
+
+def gold_plan(
+    name: str,
+    silver: Callable[[str], DataFrame],
+    gold: Callable[[str], DataFrame],
+    spark: SparkSession,
+    run_ts: datetime,
+    calendar: tuple[date, date],
+) -> DataFrame:
+    """Plan of one gold table over the written tables it needs."""
+    if name == "dim_date":
+        return dims.build_dim_date(spark, *calendar)
+    if name == "dim_branch":
+        return dims.build_dim_branch(silver("branches"), run_ts)
+    if name == "dim_customer":
+        return dims.build_dim_customer(silver("customers"), gold("dim_branch"), run_ts)
+    if name == "dim_account":
+        return dims.build_dim_account(silver("accounts"), gold("dim_customer"), gold("dim_branch"), run_ts)
+    if name == "fact_transactions":
+        return facts.build_fact_transactions(silver("transactions"), gold("dim_account"), gold("dim_date"), run_ts)
+    if name == "fact_payments":
+        return facts.build_fact_payments(silver("payment_gateway_logs"), gold("dim_date"), run_ts)
+    if name == "fact_credit_risk":
+        return facts.build_fact_credit_risk(silver("credit_bureau_reports"), gold("dim_customer"), gold("dim_date"), run_ts)
+    if name == "agg_daily_balances":
+        return aggregates.agg_daily_balances(gold("fact_transactions"), gold("dim_account"), run_ts)
+    if name == "agg_monthly_summary":
+        return aggregates.agg_monthly_summary(gold("fact_transactions"), gold("dim_branch"), run_ts)
+    if name == "agg_branch_performance":
+        return aggregates.agg_branch_performance(gold("fact_transactions"), gold("dim_branch"), run_ts)
+    if name == "agg_customer_360":
+        return aggregates.agg_customer_360(gold("fact_transactions"), run_ts)
+    raise ValueError(f"unknown gold table {name!r}")
+
+
+def build_gold(run: Run, calendar: tuple[date, date] | None = None) -> dict[str, DataFrame]:
+    """Dimensions, facts and aggregates stage by stage, each published as a new version.
+
+    A table that fails stops the stages after it; the former versions stay published.
+    """
+    lake, span = run.lake, calendar or (dims.CALENDAR_START, dims.CALENDAR_END)
+    done: dict[str, DataFrame] = {}
+
+    def put(name: str) -> int:
+        plan = gold_plan(name, lambda t: silver_of(lake, t), done.__getitem__, lake.spark, run.run_ts, span)
+        day = SORTED_BY.get(name)
+        done[name] = lake.replace(plan.sortWithinPartitions(day) if day else plan, "gold", name)
+        return done[name].count()
+
+    for stage in STAGES:
+        finished = in_parallel({t: lambda t=t: run.step("gold", t, lambda: put(t)) for t in stage})
+        if not all(finished.values()):
+            raise RuntimeError(f"gold tables failed: {', '.join(t for t, ok in finished.items() if not ok)}")
+    return done
 
 
 def run_nightly(
@@ -135,15 +178,19 @@ def run_nightly(
 ) -> dict[str, DataFrame]:
     """One run over all sources; the run log is written even if a step fails.
 
-    Returns the gold tables. Sources that fail are logged as failed and the others go on.
+    Returns the gold tables. Sources are refined side by side; one that fails is logged as failed
+    and the others go on.
     """
     run_ts = datetime.combine(parse_run_date(run_date), datetime.min.time())
     run = Run(lake, run_ts, uuid.uuid4().hex, [])
+
+    def load(table: str, source: DataFrame) -> None:
+        if run.step("bronze", table, lambda: ingest(run, table, source)):
+            run.step("silver", table, lambda: refine(run, table, halt_on_critical))
+
     try:
-        for table, source in sources.items():
-            if run.step("bronze", table, lambda t=table, s=source: ingest(run, t, s)):
-                run.step("silver", table, lambda t=table: refine(run, t, halt_on_critical))
-        gold = build_gold(lake, run_ts, calendar, run)
+        in_parallel({t: lambda t=t, s=s: load(t, s) for t, s in sources.items()})
+        gold = build_gold(run, calendar)
         run.step("warehouse", "load", lambda: load_all(lake, gold).agg(F.sum("rows")).first()[0])
     finally:
         append_run_log(lake, run.log)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tellerlake.functions.measures import pct
 from tellerlake.operators.aggregates import distribution, distribution_avg, kpi, row_counts, top_k
 from tellerlake.operators.joins import current, join_dim, star_join
-from tellerlake.operators.skew import fanout_join
 from tellerlake.plans.views import vw_branch_performance, vw_daily_txn_summary, vw_payment_channel_analysis
 
 Gold = Mapping[str, DataFrame]
@@ -26,14 +25,14 @@ def _volume(fact: DataFrame, *keys: str) -> DataFrame:
 def quarterly_amount(gold: Gold, year: int) -> DataFrame:
     """Q5: amount per quarter of a year."""
     dates = gold["dim_date"].filter(F.col("year") == year).select("date_sk", "year", "quarter")
-    per_day = join_dim(_volume(gold["fact_transactions"], "date_sk"), dates, "date_sk")
+    per_day = join_dim(_volume(gold["fact_transactions"], "date_sk"), dates, "date_sk", spread=False)
     return per_day.groupBy("year", "quarter").agg(F.sum("volume").alias("total_amount"))
 
 
 def branch_volume(gold: Gold) -> DataFrame:
     """Q6: transactions and volume by branch and city, largest first."""
     branch = gold["dim_branch"].select("branch_sk", "branch_name", "city")
-    placed = join_dim(_volume(gold["fact_transactions"], "branch_sk"), branch, "branch_sk")
+    placed = join_dim(_volume(gold["fact_transactions"], "branch_sk"), branch, "branch_sk", spread=False)
     sums = placed.groupBy("branch_name", "city").agg(
         F.sum("txns").alias("txn_count"), F.sum("volume").alias("total_volume")
     )
@@ -76,7 +75,7 @@ def star_top_branches(gold: Gold, k: int = 5) -> DataFrame:
         "date_sk": gold["dim_date"].select("date_sk"),
         "customer_sk": gold["dim_customer"].select("customer_sk"),
     }
-    sums = star_join(cells, dims).groupBy("branch_name").agg(
+    sums = star_join(cells, dims, spread=False).groupBy("branch_name").agg(
         F.sum("txns").alias("txn_count"), F.sum("volume").alias("total_volume")
     )
     return top_k(sums, "total_volume", k, ["branch_name"])
@@ -113,7 +112,7 @@ def customer_value_by_risk(gold: Gold, k: int = 10) -> DataFrame:
     people = current(gold["dim_customer"]).select("customer_sk", "customer_id")
     valued = spend.join(people, "customer_sk")
     bands = gold["fact_credit_risk"].filter("customer_sk != 0").select("customer_sk", "risk_band").distinct()
-    rows = fanout_join(valued, bands, ["customer_sk"]).select(
+    rows = valued.join(bands, "customer_sk", "left").select(
         "customer_id", "risk_band", F.col("volume").alias("total_transaction_value"), F.col("txns").alias("transaction_count")
     )
     return top_k(rows, "total_transaction_value", k, ["customer_id", "risk_band"])
@@ -165,7 +164,7 @@ def gateway_performance(gold: Gold) -> DataFrame:
 def weekend_volume(gold: Gold) -> DataFrame:
     """Q22: weekdays against weekends."""
     dates = gold["dim_date"].select("date_sk", "is_weekend")
-    per_day = join_dim(_volume(gold["fact_transactions"], "date_sk"), dates, "date_sk")
+    per_day = join_dim(_volume(gold["fact_transactions"], "date_sk"), dates, "date_sk", spread=False)
     return per_day.groupBy("is_weekend").agg(F.sum("txns").alias("txn_count"), F.sum("volume").alias("total_amount"))
 
 

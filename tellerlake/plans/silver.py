@@ -117,7 +117,7 @@ def build_silver(
             "quarantine_ts": ts,
             "dq_status": F.lit("FAILED"),
             "quarantine_reason": F.lit("DQ_RULE_FAILED"),
-            "broken_rules": reason_text(),
+            "broken_rules": reason_text(checked),
         }
     )
     quarantine = drop_helpers(reasons if keep_raw or not spec.masked else mask_pii(reasons))

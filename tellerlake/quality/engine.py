@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,36 +14,60 @@ from tellerlake.operators.skew import keyed_join
 from tellerlake.quality.rules import KeyRule, Rule
 from tellerlake.session import settle
 
-FAILED_RULES = "failed_rules"
+MASK = "broken_mask"
 PASSED = "dq_passed"
+HELPERS = (MASK, PASSED)
 
 
 def evaluate_rows(
     df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Add the names of the rules each row breaks, and whether it breaks none.
+    """Add a bit mask of the rules each row breaks (bit i for rule i), and whether it breaks none.
 
     Column rules are one projection. A key rule first finds its failing key values from the key
-    column alone; the (usually few) values are then joined to the rows.
+    column alone; the (usually few) values are then joined to the rows. The mask keeps the work per
+    row to integer arithmetic in generated code; names are spelled out by :func:`failed_rules`.
     """
+    if len(rules) > 62:
+        raise ValueError("at most 62 rules fit into the mask; split the rule set")
     marked, checks = df, []
     for i, rule in enumerate(rules):
         if isinstance(rule, KeyRule):
             flag, keys = f"_bad_{i}", list(rule.columns)
             bad = settle(rule.bad_keys(df, parents or {}).select(*keys), "bad-keys")
             marked = keyed_join(marked, bad.withColumn(flag, F.lit(True)), keys)
-            checks.append((rule.name, F.col(flag).isNull()))
+            checks.append(F.col(flag).isNull())
         else:
-            checks.append((rule.name, rule.row_ok()))
-    broken = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in checks]))
-    return marked.select(*df.columns, broken.alias(FAILED_RULES)).withColumn(PASSED, F.size(FAILED_RULES) == 0)
+            checks.append(rule.row_ok())
+    bits = [F.when(ok, F.lit(0)).otherwise(F.lit(1 << i)).cast("bigint") for i, ok in enumerate(checks)]
+    mask = reduce(Column.__add__, bits)
+    return marked.select(*df.columns, mask.alias(MASK)).withColumn(PASSED, F.col(MASK) == 0)
+
+
+def breaks(i: int) -> Column:
+    """Whether the row breaks rule ``i`` of its rule set."""
+    return F.col(MASK).bitwiseAND(F.lit(1 << i)) != 0
+
+
+def failed_rules(rules: Sequence[Rule]) -> Column:
+    """Names of the broken rules as an array."""
+    return F.array_compact(F.array(*[F.when(breaks(i), F.lit(r.name)) for i, r in enumerate(rules)]))
+
+
+def reason_text(rules: Sequence[Rule]) -> Column:
+    """Names of the broken rules, joined by commas."""
+    return F.concat_ws(",", *[F.when(breaks(i), F.lit(r.name)) for i, r in enumerate(rules)])
 
 
 def rule_outcomes(evaluated: DataFrame, rules: Sequence[Rule], table: str, run_date: str) -> DataFrame:
-    """One row per rule with the share of rows that keep it, from a single aggregate."""
+    """One row per rule with the share of rows that keep it, from a single aggregate.
+
+    ``failed_rows``, the same for all rules, counts the rows that break any of them.
+    """
     wide = evaluated.agg(
         F.count(F.lit(1)).alias("evaluated_rows"),
-        *[F.count_if(F.array_contains(FAILED_RULES, r.name)).alias(f"f{i}") for i, r in enumerate(rules)],
+        F.count_if(~F.col(PASSED)).alias("failed_rows"),
+        *[F.count_if(breaks(i)).alias(f"f{i}") for i in range(len(rules))],
     )
     long = F.array(
         *[
@@ -56,7 +81,8 @@ def rule_outcomes(evaluated: DataFrame, rules: Sequence[Rule], table: str, run_d
             for i, r in enumerate(rules)
         ]
     )
-    rows = wide.select("evaluated_rows", F.explode(long).alias("r")).select("r.*", "evaluated_rows")
+    totals = ["evaluated_rows", "failed_rows"]
+    rows = wide.select(*totals, F.explode(long).alias("r")).select("r.*", *totals)
     kept = (F.col("evaluated_rows") - F.col("failing_rows")).cast("decimal(18,0)")
     exact = F.coalesce(kept / F.nullif("evaluated_rows", F.lit(0)).cast("decimal(18,0)"), F.lit(1).cast("decimal(18,6)"))
     return rows.select(
@@ -70,6 +96,7 @@ def rule_outcomes(evaluated: DataFrame, rules: Sequence[Rule], table: str, run_d
         "failing_rows",
         F.round(exact, 6).cast("double").alias("ratio"),
         F.when(exact >= F.col("threshold").cast("decimal(18,6)"), "Passed").otherwise("Failed").alias("outcome"),
+        "failed_rows",
     )
 
 
@@ -85,11 +112,7 @@ def split(evaluated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:
-    return df.drop(FAILED_RULES, PASSED)
-
-
-def reason_text() -> Column:
-    return F.array_join(FAILED_RULES, ",")
+    return df.drop(*HELPERS)
 
 
 @dataclass(frozen=True)
@@ -148,10 +171,8 @@ def rule_pass_rate(outcomes: DataFrame) -> DataFrame:
     return counts.withColumn("rule_pass_pct", pct(F.col("rules_passed"), total))
 
 
-def row_result(evaluated: DataFrame, table: str) -> DataFrame:
-    """Evaluated and failed rows of one table."""
-    return evaluated.agg(
-        F.lit(table).alias("table_name"),
-        F.count(F.lit(1)).alias("evaluated_rows"),
-        F.count_if(~F.col(PASSED)).alias("failed_rows"),
+def row_results(outcomes: DataFrame) -> DataFrame:
+    """Evaluated and failed rows per table, out of the rule outcomes of a run."""
+    return outcomes.groupBy("table_name").agg(
+        F.max("evaluated_rows").alias("evaluated_rows"), F.max("failed_rows").alias("failed_rows")
     )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+T = TypeVar("T")
+
+
+def in_parallel(work: Mapping[str, Callable[[], T]], at_once: int = 8) -> dict[str, T]:
+    """Submit independent Spark jobs from several driver threads and wait for all of them.
+
+    Jobs of small tables fill the gaps that the last tasks of large ones leave.
+    """
+    with ThreadPoolExecutor(max_workers=min(at_once, max(1, len(work)))) as pool:
+        futures = {name: pool.submit(job) for name, job in work.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; everything of one application sits in one folder."""
     app = spark.sparkContext.applicationId

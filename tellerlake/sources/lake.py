@@ -84,7 +84,7 @@ class Lake:
     def replace(self, df: DataFrame, zone: str, table: str) -> DataFrame:
         version, rows = self.write_version(df, zone, table)
         self.publish(zone, table, version, rows)
-        return self.current(zone, table)
+        return self.spark.read.parquet(f"{self.path(zone, table)}/version={version}")
 
     def versions(self) -> DataFrame:
         """Version log, an empty one before the first publication."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tellerlake.quality.engine import evaluate_rows, reason_text
+from tellerlake.quality.engine import MASK, evaluate_rows, reason_text
 from tellerlake.quality.rules import ColumnRule, Rule
 
 
@@ -38,7 +38,7 @@ def stream_dq(
     checks = [r for r in rules if isinstance(r, ColumnRule)]
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = evaluate_rows(batch, checks).withColumn("broken_rules", reason_text()).drop("failed_rules")
+        rows = evaluate_rows(batch, checks).withColumn("broken_rules", reason_text(checks)).drop(MASK)
         rows = rows.persist()
         try:
             passed = rows.filter("dq_passed").drop("dq_passed", "broken_rules")
