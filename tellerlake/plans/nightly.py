@@ -80,7 +80,7 @@ def refine(run: Run, table: str, halt: bool = True) -> int:
     result = build_silver(todays(run, "bronze", table), spec, run.run_ts)
     lake = run.lake
     outcomes = settle(result.outcomes, "outcomes")
-    lake.append_json(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results")
+    lake.log(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results", "json")
     if halt:
         enforce_gate(dq_gate(row_results(outcomes), outcomes))
     by = list(spec.partition_by)

@@ -18,6 +18,9 @@ MASK = "broken_mask"
 PASSED = "dq_passed"
 HELPERS = (MASK, PASSED)
 
+OUTCOME_SCHEMA = """table_name string, run_date date, rule_no int, rule string, rule_kind string, threshold double,
+    failing_rows bigint, evaluated_rows bigint, ratio double, outcome string, failed_rows bigint"""
+
 
 def evaluate_rows(
     df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None

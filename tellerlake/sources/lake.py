@@ -62,11 +62,20 @@ class Lake:
         writer.parquet(path)
         return path
 
-    def append_json(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").json(self.path("metadata", table))
-
-    def read_json(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).json(self.path("metadata", table))
+    def log(self, df: DataFrame, table: str, kind: str = "parquet") -> None:
+        """Add rows to a metadata table. Every call writes a folder of its own: steps that run side
+        by side would otherwise share the temporary folder of the committer."""
+        df.write.format(kind).save(f"{self.path('metadata', table)}/entry={uuid.uuid4().hex}")
+
+    def read_log(self, table: str, schema: str, kind: str = "parquet") -> DataFrame:
+        """All rows of a metadata table, none before the first entry."""
+        reader = self.spark.read.format(kind).schema(schema).option("recursiveFileLookup", "true")
+        try:
+            return reader.load(self.path("metadata", table))
+        except Exception as missing:  # the analyzer reports an absent folder this way
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def write_version(self, df: DataFrame, zone: str, table: str) -> tuple[str, int]:
         """Write a new unpublished version; returns its name and its rows as read back."""
@@ -79,7 +88,7 @@ class Lake:
         row = self.spark.createDataFrame(
             [(zone, table, version, rows)], "zone string, table_name string, version string, rows bigint"
         ).withColumn("committed_at", F.current_timestamp())
-        row.coalesce(1).write.mode("append").parquet(self.path("metadata", "versions"))
+        self.log(row.coalesce(1), "versions")
 
     def replace(self, df: DataFrame, zone: str, table: str) -> DataFrame:
         version, rows = self.write_version(df, zone, table)
@@ -87,15 +96,8 @@ class Lake:
         return self.spark.read.parquet(f"{self.path(zone, table)}/version={version}")
 
     def versions(self) -> DataFrame:
-        """Version log, an empty one before the first publication."""
-        empty = self.spark.createDataFrame([], _VERSION_SCHEMA)
-        try:
-            log = self.spark.read.schema(_VERSION_SCHEMA).parquet(self.path("metadata", "versions"))
-        except Exception as missing:  # the analyzer reports an absent folder this way
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return empty
-        return log
+        """Log of published versions."""
+        return self.read_log("versions", _VERSION_SCHEMA)
 
     def current_path(self, zone: str, table: str) -> str | None:
         last = (

@@ -38,14 +38,7 @@ def _initial(lake: Lake) -> DataFrame:
 
 def read_watermarks(lake: Lake) -> DataFrame:
     """Latest state of every source. Each run appends a row; there is one row per source and run."""
-    states = _initial(lake)
-    try:
-        log = lake.read("metadata", "watermarks", WATERMARK_SCHEMA)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-    else:
-        states = states.unionByName(log)
+    states = _initial(lake).unionByName(lake.read_log("watermarks", WATERMARK_SCHEMA))
     return latest(states, ["source"], ["run_ts"])
 
 
@@ -67,7 +60,7 @@ def update_watermark(lake: Lake, source: str, loaded: DataFrame, batch_id: str,
         F.count(F.lit(1)).alias("rows_last_loaded"),
         F.lit(batch_id).alias("last_batch_id"),
     )
-    lake.append(state, "metadata", "watermarks")
+    lake.log(state, "watermarks")
 
 
 def high_water(lake: Lake, source: str) -> datetime:
@@ -96,11 +89,11 @@ def watermark_report(lake: Lake) -> DataFrame:
 
 
 def append_run_log(lake: Lake, rows: list[tuple]) -> None:
-    lake.append(lake.spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1), "metadata", "run_log")
+    lake.log(lake.spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1), "run_log")
 
 
 def read_run_log(lake: Lake) -> DataFrame:
-    return lake.read("metadata", "run_log", RUN_LOG_SCHEMA)
+    return lake.read_log("run_log", RUN_LOG_SCHEMA)
 
 
 def run_status(run_log: DataFrame) -> DataFrame:
