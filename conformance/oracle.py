@@ -334,6 +334,11 @@ def build() -> dict[str, str]:
         q[t] = _select(shape, t)
     q["dim_date"] = _select(_CALENDAR, "calendar")
     q["scd2_customer"] = q["scd2_customer_batch"] = _select(_VERSION, "version_rows")
+    known, fresh = "updated_at < timestamp '2024-04-01'", "updated_at >= timestamp '2024-04-01'"
+    q["scd2_customer_stable_keys"] = f"""SELECT cast(coalesce(k.sk, n.sk) AS int) AS customer_sk, v.{_fmt(_VERSION)} FROM version_rows v
+        LEFT JOIN (SELECT customer_id, updated_at, {_sk('customer_id', 'updated_at')} AS sk FROM history WHERE {known}) k ON v.customer_id = k.customer_id AND v.effective_from = k.updated_at
+        LEFT JOIN (SELECT customer_id, updated_at, {_sk('customer_id', 'updated_at')} + (SELECT count(*) FROM history WHERE {known}) AS sk FROM history WHERE {fresh}) n
+        ON v.customer_id = n.customer_id AND v.effective_from = n.updated_at"""
     q["current_customer_versions"] = _select(_VERSION, "version_rows") + " WHERE is_current = 1"
     q["changed_customer_versions"] = _select("customer_id branch_code kyc_status t:updated_at", "changes")
     q["asof_customer_version"] = """SELECT o_orderkey, o_custkey + 1 AS customer_id, v.branch_code AS branch_code, v.kyc_status AS kyc_status
@@ -457,6 +462,9 @@ def build() -> dict[str, str]:
     q["upsert_accounts"] = _select(accounts, f"(SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY updated_at DESC) AS n FROM (SELECT * FROM src_accounts UNION ALL {batch}))") + " WHERE n = 1"
     q["insert_only_transactions"] = f"SELECT DISTINCT {_fmt(_SHAPES['transactions'])} FROM src_transactions"
     q["union_loads_transactions"] = q["latest_transactions"] = q["insert_only_transactions"]
+    q["extended_fact_transactions"] = f"""SELECT txn_sk, txn_id, account_sk, cast(amount AS double) AS amount, strftime(txn_date, '%Y-%m-%d') AS txn_date FROM (
+        SELECT * REPLACE ({_sk('txn_id')} AS txn_sk) FROM fact_transactions WHERE txn_date < date '2000-01-01' UNION ALL
+        SELECT * REPLACE ({_sk('txn_id')} + (SELECT count(*) FROM fact_transactions WHERE txn_date < date '2000-01-01') AS txn_sk) FROM fact_transactions WHERE txn_date >= date '2000-01-01')"""
     q["soft_delete_accounts"] = "SELECT account_id, CASE WHEN account_id % 13 = 0 THEN 0 ELSE 1 END AS is_active FROM src_accounts"
     q["extend_surrogate_keys"] = f"""SELECT * FROM (WITH known AS (SELECT customer_id, {_sk('customer_id')} AS sk FROM src_customers WHERE customer_id % 10 <> 0),
         fresh AS (SELECT customer_id, {_sk('customer_id')} + (SELECT max(sk) FROM known) AS sk FROM src_customers WHERE customer_id % 10 = 0)
@@ -478,6 +486,8 @@ def build() -> dict[str, str]:
         WHERE (comparison = '>' AND value > limit_value) OR (comparison = '>=' AND value >= limit_value) OR (comparison = '<' AND value < limit_value)"""
     q["failure_burst"] = """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS failures FROM (
         SELECT time_bucket(INTERVAL 5 MINUTES, run_ts) - unnest(range(12)) * INTERVAL 5 MINUTES AS w FROM src_job_runs WHERE status = 'FAILED') GROUP BY w HAVING count(*) >= 2"""
+    # Windows that ended before the watermark, ten minutes behind the last failure, are final.
+    q["stream_failure_burst"] = q["failure_burst"] + " AND w + INTERVAL 1 HOUR <= (SELECT max(run_ts) FROM src_job_runs WHERE status = 'FAILED') - INTERVAL 10 MINUTES"
     q["daily_runs_sla"] = f"""SELECT strftime(cast(run_ts AS date), '%Y-%m-%d') AS day, count(*) AS runs, count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded, count(*) FILTER (WHERE status <> 'SUCCESS') AS failed,
         {_pct('count(*) FILTER (WHERE duration_s < 1500)', 'count(*)')} AS within_sla_pct FROM src_job_runs GROUP BY cast(run_ts AS date)"""
     q["run_trend_30d"] = q["daily_runs_sla"].replace(
@@ -488,6 +498,12 @@ def build() -> dict[str, str]:
         WHEN count(*) FILTER (WHERE status = 'SUCCESS') = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS status, count(*) AS steps, cast(sum(rows) AS bigint) AS total_rows, sum(duration_s) AS duration_s FROM src_job_runs GROUP BY step"""
     q["rows_by_zone"] = "SELECT phase AS zone, cast(sum(rows) AS bigint) AS rows FROM src_job_runs GROUP BY phase"
     # checks
+    q["extract_customers"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+    q["verified_write"] = _select(_SHAPES["transactions"], "src_transactions")
+    q["nightly_run_log"] = """SELECT 'bronze' AS phase, table_name AS step, 'SUCCESS' AS status, cast(evaluated_rows AS bigint) AS rows FROM rows_all
+        UNION ALL SELECT 'silver', table_name, 'SUCCESS', cast(evaluated_rows - failed_rows AS bigint) FROM rows_all
+        UNION ALL SELECT 'gold', table_name, 'SUCCESS', cast(row_count AS bigint) FROM gold_rows
+        UNION ALL SELECT 'warehouse', 'load', 'SUCCESS', cast(sum(row_count) AS bigint) FROM gold_rows"""
     q["warehouse_load"] = """SELECT table_name, CASE WHEN row_count >= min_rows THEN 'LOADED' WHEN row_count > 0 THEN 'LOW' ELSE 'FAIL' END AS status, row_count AS rows, min_rows FROM gold_rows JOIN (VALUES
         ('dim_date',3600),('dim_branch',5),('dim_customer',100),('dim_account',100),('fact_transactions',1000),('fact_payments',1000),('fact_credit_risk',100),('agg_daily_balances',10),
         ('agg_monthly_summary',5),('agg_branch_performance',5),('agg_customer_360',100)) m(table_name, min_rows) USING (table_name)"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conformance import mapping
-from conformance.workspace import RUN_TS, Gold, Workspace, workspace
+from conformance.workspace import CALENDAR, RUN_TS, Gold, Workspace, workspace
 from tellerlake.functions.casting import enforce_types, normalize_ts
 from tellerlake.functions.hashing import row_hash
 from tellerlake.functions.masking import mask_by_catalog, mask_pii, pii_leak
@@ -18,21 +18,23 @@ from tellerlake.operators.aggregates import distinct_values, fk_miss, null_count
 from tellerlake.operators.joins import asof_dim, current, orphan_keys, orphans
 from tellerlake.operators.keys import assign_sk, extend_sk
 from tellerlake.operators.merge import dedupe, insert_only, soft_delete, union_loads, upsert
-from tellerlake.operators.scd2 import scd2, scd2_apply
+from tellerlake.operators.scd2 import scd2, scd2_apply, scd2_apply_keyed
 from tellerlake.operators.windows import changed, dod_change, duplicate_keys, flag_unique
-from tellerlake.plans import checks, dims, observability, views
+from tellerlake.plans import checks, dims, facts, observability, views
 from tellerlake.plans.incremental import incremental_run, read_merged
+from tellerlake.plans.nightly import run_nightly
 from tellerlake.plans.reports import REPORTS
 from tellerlake.plans.silver import SPEC, quarantine_stats, reprocess
 from tellerlake.quality import engine
 from tellerlake.quality.rules import FOREIGN_KEYS, FORMAT_RULES, RULES, foreign_key_rules, rules_from_catalog
 from tellerlake.schemas import CATALOG, WAREHOUSE, landing_types
-from tellerlake.session import scratch_path, settle
+from tellerlake.session import in_parallel, scratch_path, settle, settle_keys
 from tellerlake.sources import lake as lakes
-from tellerlake.sources.landing import Batch, add_audit_columns, read_landing_csv
+from tellerlake.sources.landing import Batch, RelationalTable, add_audit_columns, read_landing_csv, read_relational
 from tellerlake.sources.lake import Lake
-from tellerlake.sources.state import incremental, run_status, watermark_report
+from tellerlake.sources.state import incremental, read_run_log, run_status, watermark_report
 from tellerlake.sources.warehouse import load_all
+from tellerlake.streaming.bursts import failure_burst
 from tellerlake.streaming.ingest import landing_stream, run_to_end, stream_bronze
 from tellerlake.streaming.quality import first_of_key, stream_dq
 
@@ -131,8 +133,13 @@ def _outcomes(w: Workspace, table: str) -> DataFrame:
 
 
 def _all_outcomes(w: Workspace) -> DataFrame:
-    """Outcomes of all tables, written once: several reports read them."""
-    return _once(w, "outcomes", lambda: reduce(DataFrame.unionAll, [_outcomes(w, t) for t in mapping.TABLES]))
+    """Outcomes of all tables, worked out once: several reports read them."""
+
+    def make() -> DataFrame:
+        parts = in_parallel({t: lambda t=t: _outcomes(w, t) for t in mapping.TABLES})
+        return reduce(DataFrame.unionAll, [parts[t] for t in mapping.TABLES])
+
+    return _once(w, "outcomes", make)
 
 
 def _all_rows(w: Workspace) -> DataFrame:
@@ -145,7 +152,7 @@ _kept: dict[tuple[int, str], DataFrame] = {}
 def _once(w: Workspace, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     key = (id(w), name)
     if key not in _kept:
-        _kept[key] = settle(make(), name)
+        _kept[key] = settle_keys(make())
     return _kept[key]
 
 
@@ -226,6 +233,13 @@ def _scd2_batch(w: Workspace) -> DataFrame:
     return scd2_apply(first, batch, ["customer_id"], _TRACKED, "updated_at").select(*_VERSION)
 
 
+def _scd2_stable_keys(w: Workspace) -> DataFrame:
+    first = scd2(w.source("customers").select(*_STATE), ["customer_id"], _TRACKED, "updated_at")
+    dim = settle(assign_sk(settle(first, "versions"), ["customer_id", "effective_from"], "customer_sk", as_type="int"), "dim")
+    batch = mapping.moved_customers(w.spark, w.sf_dir).select(*_STATE)
+    return scd2_apply_keyed(dim, batch, ["customer_id"], _TRACKED, "updated_at", "customer_sk").select("customer_sk", *_VERSION)
+
+
 def _changed(w: Workspace) -> DataFrame:
     states = _history(w).withColumn("attr_hash", row_hash(*_TRACKED))
     return changed(states, ["customer_id"], "updated_at", "attr_hash").select(*_STATE)
@@ -301,6 +315,48 @@ _lakes: dict[tuple[int, str], Lake] = {}
 # --- observability ----------------------------------------------------------------------------
 
 
+def _extended_fact(w: Workspace) -> DataFrame:
+    """Fact of the transactions before 2000 plus the rows that the later load adds."""
+
+    def make() -> DataFrame:
+        gold = w.gold("dim_account"), w.gold("dim_date")
+        silver = w.silver("transactions")
+        old = settle(silver.filter("txn_timestamp < timestamp '2000-01-01'"), "old")
+        fact = settle(facts.build_fact_transactions(old, *gold, RUN_TS), "fact")
+        late = silver.filter("txn_timestamp >= timestamp '1999-07-01'")
+        return fact.unionByName(facts.extend_fact_transactions(fact, late, *gold, RUN_TS))
+
+    return make().select("txn_sk", "txn_id", "account_sk", "amount", "txn_date")
+
+
+def _stream_bursts(w: Workspace) -> DataFrame:
+    spark = w.spark
+    schema = mapping.read(spark, w.sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(w.sf_dir)
+    runs = events.selectExpr(*mapping.columns("job_runs")).withColumnRenamed("run_ts", "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+    target = scratch_path(spark, "bursts")
+    writer = failure_burst(runs).writeStream.format("parquet").option("path", target).outputMode("append")
+    run_to_end(writer.option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start())
+    return spark.read.parquet(target)
+
+
+def _nightly_log(w: Workspace) -> DataFrame:
+    lake = Lake(w.spark, scratch_path(w.spark, "nightly"))
+    run_nightly(lake, {t: w.source(t) for t in mapping.TABLES}, "2025-03-01", CALENDAR)
+    return read_run_log(lake).select("phase", "step", "status", "rows")
+
+
+def _extract(w: Workspace) -> DataFrame:
+    table = RelationalTable("customer", ("c_custkey", "c_name", "c_nationkey"), "c_custkey", path=f"{w.sf_dir}/customer.parquet")
+    return read_relational(w.spark, table)
+
+
+def _verified_write(w: Workspace) -> DataFrame:
+    path = scratch_path(w.spark, "verified")
+    lakes.write_verified(w.source("transactions"), path)
+    return w.spark.read.parquet(path)
+
+
 def _daily_counts(w: Workspace) -> DataFrame:
     parts = [
         w.gold(t).groupBy(F.col("txn_date").alias("day")).agg(F.count(F.lit(1)).alias("value")).select(F.lit(t).alias("table_name"), "day", "value")
@@ -418,6 +474,7 @@ def builds() -> dict[str, Build]:
     # history
     q["scd2_customer"] = _scd2
     q["scd2_customer_batch"] = _scd2_batch
+    q["scd2_customer_stable_keys"] = _scd2_stable_keys
     q["current_customer_versions"] = lambda w: current(_scd2(w))
     q["changed_customer_versions"] = _changed
     q["asof_customer_version"] = _asof
@@ -444,6 +501,7 @@ def builds() -> dict[str, Build]:
     q["insert_only_transactions"] = _insert_only
     q["union_loads_transactions"] = lambda w: union_loads(list(_loads(w)), ["txn_id"], ["txn_timestamp"])
     q["latest_transactions"] = lambda w: dedupe(w.source("transactions"), ["txn_id"], ["txn_timestamp"])
+    q["extended_fact_transactions"] = _extended_fact
     q["soft_delete_accounts"] = lambda w: soft_delete(
         w.source("accounts"), w.source("accounts").filter("account_id % 13 <> 0"), ["account_id"]
     ).select("account_id", "is_active")
@@ -461,6 +519,7 @@ def builds() -> dict[str, Build]:
     q["deviation_rules"] = lambda w: observability.deviation(_daily_counts(w), "value").select("table_name", "day", "value", "dropped", "off_baseline")
     q["metrics_table"] = _metrics
     q["alerts_thresholds"] = lambda w: observability.alerts(_metrics(w), observability.thresholds_df(w.spark))
+    q["stream_failure_burst"] = _stream_bursts
     q["failure_burst"] = lambda w: observability.failure_bursts(w.source("job_runs"), "run_ts")
     q["daily_runs_sla"] = lambda w: observability.daily_runs(w.source("job_runs"))
     q["run_trend_30d"] = lambda w: observability.run_trend(w.source("job_runs"))
@@ -469,6 +528,9 @@ def builds() -> dict[str, Build]:
     q["rows_by_zone"] = lambda w: observability.rows_by_zone(w.source("job_runs").withColumnRenamed("phase", "zone"))
 
     # checks, sinks, catalog
+    q["nightly_run_log"] = _nightly_log
+    q["extract_customers"] = _extract
+    q["verified_write"] = _verified_write
     q["warehouse_load"] = _warehouse
     q["check_fact_keys"] = lambda w: checks.check_gold(w.gold("fact_transactions"), "fact_transactions", "txn_sk", 1000)
     q["checks_report"] = _checks_report

@@ -32,10 +32,9 @@ class Workspace:
     def lake(self) -> Lake:
         """Lake with silver and gold tables published."""
         lake = Lake(self.spark, scratch_path(self.spark, "lake"))
-        for name in mapping.TABLES:
-            lake.append(self.silver(name), "silver", name)
-        for name, df in self.all_gold().items():
-            lake.replace(df, "gold", name)
+        gold = self.all_gold()
+        in_parallel({t: lambda t=t: lake.append(self.silver(t), "silver", t) for t in mapping.TABLES})
+        in_parallel({t: lambda t=t, df=df: lake.replace(df, "gold", t) for t, df in gold.items()})
         return lake
 
     def source(self, name: str) -> DataFrame:

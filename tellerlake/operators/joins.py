@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerlake.operators.skew import keyed_join, with_keys, without_keys
+from tellerlake.operators.skew import hot_keys, keyed_join, with_keys
 from tellerlake.operators.windows import carry_forward
+from tellerlake.session import settle_keys
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, key: str, spread: bool = True) -> DataFrame:
@@ -45,7 +46,7 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFr
     The child is reduced to one row per key value before any join, so a hot key costs nothing.
     """
     refs = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("rows"))
-    return without_keys(refs, parent.select(F.col(pk).alias(fk)), [fk])
+    return refs.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -54,20 +55,33 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 
 
 def asof_dim(
-    fact: DataFrame, dim: DataFrame, natural_key: list[str], ts: str, attrs: list[str], segment: str = "month"
+    fact: DataFrame, dim: DataFrame, natural_key: list[str], ts: str, attrs: list[str], segment: str = "hour"
 ) -> DataFrame:
     """Attributes of the dimension version valid at the time of each fact row.
 
     Both sides are laid on one timeline per key and the last version is carried forward, so a key
     with many rows and many versions never pairs all of them. Rows before the first version, or in
-    a gap after a closed one, get NULL.
+    a gap after a closed one, get NULL. If there are hot keys, only the distinct moments of each key
+    are laid on the timeline and the rows look their moment up.
     """
+    hot = hot_keys(fact, natural_key)
+    if not hot:
+        return _on_timeline(fact, dim, natural_key, ts, attrs, segment, hot)
+    moments = fact.select(*natural_key, ts).distinct()
+    resolved = _on_timeline(moments, dim, natural_key, ts, attrs, segment, hot)
+    found = keyed_join(fact, settle_keys(resolved), [*natural_key, ts])
+    return found.select(*fact.columns, *attrs)
+
+
+def _on_timeline(
+    fact: DataFrame, dim: DataFrame, natural_key: list[str], ts: str, attrs: list[str], segment: str, hot: list[int]
+) -> DataFrame:
     version = F.struct(F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"), *attrs)
     versions = dim.select(*natural_key, F.col("effective_from").alias("_at"), F.lit(0).alias("_side"), version.alias("_version"))
     facts = fact.withColumn("_at", F.col(ts)).withColumn("_side", F.lit(1))
     line = facts.unionByName(versions, allowMissingColumns=True)
     filled = carry_forward(
-        line, natural_key, ["_at", "_side"], "_version", "_valid", segment=F.date_trunc(segment, "_at"), inclusive=True
+        line, natural_key, ["_at", "_side"], "_version", "_valid", F.date_trunc(segment, "_at"), inclusive=True, hot=hot
     ).filter(F.col("_side") == 1)
     open_at: Column = F.col("_valid._to").isNull() | (F.col("_at") < F.col("_valid._to"))
     return filled.select(*fact.columns, *[F.when(open_at, F.col(f"_valid.{a}")).alias(a) for a in attrs])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.functions.hashing import row_hash
 from tellerlake.operators.skew import without_keys
-from tellerlake.session import settle
+from tellerlake.session import settle_keys
 
 
 _ROWS_PER_BUCKET = 1_000_000
@@ -56,6 +56,6 @@ def extend_sk(existing: DataFrame, incoming: DataFrame, natural_key: list[str],
     """Key map after a load: known keys keep their number, new ones continue after the highest."""
     known = existing.select(name, *natural_key)
     top = known.agg(F.max(name)).first()[0] or 0
-    fresh = settle(without_keys(incoming.select(*natural_key).distinct(), known, natural_key), "fresh")
+    fresh = settle_keys(without_keys(incoming.select(*natural_key).distinct(), known, natural_key))
     as_type = existing.schema[name].dataType.simpleString()
     return known.unionByName(assign_sk(fresh, natural_key, name, start=top, as_type=as_type))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.operators.skew import keyed_join, split_by_keys, with_keys, without_keys
 from tellerlake.operators.windows import duplicate_keys, latest
+from tellerlake.session import settle
 
 
 def union_loads(loads: list[DataFrame], pk: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
@@ -38,7 +39,7 @@ def upsert(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str])
 
 def new_rows(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
     """Rows of an insert-only batch: one per key, without keys the target already has."""
-    one_each = latest(batch, pk, order)
+    one_each = settle(latest(batch, pk, order), "batch")
     known = with_keys(target.select(*pk), one_each, pk)
     return without_keys(one_each, known, pk)
 

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.functions.hashing import row_hash
-from tellerlake.operators.skew import hot_keys, split_by_keys
+from tellerlake.operators.keys import extend_sk
+from tellerlake.operators.skew import hot_keys, keyed_join, split_by_keys
 from tellerlake.operators.windows import changed, latest, validity
+from tellerlake.session import settle, settle_keys
 
 SCD_COLUMNS = ["effective_from", "effective_to", "is_current"]
 
 
-def scd2(history: DataFrame, key: list[str], tracked: list[str], ts: str, segment: str = "month") -> DataFrame:
+def scd2(history: DataFrame, key: list[str], tracked: list[str], ts: str, segment: str = "hour") -> DataFrame:
     """Versions of every key out of all its recorded states.
 
     Two states with the same time count as one (the one with the greater fingerprint); a state that
@@ -24,7 +26,7 @@ def scd2(history: DataFrame, key: list[str], tracked: list[str], ts: str, segmen
 
 
 def scd2_apply(
-    dim: DataFrame, batch: DataFrame, key: list[str], tracked: list[str], ts: str, segment: str = "month"
+    dim: DataFrame, batch: DataFrame, key: list[str], tracked: list[str], ts: str, segment: str = "hour"
 ) -> DataFrame:
     """Dimension after a batch: only versions of the keys in the batch are worked out again.
 
@@ -35,3 +37,17 @@ def scd2_apply(
     states = affected.drop(*SCD_COLUMNS, "attr_hash")
     again = scd2(states.unionByName(batch.select(*states.columns)), key, tracked, ts, segment)
     return untouched.unionByName(again)
+
+
+def scd2_apply_keyed(
+    dim: DataFrame, batch: DataFrame, key: list[str], tracked: list[str], ts: str, sk: str, segment: str = "hour"
+) -> DataFrame:
+    """:func:`scd2_apply` on a dimension with surrogate keys.
+
+    A version is known by its key and start: known versions keep their number, new ones continue
+    after the highest, so facts that point to the dimension stay right.
+    """
+    versions = settle(scd2_apply(dim.drop(sk), batch, key, tracked, ts, segment), "versions")
+    identity = [*key, "effective_from"]
+    numbers = settle_keys(extend_sk(dim.select(sk, *identity), versions, identity, sk))
+    return keyed_join(versions, numbers, identity, "inner", spread=False).select(sk, *versions.columns)

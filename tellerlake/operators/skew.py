@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tellerlake.session import BROADCAST_BYTES, FANOUT, HOT_ROWS, setting, settle
+from tellerlake.session import BROADCAST_BYTES, FANOUT, HOT_ROWS, setting, settle_keys
 
 _SALT = "_salt"
 _MAX_HOT_KEYS = 1024
@@ -85,7 +85,7 @@ def keyed_join(
 
 def split_by_keys(many: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of ``many`` whose key is among ``keys``, and the rest. The key set is worked out once."""
-    present = settle(keys.select(*on).distinct().withColumn("_present", F.lit(True)), "keys")
+    present = settle_keys(keys.select(*on).distinct()).withColumn("_present", F.lit(True))
     marked = keyed_join(many, present, on)
     inside = marked.filter(F.col("_present").isNotNull()).drop("_present")
     outside = marked.filter(F.col("_present").isNull()).drop("_present")

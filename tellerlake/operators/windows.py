@@ -77,14 +77,14 @@ def carry_forward(
 
 
 def changed(
-    df: DataFrame, pk: list[str], ts: str, hash_col: str, segment: str = "month", hot: list[int] | None = None
+    df: DataFrame, pk: list[str], ts: str, hash_col: str, segment: str = "hour", hot: list[int] | None = None
 ) -> DataFrame:
     """Versions that differ from the one before them, first versions included."""
     seen = carry_forward(df, pk, [ts], hash_col, "_before", F.date_trunc(segment, F.col(ts)), hot=hot)
     return seen.filter(F.col("_before").isNull() | (F.col("_before") != F.col(hash_col))).drop("_before")
 
 
-def validity(df: DataFrame, pk: list[str], ts: str, segment: str = "month", hot: list[int] | None = None) -> DataFrame:
+def validity(df: DataFrame, pk: list[str], ts: str, segment: str = "hour", hot: list[int] | None = None) -> DataFrame:
     """Add effective_from, effective_to (NULL while open) and is_current to the versions of a key."""
     cut = F.date_trunc(segment, F.col(ts))
     ended = carry_forward(df, pk, [ts], ts, "effective_to", cut, backward=True, hot=hot)

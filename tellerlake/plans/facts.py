@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 from tellerlake.operators.joins import current, join_date, lookup_sk
 from tellerlake.operators.keys import assign_sk
+from tellerlake.operators.merge import new_rows
 from tellerlake.plans.dims import columns_of, stamp
+from tellerlake.session import settle
 
 
 def _amount_if(kind: str) -> Column:
     return F.when(F.col("txn_type") == kind, F.col("amount")).otherwise(F.lit(0).cast("decimal(18,2)"))
 
 
-def build_fact_transactions(silver: DataFrame, dim_account: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
+def build_fact_transactions(
+    silver: DataFrame, dim_account: DataFrame, dim_date: DataFrame, run_ts: datetime, start: int = 0
+) -> DataFrame:
     """One row per transaction. Customer and branch are those of the account, so that within the
     fact an account key always comes with the same customer and branch key."""
-    rows = assign_sk(silver, ["txn_id"], "txn_sk").withColumns(
+    rows = assign_sk(silver, ["txn_id"], "txn_sk", start).withColumns(
         {
             "txn_date": F.to_date("txn_timestamp"),
             "debit_amount": _amount_if("Debit"),
@@ -31,6 +35,18 @@ def build_fact_transactions(silver: DataFrame, dim_account: DataFrame, dim_date:
     return stamp(dated, run_ts).select(*columns_of("fact_transactions"))
 
 
+def extend_fact_transactions(
+    fact: DataFrame, silver: DataFrame, dim_account: DataFrame, dim_date: DataFrame, run_ts: datetime
+) -> DataFrame:
+    """Fact rows of a load that are not in the fact yet, numbered after the highest key.
+
+    They are to be appended: the existing fact is read for its ids only and never rewritten.
+    """
+    fresh = settle(new_rows(fact.select("txn_id"), silver, ["txn_id"], ["txn_timestamp"]), "fresh")
+    top = fact.agg(F.max("txn_sk")).first()[0] or 0
+    return build_fact_transactions(fresh, dim_account, dim_date, run_ts, start=top)
+
+
 def build_fact_payments(silver: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
     rows = assign_sk(silver, ["txn_id"], "payment_sk").withColumns(
         {

@@ -16,7 +16,7 @@ from tellerlake.operators.merge import dedupe
 from tellerlake.plans import aggregates, dims, facts
 from tellerlake.plans.silver import SPEC, build_silver
 from tellerlake.quality.engine import dq_gate, enforce_gate, row_results
-from tellerlake.session import in_parallel, settle
+from tellerlake.session import in_parallel, settle_keys
 from tellerlake.sources.lake import Lake, require_rows
 from tellerlake.sources.landing import Batch, add_audit_columns
 from tellerlake.sources.state import LOAD_POLICY, append_run_log
@@ -79,7 +79,7 @@ def refine(run: Run, table: str, halt: bool = True) -> int:
     spec = SPEC[table]
     result = build_silver(todays(run, "bronze", table), spec, run.run_ts)
     lake = run.lake
-    outcomes = settle(result.outcomes, "outcomes")
+    outcomes = settle_keys(result.outcomes)
     lake.log(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results", "json")
     if halt:
         enforce_gate(dq_gate(row_results(outcomes), outcomes))
@@ -159,8 +159,8 @@ def build_gold(run: Run, calendar: tuple[date, date] | None = None) -> dict[str,
     def put(name: str) -> int:
         plan = gold_plan(name, lambda t: silver_of(lake, t), done.__getitem__, lake.spark, run.run_ts, span)
         day = SORTED_BY.get(name)
-        done[name] = lake.replace(plan.sortWithinPartitions(day) if day else plan, "gold", name)
-        return done[name].count()
+        done[name], rows = lake.replace(plan.sortWithinPartitions(day) if day else plan, "gold", name)
+        return rows
 
     for stage in STAGES:
         finished = in_parallel({t: lambda t=t: run.step("gold", t, lambda: put(t)) for t in stage})

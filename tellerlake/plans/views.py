@@ -15,7 +15,7 @@ from tellerlake.functions.measures import failed, mean2, pct
 from tellerlake.operators.joins import current, join_dim
 from tellerlake.operators.skew import fanout_join, keyed_join
 from tellerlake.plans.aggregates import roll, transaction_measures
-from tellerlake.session import settle
+from tellerlake.session import settle_keys
 
 
 def vw_branch_performance(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def vw_branch_performance(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
     # Branch versions with the same attributes are one row of the view: they go by their first key.
     same = dim_branch.groupBy(*attrs).agg(F.min("branch_sk").alias("place"))
     on_attrs = reduce(Column.__and__, [dim_branch[c].eqNullSafe(same[c]) for c in attrs])
-    place_of = settle(dim_branch.join(same, on_attrs).select("branch_sk", "place"), "places")
+    place_of = settle_keys(dim_branch.join(same, on_attrs).select("branch_sk", "place"))
     placed = join_dim(accounts, place_of, "branch_sk")
 
     one = F.lit(1).cast("bigint")

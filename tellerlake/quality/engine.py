@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tellerlake.functions.measures import pct
 from tellerlake.operators.skew import keyed_join
 from tellerlake.quality.rules import KeyRule, Rule
-from tellerlake.session import settle
+from tellerlake.session import settle_keys
 
 MASK = "broken_mask"
 PASSED = "dq_passed"
@@ -37,7 +37,7 @@ def evaluate_rows(
     for i, rule in enumerate(rules):
         if isinstance(rule, KeyRule):
             flag, keys = f"_bad_{i}", list(rule.columns)
-            bad = settle(rule.bad_keys(df, parents or {}).select(*keys), "bad-keys")
+            bad = settle_keys(rule.bad_keys(df, parents or {}).select(*keys))
             marked = keyed_join(marked, bad.withColumn(flag, F.lit(True)), keys)
             checks.append(F.col(flag).isNull())
         else:

@@ -35,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = context.applicationId
@@ -62,8 +64,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tellerlake-{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def settle_keys(df: DataFrame) -> DataFrame:
+    """Work out a narrow frame (keys, flags, a few totals) once, by a reliable checkpoint."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
-    """Write a derived frame once and read it back: cuts lineage and survives lost executors."""
+    """Write a derived table once and read it back: cuts lineage, survives lost executors, and later
+    plans read only the columns and row groups they need."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)

@@ -90,10 +90,11 @@ class Lake:
         ).withColumn("committed_at", F.current_timestamp())
         self.log(row.coalesce(1), "versions")
 
-    def replace(self, df: DataFrame, zone: str, table: str) -> DataFrame:
+    def replace(self, df: DataFrame, zone: str, table: str) -> tuple[DataFrame, int]:
+        """Write and publish a new version; returns the table and its rows."""
         version, rows = self.write_version(df, zone, table)
         self.publish(zone, table, version, rows)
-        return self.spark.read.parquet(f"{self.path(zone, table)}/version={version}")
+        return self.spark.read.parquet(f"{self.path(zone, table)}/version={version}"), rows
 
     def versions(self) -> DataFrame:
         """Log of published versions."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.schemas import MIN_ROWS, WAREHOUSE, warehouse_columns
+from tellerlake.session import in_parallel
 from tellerlake.sources.lake import Lake
 
 LOAD_SCHEMA = "table_name string, status string, rows bigint, min_rows bigint"
@@ -41,5 +42,5 @@ def load_table(lake: Lake, df: DataFrame | None, table: str, min_rows: int | Non
 def load_all(lake: Lake, tables: dict[str, DataFrame], min_rows: dict[str, int] | None = None) -> DataFrame:
     """Load every warehouse table that is given; the result has one row per warehouse table."""
     floors = min_rows or MIN_ROWS
-    results = [load_table(lake, tables.get(t), t, floors.get(t, 1)) for t in WAREHOUSE]
-    return lake.spark.createDataFrame(results, LOAD_SCHEMA)
+    results = in_parallel({t: lambda t=t: load_table(lake, tables.get(t), t, floors.get(t, 1)) for t in WAREHOUSE})
+    return lake.spark.createDataFrame(list(results.values()), LOAD_SCHEMA)
