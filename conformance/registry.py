@@ -283,7 +283,7 @@ def _loads(w: Workspace) -> tuple[DataFrame, DataFrame]:
 
 def _insert_only(w: Workspace) -> DataFrame:
     first, second = _loads(w)
-    once = dedupe(first, ["txn_id"], ["txn_timestamp"])
+    once = settle(dedupe(first, ["txn_id"], ["txn_timestamp"]), "once")
     return insert_only(once, second, ["txn_id"], ["txn_timestamp"])
 
 
