@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import mixing, packing
-from tellerlake.llm.queries import tokenizer_path
+from tellerlake.llm import mixing, packing, pii, quality, simhash
+from tellerlake.llm.queries import table, tokenizer_path
 from tellerlake.session import scratch_path
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose lines the classifier holds for good; it is trained on the given labels."""
+    field = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, field, score_col="quality_score").filter("quality_score >= 0.7").select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates."""
+    return simhash.keep_first(docs, width=3, radius=3)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; those that it does not take go."""
     mixed = mixing.mix(docs, F.array("source"))
@@ -23,14 +39,20 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path(), length=2048)
 
 
-STAGES = [("mixing", mix), ("packing", pack)]
+STAGES = [
+    ("quality", keep_good),
+    ("near_duplicates", keep_one_of_each),
+    ("personal_data", redact),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
 # Learned scores, hashes of shingles, and a tokenizer: not expressible in SQL, tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for at, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if at == len(STAGES) - 1:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import mixing, packing, warc
+from tellerlake.llm import mixing, packing, pii, quality, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +24,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048)
 
 
+def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op3_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op9_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
+
+
 def op10_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs, F.array("source")).select("doc_id", "size", "source_size", "target", "taken")
@@ -46,7 +58,7 @@ SQL = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op8_warc_segments, op10_flow_mixing)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii_weak_supervision, op3_crf_quality, op8_warc_segments, op9_simhash_bktree, op10_flow_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
