@@ -4,15 +4,15 @@ Writing: a page becomes a response record, or a revisit record if another page w
 payload (of at least ``revisit_from`` bytes) has a smaller id. A record block longer than
 ``segment_bytes`` is cut into segments: the first keeps the record's type, the others are
 continuation records that name it in WARC-Segment-Origin-ID; the last carries the total length.
-Records are spread over archives by a hash, so the segments of one page lie in several archives.
+Segments of a page may lie in several archives.
 
 Reading: archives are parsed record by record, segments are grouped by their origin, ordered by
 segment number, checked against the total length and joined, and the chunked transfer framing is
 taken off. A revisit has no body; its payload is that of the record it refers to.
 
 An archive holds at most ``ARCHIVE_RECORDS`` records of at most ``segment_bytes`` and some headers,
-so one task reads a bounded file. Archives are plain text files of Spark's own writer: the
-separator of its lines is the end mark of a record.
+so one task reads a bounded file. Archives are text files of Spark's own writer: the
+separator of its lines is the end mark of a record; each archive is one gzip member.
 
 Defined results: a null payload is an empty one; a null page id is never a target of a revisit and
 its page is always a response; of repeated rows that share the smallest id all are responses; an empty
@@ -21,8 +21,8 @@ table makes no archive and gives no rows. Columns other than id, url and payload
 
 from __future__ import annotations
 
+import gzip
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -81,7 +81,9 @@ def write_archives(
     segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, revisit_from: int = REVISIT_FROM,
 ) -> None:
     """Write a record per page under ``path``."""
-    source = picked(pages, page_id=id_col, url=url_col, payload=payload_col).withColumn("payload", F.coalesce("payload", F.lit("")))
+    source = picked(pages, page_id=id_col, url=url_col, payload=payload_col).withColumns(
+        {"payload": F.coalesce("payload", F.lit("")), "nth": F.monotonically_increasing_id()}
+    )
     typed = with_types(source, revisit_from)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,20 +107,18 @@ def write_archives(
                         "WARC-Segment-Total-Length": len(block) if 1 < k == len(cuts) else None, "Content-Length": len(part),
                     }
                     out.append(header(own) + part)
-                if out:
-                    deal = [zlib.crc32(f"{name}:{k}".encode()) for k in range(len(out))]
-                    yield pa.RecordBatch.from_arrays([pa.array(deal, pa.int64()), pa.array(out, pa.binary())], names=["deal", "record"])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     # Revisits carry no body: their payload needs no trip to the workers.
     sent = typed.select(
-        "page_id", "url", "digest", "refers_to", F.monotonically_increasing_id().alias("nth"),
-        F.when(F.col("refers_to").isNull(), F.col("payload").cast("binary")).alias("payload"),
-    )
-    made = settle(sent.mapInArrow(records, "deal long, record binary"), "warc-records")
-    total = made.agg(F.count("*").alias("n")).first()["n"]
-    archives = max(1, -(-total // (ARCHIVE_RECORDS // 2)))
-    dealt = made.repartition(archives, "deal").select(F.col("record").cast("string").alias("value"))
-    dealt.write.option("lineSep", END).option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+        "page_id", "url", "digest", "refers_to", "nth", F.when(F.col("refers_to").isNull(), F.col("payload").cast("binary")).alias("payload")
+    )
+    made = sent.mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value"))
+    made.write.option("lineSep", END).option("maxRecordsPerFile", ARCHIVE_RECORDS).option("compression", "gzip").text(path)
+
+
+def unzipped(data: bytes) -> bytes:
+    return gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data
 
 
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -144,7 +144,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for archive in batch.column("content"):
                 rows = []
-                for f, block in parse(archive.as_py()):
+                for f, block in parse(unzipped(archive.as_py())):
                     own = f.get("warc-record-id", "").strip("<>")
                     rows.append({
                         "origin": f.get("warc-segment-origin-id", own).strip("<>"), "number": int(f.get("warc-segment-number", 1)),
