@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import covertree, mixing, packing, pii, quality, search, simhash, warc
+from tellerlake.llm import covertree, mixing, packing, pii, quality, repeats, search, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.threshold_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def op7_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), length=200)
+
+
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages")).drop("url")
 
@@ -85,7 +89,7 @@ SQL = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii_weak_supervision, op3_crf_quality, op4_maxscore_search, op6_cover_tree, op8_warc_segments, op9_simhash_bktree, op10_flow_mixing)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii_weak_supervision, op3_crf_quality, op4_maxscore_search, op6_cover_tree, op7_bwt_repeats, op8_warc_segments, op9_simhash_bktree, op10_flow_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
