@@ -11,9 +11,9 @@ from tellerlake.session import settle
 def stars(edges: DataFrame) -> DataFrame:
     """One round: larger neighbours move to the least neighbour (large star), then smaller ones (small star)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    large = settle(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars")
+    least = settle(large.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -22,7 +22,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of an edge; root is the least node that can be reached.
 
     Rounds of large and small stars; every round is written to the shared folder, so lineage stays
-    short. Least neighbours are combined before the shuffle, so hubs gather in no task.
+    short. Least neighbours are combined before the shuffle and written before they are joined, so that
+    Spark can split the rows of a hub.
     """
     found = settle(
         edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"

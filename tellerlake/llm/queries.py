@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import covertree, mixing, packing, pii, quality, repeats, search, simhash, warc
+from tellerlake.llm import covertree, mixing, packing, passages, pii, quality, repeats, search, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_maxscore_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
 
 
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_duplicate_passages(table(spark, sf_dir, "documents"), words=50, width=5, similarity=0.8)
+
+
 def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.threshold_links(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
@@ -89,7 +93,7 @@ SQL = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii_weak_supervision, op3_crf_quality, op4_maxscore_search, op6_cover_tree, op7_bwt_repeats, op8_warc_segments, op9_simhash_bktree, op10_flow_mixing)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii_weak_supervision, op3_crf_quality, op4_maxscore_search, op5_compact_windows, op6_cover_tree, op7_bwt_repeats, op8_warc_segments, op9_simhash_bktree, op10_flow_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
