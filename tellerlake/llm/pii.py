@@ -196,7 +196,7 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, int]]:
     starts = [s[1] for s in every]
 
     def beside(begin: int, end: int) -> list[tuple[int, int, int]]:
-        low, high = np.searchsorted(starts, [begin - NEIGHBOUR_CHARS, end + NEIGHBOUR_CHARS])
+        low, high = bisect_left(starts, begin - NEIGHBOUR_CHARS), bisect_left(starts, end + NEIGHBOUR_CHARS)
         return every[max(0, low - 1) : high]
 
     return [(k, a, b, strict, pattern_of(text, k, a, b, strict, beside(a, b))) for own, strict in ((base, True), (loose, False)) for k, a, b in own]
