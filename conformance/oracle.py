@@ -118,7 +118,7 @@ def _fmt(spec: str) -> str:
     """Output list: ``d:`` date, ``t:`` time, ``m:`` money, ``i:`` whole number, else as is."""
     makers = {
         "d": "strftime({c}, '%Y-%m-%d') AS {c}",
-        "t": "strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}",
+        "t": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}",
         "m": "cast({c} AS double) AS {c}",
         "i": "cast({c} AS bigint) AS {c}",
     }
@@ -225,6 +225,8 @@ _CTE["rows_all"] = " UNION ALL ".join(
 )
 
 # Customer history: first load and moved customers; a version per change of the tracked columns.
+_CTE["eval_moved"] = f"SELECT *, {_failed(_RULES['customers'])} AS broken_rules FROM src_moved"
+_CTE["passed_history"] = "SELECT customer_id, branch_code, updated_at FROM eval_customers WHERE broken_rules = '' UNION ALL SELECT customer_id, branch_code, updated_at FROM eval_moved WHERE broken_rules = ''"
 _CTE["history"] = "SELECT customer_id, branch_code, kyc_status, updated_at FROM src_customers UNION ALL SELECT customer_id, branch_code, kyc_status, updated_at FROM src_moved"
 _CTE["changes"] = f"""SELECT * FROM (SELECT *, md5({_text('branch_code', 'kyc_status')}) AS attr_hash,
     lag(md5({_text('branch_code', 'kyc_status')})) OVER (PARTITION BY customer_id ORDER BY updated_at) AS before FROM history)
@@ -240,7 +242,7 @@ _CTE["banded"] = f"""SELECT *, count(value) {_BAND14} AS baseline_days, avg(valu
     stddev_samp(value) {_BAND14} AS baseline_stddev, lag(value) OVER (PARTITION BY table_name ORDER BY day) AS previous_value FROM daily_counts"""
 _CTE["bounded"] = "SELECT *, baseline_mean - 2 * baseline_stddev AS lower_bound, baseline_mean + 2 * baseline_stddev AS upper_bound FROM banded"
 _CTE["anomalies"] = """SELECT *, CASE WHEN baseline_days >= 7 AND (value > upper_bound OR value < lower_bound) THEN 1 ELSE 0 END AS is_anomaly FROM bounded"""
-_CTE["job_days"] = "SELECT step AS table_name, cast(run_ts AS date) AS day, cast(sum(duration_s) AS double) AS value FROM src_job_runs GROUP BY ALL"
+_CTE["job_days"] = "SELECT step AS table_name, cast(run_ts AS date) AS day, cast(max(duration_s) AS double) AS value FROM src_job_runs GROUP BY ALL"
 _CTE["job_banded"] = f"""SELECT *, count(value) {_BAND14} AS baseline_days, avg(value) {_BAND14} AS baseline_mean, stddev_samp(value) {_BAND14} AS baseline_stddev FROM job_days"""
 
 _THRESHOLDS = """(VALUES ('PipelineFailures','>=',1.0,'critical'),('PipelineDurationSeconds','>',1800.0,'critical'),('FailedJobsPerHour','>=',2.0,'critical'),
@@ -261,6 +263,9 @@ _CTE["payments_text"] = """SELECT concat(' ', cast(event_id + 1 AS string)) AS t
     CASE WHEN event_id % 77 = 0 THEN 'not a time' ELSE cast(ts AS string) END AS processed_timestamp FROM events"""
 _LONG = "cast(trunc(try_cast(trim(processing_time_ms) AS decimal(38,6))) AS bigint)"
 
+_MIN_ROWS = """(VALUES
+        ('dim_date',3600),('dim_branch',5),('dim_customer',100),('dim_account',100),('fact_transactions',1000),('fact_payments',1000),('fact_credit_risk',100),('agg_daily_balances',10),
+        ('agg_monthly_summary',5),('agg_branch_performance',5),('agg_customer_360',100)) m(table_name, min_rows)"""
 _GOLD = (
     "dim_date", "dim_branch", "dim_customer", "dim_account", "fact_transactions", "fact_payments", "fact_credit_risk",
     "agg_daily_balances", "agg_monthly_summary", "agg_branch_performance", "agg_customer_360",
@@ -433,7 +438,7 @@ def build() -> dict[str, str]:
     q["null_counts_customers"] = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS rows FROM src_customers" for c in _SRC_COLS["customers"]
     )
-    q["value_range_transactions"] = "SELECT strftime(min(txn_timestamp), '%Y-%m-%d %H:%M:%S') AS min_value, strftime(max(txn_timestamp), '%Y-%m-%d %H:%M:%S') AS max_value FROM src_transactions"
+    q["value_range_transactions"] = "SELECT strftime(min(txn_timestamp), '%Y-%m-%d %H:%M:%S.%f') AS min_value, strftime(max(txn_timestamp), '%Y-%m-%d %H:%M:%S.%f') AS max_value FROM src_transactions"
     q["distinct_channels"] = "SELECT DISTINCT channel FROM src_transactions"
     q["fk_miss_rate"] = " UNION ALL ".join(
         f"SELECT '{k}' AS fk_column, count(*) FILTER (WHERE {k} = 0) AS missed_rows, count(*) AS rows, {_pct(f'count(*) FILTER (WHERE {k} = 0)', 'count(*)')} AS missed_pct FROM fact_transactions"
@@ -448,15 +453,15 @@ def build() -> dict[str, str]:
         regexp_replace(email, '^[^@]+', '***') AS email, CASE WHEN phone_number IS NOT NULL THEN concat('XXXXXX', substr(phone_number,7,4)) END AS phone_number, kyc_status FROM src_customers"""
     q["pii_leak_check"] = "SELECT 0 AS raw_columns, count(*) FILTER (WHERE NOT contains(pan_masked, '*****') AND pan_masked <> 'UNKNOWN') AS unmasked_rows, count(*) AS rows, 1 AS clean FROM silver_customers"
     q["enforce_types_payments"] = f"""SELECT cast(trim(txn_id) AS bigint) AS txn_id, trim(gateway_status) AS gateway_status, {_LONG} AS processing_time_ms,
-        strftime(try_cast(trim(processed_timestamp) AS timestamp), '%Y-%m-%d %H:%M:%S') AS processed_timestamp FROM payments_text"""
+        strftime(try_cast(trim(processed_timestamp) AS timestamp), '%Y-%m-%d %H:%M:%S.%f') AS processed_timestamp FROM payments_text"""
     q["enforce_types_zero"] = f"SELECT cast(trim(txn_id) AS bigint) AS txn_id, coalesce({_LONG}, 0) AS processing_time_ms FROM payments_text"
-    q["normalize_timestamps"] = """SELECT cast(trim(txn_id) AS bigint) AS txn_id, strftime(try_cast(trim(processed_timestamp) AS timestamp), '%Y-%m-%d %H:%M:%S') AS processed_timestamp,
+    q["normalize_timestamps"] = """SELECT cast(trim(txn_id) AS bigint) AS txn_id, strftime(try_cast(trim(processed_timestamp) AS timestamp), '%Y-%m-%d %H:%M:%S.%f') AS processed_timestamp,
         CASE WHEN try_cast(trim(processed_timestamp) AS timestamp) IS NULL THEN processed_timestamp END AS processed_timestamp_raw FROM payments_text"""
     q["landing_csv_payments"] = q["stream_ingest"] = f"SELECT {_fmt(_SHAPES['payment_gateway_logs'])}, md5({_text(*_SRC_COLS['payment_gateway_logs'])}) AS row_hash FROM src_payment_gateway_logs"
 
     # incremental
     mark = "(SELECT max(txn_timestamp) FROM src_transactions WHERE txn_timestamp < timestamp '2000-01-01')"
-    q["incremental_pull"] = _select(_SHAPES["transactions"], "src_transactions") + f" WHERE txn_timestamp > {mark}"
+    q["incremental_pull"] = _select(_SHAPES["transactions"], "src_transactions") + f" WHERE txn_timestamp >= {mark} OR txn_timestamp IS NULL"
     accounts = "account_id customer_id m:balance status t:updated_at"
     batch = "SELECT * REPLACE (cast(balance + 100 AS decimal(18,2)) AS balance, timestamp '2024-04-01' AS updated_at) FROM src_accounts WHERE account_id % 10 = 0 UNION ALL SELECT * REPLACE (account_id + 1000000000 AS account_id) FROM src_accounts WHERE account_id % 50 = 0"
     q["upsert_accounts"] = _select(accounts, f"(SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY updated_at DESC) AS n FROM (SELECT * FROM src_accounts UNION ALL {batch}))") + " WHERE n = 1"
@@ -469,8 +474,8 @@ def build() -> dict[str, str]:
     q["extend_surrogate_keys"] = f"""SELECT * FROM (WITH known AS (SELECT customer_id, {_sk('customer_id')} AS sk FROM src_customers WHERE customer_id % 10 <> 0),
         fresh AS (SELECT customer_id, {_sk('customer_id')} + (SELECT max(sk) FROM known) AS sk FROM src_customers WHERE customer_id % 10 = 0)
         SELECT * FROM known UNION ALL SELECT * FROM fresh)"""
-    q["incremental_merge_customers"] = "SELECT customer_id, branch_code, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) AS n FROM history) WHERE n = 1"
-    q["watermark_report"] = f"""SELECT 'customers' AS source, 'SUCCESS' AS status, 'INCREMENTAL_MERGE' AS load_type, 'updated_at' AS watermark_column, '2024-04-01 00:00:00' AS high_water, count(*) AS rows_last_loaded FROM src_moved"""
+    q["incremental_merge_customers"] = "SELECT customer_id, branch_code, strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) AS n FROM passed_history) WHERE n = 1"
+    q["watermark_report"] = f"""SELECT 'customers' AS source, 'SUCCESS' AS status, 'INCREMENTAL_MERGE' AS load_type, 'updated_at' AS watermark_column, '2024-04-01 00:00:00.000000' AS high_water, count(*) AS rows_last_loaded FROM src_moved"""
 
     # observability
     q["anomaly_daily_counts"] = """SELECT table_name, strftime(day, '%Y-%m-%d') AS day, value, baseline_days, round(baseline_mean, 4) AS baseline_mean, round(baseline_stddev, 4) AS baseline_stddev,
@@ -484,29 +489,27 @@ def build() -> dict[str, str]:
     q["metrics_table"] = "SELECT metric, table_name, strftime(day, '%Y-%m-%d') AS day, value FROM metric_rows"
     q["alerts_thresholds"] = f"""SELECT metric, table_name, strftime(day, '%Y-%m-%d') AS day, value, comparison, cast(limit_value AS double) AS limit_value, severity FROM metric_rows JOIN {_THRESHOLDS} USING (metric)
         WHERE (comparison = '>' AND value > limit_value) OR (comparison = '>=' AND value >= limit_value) OR (comparison = '<' AND value < limit_value)"""
-    q["failure_burst"] = """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS failures FROM (
+    q["failure_burst"] = """SELECT strftime(w, '%Y-%m-%d %H:%M:%S.%f') AS window_start, strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_end, count(*) AS failures FROM (
         SELECT time_bucket(INTERVAL 5 MINUTES, run_ts) - unnest(range(12)) * INTERVAL 5 MINUTES AS w FROM src_job_runs WHERE status = 'FAILED') GROUP BY w HAVING count(*) >= 2"""
-    # Windows that ended before the watermark, ten minutes behind the last failure, are final.
-    q["stream_failure_burst"] = q["failure_burst"] + " AND w + INTERVAL 1 HOUR <= (SELECT max(run_ts) FROM src_job_runs WHERE status = 'FAILED') - INTERVAL 10 MINUTES"
+    q["stream_failure_burst"] = q["failure_burst"]
     q["daily_runs_sla"] = f"""SELECT strftime(cast(run_ts AS date), '%Y-%m-%d') AS day, count(*) AS runs, count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded, count(*) FILTER (WHERE status <> 'SUCCESS') AS failed,
         {_pct('count(*) FILTER (WHERE duration_s < 1500)', 'count(*)')} AS within_sla_pct FROM src_job_runs GROUP BY cast(run_ts AS date)"""
     q["run_trend_30d"] = q["daily_runs_sla"].replace(
         "FROM src_job_runs GROUP BY", "FROM src_job_runs WHERE cast(run_ts AS date) > (SELECT max(cast(run_ts AS date)) FROM src_job_runs) - 30 GROUP BY"
     )
-    q["last_7_runs"] = "SELECT batch_id, strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run_ts, status, duration_s FROM src_job_runs ORDER BY src_job_runs.run_ts DESC, batch_id LIMIT 7"
-    q["run_status"] = """SELECT step AS batch_id, strftime(min(run_ts), '%Y-%m-%d %H:%M:%S') AS run_ts, CASE WHEN count(*) FILTER (WHERE status = 'SUCCESS') = count(*) THEN 'SUCCESS'
+    q["last_7_runs"] = "SELECT batch_id, strftime(run_ts, '%Y-%m-%d %H:%M:%S.%f') AS run_ts, status, duration_s FROM src_job_runs ORDER BY src_job_runs.run_ts DESC, batch_id LIMIT 7"
+    q["run_status"] = """SELECT step AS batch_id, strftime(min(run_ts), '%Y-%m-%d %H:%M:%S.%f') AS run_ts, CASE WHEN count(*) FILTER (WHERE status = 'SUCCESS') = count(*) THEN 'SUCCESS'
         WHEN count(*) FILTER (WHERE status = 'SUCCESS') = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS status, count(*) AS steps, cast(sum(rows) AS bigint) AS total_rows, sum(duration_s) AS duration_s FROM src_job_runs GROUP BY step"""
     q["rows_by_zone"] = "SELECT phase AS zone, cast(sum(rows) AS bigint) AS rows FROM src_job_runs GROUP BY phase"
     # checks
     q["extract_customers"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
     q["verified_write"] = _select(_SHAPES["transactions"], "src_transactions")
-    q["nightly_run_log"] = """SELECT 'bronze' AS phase, table_name AS step, 'SUCCESS' AS status, cast(evaluated_rows AS bigint) AS rows FROM rows_all
+    q["nightly_run_log"] = f"""SELECT 'bronze' AS phase, table_name AS step, 'SUCCESS' AS status, cast(evaluated_rows AS bigint) AS rows FROM rows_all
         UNION ALL SELECT 'silver', table_name, 'SUCCESS', cast(evaluated_rows - failed_rows AS bigint) FROM rows_all
         UNION ALL SELECT 'gold', table_name, 'SUCCESS', cast(row_count AS bigint) FROM gold_rows
-        UNION ALL SELECT 'warehouse', 'load', 'SUCCESS', cast(sum(row_count) AS bigint) FROM gold_rows"""
-    q["warehouse_load"] = """SELECT table_name, CASE WHEN row_count >= min_rows THEN 'LOADED' WHEN row_count > 0 THEN 'LOW' ELSE 'FAIL' END AS status, row_count AS rows, min_rows FROM gold_rows JOIN (VALUES
-        ('dim_date',3600),('dim_branch',5),('dim_customer',100),('dim_account',100),('fact_transactions',1000),('fact_payments',1000),('fact_credit_risk',100),('agg_daily_balances',10),
-        ('agg_monthly_summary',5),('agg_branch_performance',5),('agg_customer_360',100)) m(table_name, min_rows) USING (table_name)"""
+        UNION ALL SELECT 'warehouse', 'load', 'SUCCESS', cast(sum(row_count) AS bigint) FROM gold_rows
+        UNION ALL SELECT 'warehouse', table_name, CASE WHEN row_count >= min_rows THEN 'SUCCESS' ELSE 'LOW' END, cast(row_count AS bigint) FROM gold_rows JOIN {_MIN_ROWS} USING (table_name)"""
+    q["warehouse_load"] = f"""SELECT table_name, CASE WHEN row_count >= min_rows THEN 'LOADED' WHEN row_count > 0 THEN 'LOW' ELSE 'FAIL' END AS status, row_count AS rows, min_rows, 0 AS too_long FROM gold_rows JOIN {_MIN_ROWS} USING (table_name)"""
     q["catalog_registration"] = q["q_row_counts"]
     q["check_fact_keys"] = " UNION ALL ".join(
         f"SELECT 'fact_transactions' AS table_name, '{n}' AS check_name, {c} AS failures, count(*) AS rows, CASE WHEN {c} = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM fact_transactions"

@@ -84,4 +84,6 @@ def _on_timeline(
         line, natural_key, ["_at", "_side"], "_version", "_valid", F.date_trunc(segment, "_at"), inclusive=True, hot=hot
     ).filter(F.col("_side") == 1)
     open_at: Column = F.col("_valid._to").isNull() | (F.col("_at") < F.col("_valid._to"))
+    for k in natural_key:  # a missing key matches no version, as in any join
+        open_at = open_at & F.col(k).isNotNull()
     return filled.select(*fact.columns, *[F.when(open_at, F.col(f"_valid.{a}")).alias(a) for a in attrs])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.operators.skew import keyed_join, split_by_keys, with_keys, without_keys
@@ -27,21 +27,40 @@ def dedupe(df: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
     return single.unionByName(latest(repeated, pk, order))
 
 
+def _without_key(pk: list[str]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in pk])
+
+
+def _unseen(target: DataFrame, rows: DataFrame, pk: list[str]) -> DataFrame:
+    """Rows without a key that the target does not hold yet, each once; such rows are known by all their columns."""
+    shared = [c for c in rows.columns if c in target.columns]
+    digest = F.sha2(F.to_json(F.struct(*sorted(shared))), 256)
+    known = target.filter(_without_key(pk)).select(digest.alias("_digest")).distinct()
+    return rows.withColumn("_digest", digest).dropDuplicates(["_digest"]).join(known, "_digest", "left_anti").select(*rows.columns)
+
+
 def upsert(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
     """Target after a merge: the latest row per key wins, wherever it comes from.
 
     Rows of keys outside the batch pass through without a shuffle while the batch keys are few.
+    Rows without a key are never merged with each other: those of the target stay, those of the batch are
+    added unless the target already holds the very same row.
     """
-    known, untouched = split_by_keys(target, batch, pk)
-    touched = known.unionByName(batch, allowMissingColumns=True)
-    return untouched.unionByName(latest(touched, pk, order), allowMissingColumns=True)
+    keyed = batch.filter(~_without_key(pk))
+    known, untouched = split_by_keys(target, keyed, pk)
+    touched = known.unionByName(keyed, allowMissingColumns=True)
+    merged = untouched.unionByName(latest(touched, pk, order), allowMissingColumns=True)
+    return merged.unionByName(_unseen(target, batch.filter(_without_key(pk)), pk), allowMissingColumns=True)
 
 
 def new_rows(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
-    """Rows of an insert-only batch: one per key, without keys the target already has."""
-    one_each = settle(latest(batch, pk, order), "batch")
+    """Rows of an insert-only batch: one per key, without keys the target already has.
+
+    Rows without a key are new unless the target already holds the very same row.
+    """
+    one_each = settle(latest(batch.filter(~_without_key(pk)), pk, order), "batch")
     known = with_keys(target.select(*pk), one_each, pk)
-    return without_keys(one_each, known, pk)
+    return without_keys(one_each, known, pk).unionByName(_unseen(target, batch.filter(_without_key(pk)), pk))
 
 
 def insert_only(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str]) -> DataFrame:

@@ -17,11 +17,12 @@ SCD_COLUMNS = ["effective_from", "effective_to", "is_current"]
 def scd2(history: DataFrame, key: list[str], tracked: list[str], ts: str, segment: str = "hour") -> DataFrame:
     """Versions of every key out of all its recorded states.
 
-    Two states with the same time count as one (the one with the greater fingerprint); a state that
-    repeats the tracked attributes of its predecessor opens no version.
+    Of two states with the same time the one loaded last counts (of one load, the one with the greater
+    columns); a state that repeats the tracked attributes of its predecessor opens no version.
     """
     hot = hot_keys(history, key)
-    states = latest(history, [*key, ts], [ts]).withColumn("attr_hash", row_hash(*tracked))
+    order = [ts, "load_timestamp"] if "load_timestamp" in history.columns and ts != "load_timestamp" else [ts]
+    states = latest(history, [*key, ts], order).withColumn("attr_hash", row_hash(*tracked))
     return validity(changed(states, key, ts, "attr_hash", segment, hot), key, ts, segment, hot)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -72,7 +74,11 @@ def carry_forward(
     across = across.rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.withColumn(carried, F.last(carried, ignorenulls=True).over(across))
     local = cut.withColumn(out, last_in(Window.partitionBy(*keys, seg)))
-    joined = local.join(edges, [*keys, seg], "left").withColumn(out, F.coalesce(out, carried))
+    # Null-safe, as the window over a key is: a missing key is one key here.
+    names = [*keys, seg]
+    other = edges.select(carried, *[F.col(n).alias(f"_edge_{n}") for n in names])
+    same = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_edge_{n}")) for n in names])
+    joined = local.join(other, same, "left").withColumn(out, F.coalesce(out, carried))
     return plain.unionByName(joined.select(*df.columns, out))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tellerlake.functions.calendar import calendar_columns
 from tellerlake.operators.joins import current, lookup_sk
 from tellerlake.operators.keys import assign_sk
 from tellerlake.operators.scd2 import scd2
+from tellerlake.operators.skew import keyed_join
 from tellerlake.schemas import warehouse_columns
 from tellerlake.session import settle
 
@@ -52,8 +55,27 @@ def calendar_of(dates: DataFrame, column: str, fiscal_year_mode: str = "ending")
     return days.select(*calendar_columns(F.col("d"), fiscal_year_mode))
 
 
+def calendar_span(days: Sequence[DataFrame]) -> tuple[date, date]:
+    """The default calendar, widened to whole years that hold all the days of the given one-column frames."""
+    every = reduce(DataFrame.unionAll, [d.select(F.to_date(d.columns[0]).alias("d")) for d in days])
+    low, high = every.agg(F.min("d"), F.max("d")).first()
+    start = min(CALENDAR_START, date(low.year, 1, 1)) if low else CALENDAR_START
+    end = max(CALENDAR_END, date(high.year, 12, 31)) if high else CALENDAR_END
+    return start, end
+
+
+def branch_states(silver: DataFrame) -> DataFrame:
+    """Branch rows with the time ``state_ts`` from which they hold: the source only says when a branch was
+    created, so what a later load brings holds from that load on."""
+    if "load_timestamp" not in silver.columns:
+        return silver.withColumn("state_ts", F.col("created_at"))
+    first = silver.groupBy("branch_code").agg(F.min("load_timestamp").alias("_first"))
+    later = F.when(F.col("load_timestamp") > F.col("_first"), F.greatest("load_timestamp", "created_at")).otherwise(F.col("created_at"))
+    return keyed_join(silver, first, ["branch_code"]).withColumn("state_ts", later).drop("_first")
+
+
 def build_dim_branch(silver: DataFrame, run_ts: datetime) -> DataFrame:
-    versions = settle(scd2(silver, ["branch_code"], TRACKED["dim_branch"], "created_at"), "versions")
+    versions = settle(scd2(branch_states(silver), ["branch_code"], TRACKED["dim_branch"], "state_ts"), "versions")
     keyed = assign_sk(versions, ["branch_code", "effective_from"], "branch_sk", as_type="int")
     return stamp(keyed.withColumn("source_created_at", F.col("created_at")), run_ts).select(*columns_of("dim_branch"))
 

@@ -7,13 +7,19 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tellerlake.operators.merge import new_rows, upsert
-from tellerlake.operators.skew import without_keys
+from tellerlake.operators.merge import dedupe, new_rows, union_loads, upsert
+from tellerlake.operators.skew import with_keys, without_keys
 from tellerlake.operators.windows import latest
+from tellerlake.plans.silver import SPEC, build_silver
+from tellerlake.session import settle
 from tellerlake.sources.lake import Lake
 from tellerlake.sources.state import LOAD_POLICY, high_water, incremental, update_watermark
 
 
+# How far behind the mark rows may arrive late.
+LOOKBACK = timedelta(days=1)
+
+
 def merged_name(source: str) -> str:
     return f"{source}_merged"
 
@@ -32,9 +38,11 @@ def read_merged(lake: Lake, source: str) -> DataFrame | None:
     return lake.current("silver", merged_name(source))
 
 
-def merge_batch(lake: Lake, source: str, batch: DataFrame) -> int:
+def merge_batch(lake: Lake, source: str, batch: DataFrame, present: DataFrame | None = None) -> int:
     """Bring a batch into the merged table of its source; returns the rows written.
 
+    ``present`` has the keys of a full snapshot, where they are more than those of the batch (rows in quarantine).
+
     Append-only sources get the new rows as additional files and are never rewritten. Merged ones
     are written as a new version, so the table being read is not the one being written.
     """
@@ -55,8 +63,11 @@ def merge_batch(lake: Lake, source: str, batch: DataFrame) -> int:
             merged = merged.withColumn("is_active", F.lit(1))
     elif load_type == "FULL_MERGE":
         # A full snapshot replaces known rows; keys it no longer has stay, marked inactive.
-        gone = without_keys(target, batch, pk).withColumn("is_active", F.lit(0))
-        merged = gone.unionByName(latest(batch, pk, pk).withColumn("is_active", F.lit(1)), allowMissingColumns=True)
+        stay = without_keys(target, batch, pk)
+        held = with_keys(stay, present, pk) if present is not None else stay.limit(0)
+        gone = without_keys(stay, present, pk) if present is not None else stay
+        parts = [held, gone.withColumn("is_active", F.lit(0)), latest(batch, pk, pk).withColumn("is_active", F.lit(1))]
+        merged = union_loads(parts)
     else:
         merged = upsert(target, batch, pk, order)
     version, rows = lake.write_version(merged, "silver", merged_name(source))
@@ -65,11 +76,22 @@ def merge_batch(lake: Lake, source: str, batch: DataFrame) -> int:
 
 
 def incremental_run(
-    lake: Lake, source: str, df: DataFrame, batch_id: str, run_ts: datetime, lookback: timedelta = timedelta(0)
+    lake: Lake, source: str, df: DataFrame, batch_id: str, run_ts: datetime, lookback: timedelta = LOOKBACK
 ) -> int:
-    """One load of a source. A repeated run pulls and changes nothing."""
-    column = LOAD_POLICY[source][1]
-    pulled = incremental(df, column, high_water(lake, source), lookback)
-    rows = merge_batch(lake, source, pulled)
+    """One load of a source; a repeated run changes nothing. Returns the rows written to the merged table.
+
+    Relational sources are pulled from the mark on, less ``lookback``; of file sources every given row
+    counts, since files may bring older rows. The pull is written once, so that the rows merged and the
+    mark are the same rows even if the source moves on. Rows go through the checks and masks of
+    silver: those that fail go to quarantine and leave the row known before in place.
+    """
+    load_type, column, key = LOAD_POLICY[source]
+    pk = list(key)
+    by_file = load_type in ("FILE_APPEND", "INCREMENTAL_FILE")
+    new = df if by_file else incremental(df, column, high_water(lake, source), lookback)
+    pulled = settle(dedupe(new, pk, [column] if column else pk), "pulled")
+    checked = build_silver(pulled, SPEC[source], run_ts)
+    lake.overwrite(checked.quarantine.withColumn("batch_id", F.lit(batch_id)), "quarantine", merged_name(source), ["batch_id"])
+    rows = merge_batch(lake, source, checked.silver, pulled)
     update_watermark(lake, source, pulled, batch_id, run_ts)
     return rows

@@ -42,19 +42,23 @@ class Run:
     log: list[tuple]
 
     def step(self, phase: str, name: str, work: Callable[[], int]) -> bool:
-        """Do one step and log it; a failing step makes the run partial and does not stop others."""
-        started = time.monotonic()
+        """Do one step and log it with its error; the caller decides what a failure stops."""
+        started, error = time.monotonic(), None
         try:
             rows, status = work(), "SUCCESS"
         except Exception as problem:
-            rows, status = 0, "FAILED"
+            rows, status, error = 0, "FAILED", f"{type(problem).__name__}: {problem}"[:1000]
             print(f"{phase}.{name} failed: {problem}")
-        self.log.append((self.batch_id, self.run_ts, phase, name, status, rows, time.monotonic() - started))
+        self.log.append((self.batch_id, self.run_ts, phase, name, status, rows, time.monotonic() - started, error))
         return status == "SUCCESS"
 
 
+class RunStopped(RuntimeError):
+    """A run ended before gold because a source failed; what was published before stays."""
+
+
 def ingest(run: Run, table: str, source: DataFrame) -> int:
-    """Append a load to bronze with its audit columns."""
+    """Write a load to bronze with its audit columns; a repeated run of a date replaces its load."""
     require_rows(source, table)
     relational = table in RELATIONAL
     batch = Batch(
@@ -64,7 +68,7 @@ def ingest(run: Run, table: str, source: DataFrame) -> int:
         src_table=table if relational else None,
         load_type=LOAD_POLICY[table][0] if relational else None,
     )
-    run.lake.append(add_audit_columns(source, batch), "bronze", table, ["load_date"])
+    run.lake.overwrite(add_audit_columns(source, batch), "bronze", table, ["load_date"])
     return todays(run, "bronze", table).count()
 
 
@@ -75,17 +79,19 @@ def todays(run: Run, zone: str, table: str) -> DataFrame:
 
 
 def refine(run: Run, table: str, halt: bool = True) -> int:
-    """Check, split and write one table; returns the rows that passed."""
+    """Check, split and write one table; returns the rows that passed.
+
+    Quarantine and outcomes are written before the gate may halt the table.
+    """
     spec = SPEC[table]
     result = build_silver(todays(run, "bronze", table), spec, run.run_ts)
     lake = run.lake
     outcomes = settle_keys(result.outcomes)
     lake.log(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results", "json")
+    lake.overwrite(result.quarantine, "quarantine", table, ["load_date"])
     if halt:
         enforce_gate(dq_gate(row_results(outcomes), outcomes))
-    by = list(spec.partition_by)
-    lake.append(result.quarantine, "quarantine", table, ["load_date"] if by else None)
-    lake.append(result.silver, "silver", table, by)
+    lake.overwrite(result.silver, "silver", table, list(spec.partition_by))
     return lake.read("silver", table).filter(F.col("batch_id") == run.batch_id).count()
 
 
@@ -105,6 +111,8 @@ STAGES = (
     ("fact_transactions", "fact_payments", "fact_credit_risk"),
     ("agg_daily_balances", "agg_monthly_summary", "agg_branch_performance", "agg_customer_360"),
 )
+# The calendar holds all days of these columns.
+DAYS_OF = {"transactions": "txn_timestamp", "payment_gateway_logs": "processed_timestamp", "credit_bureau_reports": "bureau_pull_date"}
 # Clustered by day inside each file, so that day filters skip row groups.
 SORTED_BY = {
     "fact_transactions": "txn_date",
@@ -153,7 +161,8 @@ def build_gold(run: Run, calendar: tuple[date, date] | None = None) -> dict[str,
 
     A table that fails stops the stages after it; the former versions stay published.
     """
-    lake, span = run.lake, calendar or (dims.CALENDAR_START, dims.CALENDAR_END)
+    lake = run.lake
+    span = calendar or dims.calendar_span([lake.read("silver", t).select(c) for t, c in DAYS_OF.items()])
     done: dict[str, DataFrame] = {}
 
     def put(name: str) -> int:
@@ -174,24 +183,36 @@ def run_nightly(
     sources: Mapping[str, DataFrame],
     run_date: str,
     calendar: tuple[date, date] | None = None,
-    halt_on_critical: bool = False,
+    halt_on_critical: bool = True,
 ) -> dict[str, DataFrame]:
     """One run over all sources; the run log is written even if a step fails.
 
-    Returns the gold tables. Sources are refined side by side; one that fails is logged as failed
-    and the others go on.
+    Returns the gold tables. Sources are refined side by side. If one fails, or breaks a critical rule
+    (``halt_on_critical``), the others are still refined, but no gold is built: :class:`RunStopped`, and the
+    tables published by former runs stay as they are.
     """
     run_ts = datetime.combine(parse_run_date(run_date), datetime.min.time())
     run = Run(lake, run_ts, uuid.uuid4().hex, [])
 
-    def load(table: str, source: DataFrame) -> None:
-        if run.step("bronze", table, lambda: ingest(run, table, source)):
-            run.step("silver", table, lambda: refine(run, table, halt_on_critical))
+    def load(table: str, source: DataFrame) -> bool:
+        done = run.step("bronze", table, lambda: ingest(run, table, source))
+        return done and run.step("silver", table, lambda: refine(run, table, halt_on_critical))
+
+    def warehouse() -> int:
+        loaded = load_all(lake, gold).filter("status <> 'SKIP'").collect()  # a row per table
+        for r in loaded:
+            status = {"LOADED": "SUCCESS", "FAIL": "FAILED"}.get(r.status, r.status)
+            run.log.append((run.batch_id, run_ts, "warehouse", r.table_name, status, r.rows, 0.0, None))
+        if bad := sorted(r.table_name for r in loaded if r.status == "FAIL"):
+            raise RuntimeError(f"not loaded: {', '.join(bad)}")
+        return sum(r.rows for r in loaded)
 
     try:
-        in_parallel({t: lambda t=t, s=s: load(t, s) for t, s in sources.items()})
+        refined = in_parallel({t: lambda t=t, s=s: load(t, s) for t, s in sources.items()})
+        if bad := sorted(t for t, ok in refined.items() if not ok):
+            raise RunStopped(f"sources failed: {', '.join(bad)}")
         gold = build_gold(run, calendar)
-        run.step("warehouse", "load", lambda: load_all(lake, gold).agg(F.sum("rows")).first()[0])
+        run.step("warehouse", "load", warehouse)
     finally:
         append_run_log(lake, run.log)
     return gold

@@ -75,7 +75,7 @@ def metrics(outcomes: DataFrame, row_results: DataFrame, run_log: DataFrame | No
     ]
     if run_log is not None:
         steps = run_log.groupBy(F.col("step").alias("table_name"), F.to_date("run_ts").alias("day")).agg(
-            F.sum("duration_s").alias("seconds")
+            F.max("duration_s").alias("seconds")  # the longest run: many short ones raise no alarm
         )
         parts.append(long_metrics(steps, {"JobDurationSeconds": "seconds"}))
     return reduce(DataFrame.unionByName, parts)

@@ -47,7 +47,7 @@ class TableSpec:
 # What is trimmed, upper-cased and rounded in every table, and how it is partitioned.
 SPEC: dict[str, TableSpec] = {
     "branches": TableSpec(
-        "branches", trim=("branch_name", "city", "state"), upper=("branch_code", "region"), partition_by=()
+        "branches", trim=("branch_name", "city", "state"), upper=("branch_code", "region")
     ),
     "customers": TableSpec(
         "customers", trim=("first_name", "last_name", "branch_code"), upper=("kyc_status",), masked=True
@@ -66,7 +66,7 @@ SPEC: dict[str, TableSpec] = {
     "credit_bureau_reports": TableSpec(
         "credit_bureau_reports",
         derived={"risk_band": lambda: risk_band(F.col("credit_score"))},
-        partition_by=("bureau_pull_date",),
+        partition_by=("load_date", "bureau_pull_date"),
     ),
 }
 

@@ -132,7 +132,7 @@ def write_verified(df: DataFrame, path: str, mode: str = "errorifexists") -> int
 
 def require_rows(df: DataFrame, name: str, min_rows: int = 1) -> str:
     """Raise on an empty source; say LOW if it has fewer rows than expected, else OK."""
-    found = df.limit(min_rows).count() if min_rows <= 10_000 else df.count()
+    found = df.limit(min_rows).count()
     if found == 0:
         raise EmptySource(f"{name} delivered no rows")
     return "OK" if found >= min_rows else "LOW"

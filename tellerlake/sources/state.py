@@ -25,7 +25,7 @@ LOAD_POLICY = {
 WATERMARK_SCHEMA = """source string, high_water timestamp, run_ts timestamp, status string, load_type string,
     watermark_column string, rows_last_loaded bigint, last_batch_id string"""
 RUN_LOG_SCHEMA = """batch_id string, run_ts timestamp, phase string, step string, status string,
-    rows bigint, duration_s double"""
+    rows bigint, duration_s double, error string"""
 
 
 def _initial(lake: Lake) -> DataFrame:
@@ -71,15 +71,16 @@ def high_water(lake: Lake, source: str) -> datetime:
 
 
 def incremental(df: DataFrame, column: str | None, mark: datetime, lookback: timedelta = timedelta(0)) -> DataFrame:
-    """Rows beyond the high-water mark; everything for a source without a watermark column.
+    """Rows from the high-water mark on; everything for a source without a watermark column.
 
+    Rows at the very time of the mark and rows without a time are read again by every load, and
     ``lookback`` reads rows again that may have arrived late; keyed merges make that harmless.
     """
     if column is None:
         return df
     floor = max(mark - lookback, EPOCH)
     literal = F.lit(floor).cast(df.schema[column].dataType)
-    return df.filter(F.col(column) > literal)
+    return df.filter((F.col(column) >= literal) | F.col(column).isNull())
 
 
 def watermark_report(lake: Lake) -> DataFrame:
@@ -89,6 +90,8 @@ def watermark_report(lake: Lake) -> DataFrame:
 
 
 def append_run_log(lake: Lake, rows: list[tuple]) -> None:
+    """Add steps of a run; the error text may be left out."""
+    rows = [r if len(r) == 8 else (*r, None) for r in rows]
     lake.log(lake.spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1), "run_log")
 
 

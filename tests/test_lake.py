@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from conformance import mapping
 from tellerlake.functions.casting import enforce_types
 from tellerlake.plans import checks, views
+from tellerlake.plans.dims import build_dim_branch
 from tellerlake.plans.incremental import incremental_run, read_merged
-from tellerlake.plans.nightly import parse_run_date, run_nightly
+from tellerlake.plans.nightly import RunStopped, parse_run_date, run_nightly
 from tellerlake.quality.engine import OUTCOME_SCHEMA
 from tellerlake.schemas import WAREHOUSE, landing_types, warehouse_columns
 from tellerlake.session import settle, shared_dir
@@ -20,7 +21,7 @@ from tellerlake.sources.lake import (
 )
 from tellerlake.sources.landing import AUDIT, AUDIT_RELATIONAL, Batch, RelationalTable, add_audit_columns, jdbc_options, read_landing_csv, read_relational
 from tellerlake.sources.state import EPOCH, append_run_log, high_water, incremental, read_run_log, read_watermarks, run_status, update_watermark
-from tellerlake.sources.warehouse import conform, load_table
+from tellerlake.sources.warehouse import conform, load_table, too_long
 
 SF = "/root/testdata/sf0.001"
 RUN = datetime(2025, 3, 1)
@@ -139,25 +140,59 @@ def test_watermarks_keep_configuration_and_never_move_back(lake):
     assert (state.rows_last_loaded, state.last_batch_id) == (0, "b2")
     assert read_watermarks(lake).count() == 6
     pulled = incremental(loaded, "updated_at", datetime(2024, 5, 1))
-    assert rows(pulled, "customer_id") == [(2,)]
-    assert incremental(loaded, "updated_at", datetime(2024, 5, 1), timedelta(days=1)).count() == 2
+    # Rows at the time of the mark and rows without a time are read again, earlier ones only by looking back.
+    assert rows(pulled, "customer_id") == [(1,), (2,)]
+    assert rows(incremental(loaded, "updated_at", datetime(2024, 5, 2)), "customer_id") == [(2,)]
+    assert incremental(loaded, "updated_at", datetime(2024, 5, 2), timedelta(days=1)).count() == 2
+    timeless = loaded.unionByName(spark.createDataFrame([(3, None)], loaded.schema))
+    assert rows(incremental(timeless, "updated_at", datetime(2025, 5, 2)), "customer_id") == [(3,)]
     assert incremental(loaded, None, datetime(2030, 1, 1)).count() == 2
 
 
 def test_incremental_loads_by_policy(lake):
     spark = lake.spark
     t = lambda d: datetime(2024, 1, d)
-    txns = spark.createDataFrame([(1, t(1)), (2, t(2)), (2, t(2))], "txn_id int, txn_timestamp timestamp")
+    shape = "txn_id int, account_id int, txn_type string, amount decimal(18,2), txn_timestamp timestamp, channel string, status string"
+
+    def transactions(*data):
+        return spark.createDataFrame([(i, 1, "Debit", Decimal(a), d, "UPI", "SUCCESS") for i, a, d in data], shape)
+
+    txns = transactions((1, 5, t(1)), (2, 5, t(2)), (2, 5, t(2)), (9, -1, t(2)))
     assert incremental_run(lake, "transactions", txns, "b1", RUN) == 2
-    more = txns.union(spark.createDataFrame([(3, t(3))], txns.schema))
-    assert incremental_run(lake, "transactions", more, "b2", RUN + timedelta(days=1), timedelta(days=30)) == 1
+    # A new row, one at the time of the mark, one that comes late, one without a time.
+    more = txns.union(transactions((3, 5, t(3)), (4, 5, t(2)), (5, 5, datetime(2024, 1, 1, 6)), (6, 5, None)))
+    assert incremental_run(lake, "transactions", more, "b2", RUN + timedelta(days=1)) == 3
     assert incremental_run(lake, "transactions", more, "b3", RUN + timedelta(days=2)) == 0
-    assert rows(read_merged(lake, "transactions"), "txn_id") == [(1,), (2,), (3,)]
+    assert rows(read_merged(lake, "transactions"), "txn_id") == [(1,), (2,), (3,), (4,), (5,)]
+    failed = lake.read("quarantine", "transactions_merged")
+    assert rows(failed.filter("batch_id = 'b2'"), "txn_id", "broken_rules") == [(6, "Completeness(txn_timestamp)"), (9, "Compare(amount > 0)")]
 
-    branches = spark.createDataFrame([("A", "old"), ("B", "x")], "branch_code string, city string")
+    shape = "branch_code string, branch_name string, city string, state string, region string, created_at timestamp"
+    branches = spark.createDataFrame([("A", "a", "old", "s", "r", t(1)), ("B", "b", "x", "s", "r", t(1)), ("D", "d", "z", "s", "r", t(1))], shape)
     incremental_run(lake, "branches", branches, "b1", RUN)
-    incremental_run(lake, "branches", spark.createDataFrame([("A", "new"), ("C", "y")], branches.schema), "b2", RUN + timedelta(days=1))
-    assert rows(read_merged(lake, "branches"), "branch_code", "city", "is_active") == [("A", "new", 1), ("B", "x", 0), ("C", "y", 1)]
+    second = spark.createDataFrame([("A", "a", "new", "s", "r", t(1)), ("C", "c", "y", "s", "r", t(1)), ("D", "d", None, "s", "r", t(1))], shape)
+    incremental_run(lake, "branches", second, "b2", RUN + timedelta(days=1))
+    assert rows(read_merged(lake, "branches"), "branch_code", "city", "is_active") == [("A", "new", 1), ("B", "x", 0), ("C", "y", 1), ("D", "z", 1)]
+
+
+def test_incremental_loads_hold_no_raw_personal_data(lake):
+    spark = lake.spark
+    incremental_run(lake, "customers", mapping.source(spark, SF, "customers"), "b1", RUN)
+    incremental_run(lake, "customers", mapping.moved_customers(spark, SF), "b2", RUN + timedelta(days=1))
+    merged, failed = read_merged(lake, "customers"), lake.read("quarantine", "customers_merged")
+    assert merged.count() > 0 and failed.count() > 0
+    for df in (merged, failed):
+        assert not {"pan_number", "email", "phone_number"} & set(df.columns) and "pan_masked" in df.columns
+
+
+def test_files_with_older_rows_arrive(lake):
+    logs = mapping.source(lake.spark, SF, "payment_gateway_logs").filter("processing_time_ms >= 0")
+    middle = logs.approxQuantile("txn_id", [0.5], 0.0)[0]
+    first, second = logs.filter(F.col("txn_id") > middle), logs.filter(F.col("txn_id") <= middle)
+    one = incremental_run(lake, "payment_gateway_logs", first, "b1", RUN)
+    two = incremental_run(lake, "payment_gateway_logs", second, "b2", RUN + timedelta(days=1))
+    failed = lake.read("quarantine", "payment_gateway_logs_merged").count()
+    assert one + two + failed == logs.select("txn_id").distinct().count()
 
 
 def test_run_log(lake):
@@ -171,11 +206,20 @@ def test_run_log(lake):
 # --- warehouse -------------------------------------------------------------------------------
 
 
-def test_conform_casts_and_cuts(spark):
-    df = spark.createDataFrame([("toolong", 7, Decimal("1.5"), "drop")], "b string, a long, m decimal(10,1), extra string")
-    out = conform(df, [("a", "int"), ("b", "varchar(4)"), ("m", "decimal(18,2)")])
+def test_conform_casts_and_keeps_texts_whole(spark):
+    df = spark.createDataFrame([("toolong", 7, Decimal("1.5"), "drop"), ("fits", 8, None, "x"), (None, 9, None, "x")], "b string, a long, m decimal(10,1), extra string")
+    columns = [("a", "int"), ("b", "varchar(4)"), ("m", "decimal(18,2)")]
+    out = conform(df, columns)
     assert out.dtypes == [("a", "int"), ("b", "string"), ("m", "decimal(18,2)")]
-    assert tuple(out.first()) == (7, "tool", Decimal("1.50"))
+    assert tuple(out.first()) == (7, "toolong", Decimal("1.50"))
+    assert out.agg(too_long(columns)).first()[0] == 1
+
+
+def test_texts_beyond_the_contract_fail_the_load(lake):
+    codes = lake.spark.createDataFrame([("BR0000000001",), ("BR0000000002",)], "branch_code string")
+    branches = codes.select(*[F.col(n) if n == "branch_code" else F.lit(None).cast("string" if k.startswith("varchar") else k).alias(n) for n, k in warehouse_columns("dim_branch")])
+    assert load_table(lake, branches, "dim_branch", 1) == ("dim_branch", "FAIL", 2, 1, 2)
+    assert lake.current_path("warehouse", "dim_branch") is None
 
 
 def test_warehouse_definitions_parse():
@@ -190,7 +234,7 @@ def test_an_empty_load_keeps_the_former_content(lake):
     dates = spark.createDataFrame([(1, "2024-01-01")], "date_sk int, full_date string")
     for name, kind in warehouse_columns("dim_date")[2:]:
         dates = dates.withColumn(name, F.lit(None).cast("string" if kind.startswith("varchar") else kind))
-    assert load_table(lake, dates, "dim_date", 1) == ("dim_date", "LOADED", 1, 1)
+    assert load_table(lake, dates, "dim_date", 1) == ("dim_date", "LOADED", 1, 1, 0)
     assert load_table(lake, dates, "dim_date")[1] == "LOW"
     assert load_table(lake, dates.limit(0), "dim_date")[1] == "FAIL"
     assert load_table(lake, None, "dim_date")[1] == "SKIP"
@@ -215,10 +259,10 @@ def test_nightly_run_balances_and_can_be_repeated(lake):
     spark = lake.spark
     sources = {t: mapping.source(spark, SF, t) for t in mapping.TABLES}
     calendar = (date(1995, 1, 1), date(2030, 12, 31))
-    gold = run_nightly(lake, sources, "2025-03-01", calendar)
+    gold = run_nightly(lake, sources, "2025-03-01", calendar, halt_on_critical=False)
     log = read_run_log(lake)
-    assert log.filter("status <> 'SUCCESS'").count() == 0
-    assert log.count() == 6 + 6 + 11 + 1
+    assert log.filter("status <> 'SUCCESS'").select("phase", "status").distinct().collect() in ([], [("warehouse", "LOW")])
+    assert log.count() == 6 + 6 + 11 + 1 + 11
 
     outcomes = lake.read_log("dq_results", OUTCOME_SCHEMA, "json")
     assert outcomes.count() == 4 + 5 + 7 + 7 + 7 + 7
@@ -227,6 +271,7 @@ def test_nightly_run_balances_and_can_be_repeated(lake):
     bronze = {t: lake.read("bronze", t) for t in mapping.TABLES}
     silver = {t: lake.read("silver", t) for t in mapping.TABLES}
     quarantine = {t: lake.read("quarantine", t) for t in mapping.TABLES if t != "branches"}
+    checks_of = {(t, z): df.count() for z, zone in (("bronze", bronze), ("silver", silver), ("quarantine", quarantine)) for t, df in zone.items()}
     balance = checks.reconcile(bronze, silver, quarantine)
     assert balance.filter("lost_rows <> 0").count() == 0
     assert {t: silver[t].count() for t in silver} == {
@@ -242,22 +287,53 @@ def test_nightly_run_balances_and_can_be_repeated(lake):
     assert view.agg(F.sum("total_volume_inr")).first()[0] == known
     assert lake.current("warehouse", "fact_transactions").count() == 1496
 
-    again = run_nightly(lake, sources, "2025-03-02", calendar)
+    # The same date once more replaces its own load.
+    run_nightly(lake, sources, "2025-03-01", calendar, halt_on_critical=False)
+    for zone in ("bronze", "silver", "quarantine"):
+        before = {"bronze": bronze, "silver": silver, "quarantine": quarantine}[zone]
+        assert {t: lake.read(zone, t).count() for t in before} == {t: checks_of[t, zone] for t in before}
+
+    again = run_nightly(lake, sources, "2025-03-02", calendar, halt_on_critical=False)
     keys = [c for c in fact.columns if c not in ("gold_load_ts",)]
     assert rows(again["fact_transactions"], *keys) == rows(fact, *keys)
     assert again["dim_customer"].count() == gold["dim_customer"].count()
 
 
-def test_a_failing_source_makes_the_run_partial(lake, capsys):
+def test_a_failing_source_keeps_the_former_gold(lake, capsys):
     spark = lake.spark
     sources = {t: mapping.source(spark, SF, t) for t in mapping.TABLES}
+    gold = run_nightly(lake, sources, "2025-03-01", halt_on_critical=False)
+    # Without a calendar it spans the data.
+    assert gold["fact_transactions"].filter("date_sk = 0").count() == 0
+    published = rows(lake.versions())
     sources["payment_gateway_logs"] = sources["payment_gateway_logs"].limit(0)
-    with pytest.raises(RuntimeError, match="fact_payments"):
-        run_nightly(lake, sources, "2025-03-01")
-    status = run_status(read_run_log(lake)).first()
-    assert status.status == "PARTIAL"
+    with pytest.raises(RunStopped, match="payment_gateway_logs"):
+        run_nightly(lake, sources, "2025-03-02", halt_on_critical=False)
     assert "delivered no rows" in capsys.readouterr().out
-    assert lake.current("gold", "dim_account").count() == 139
+    second = read_run_log(lake).filter("run_ts = timestamp '2025-03-02'")
+    assert run_status(second).first().status == "PARTIAL"
+    assert "EmptySource" in second.filter("status = 'FAILED'").first().error
+    assert second.filter("phase = 'gold'").count() == 0 and rows(lake.versions()) == published
+
+
+def test_a_critical_rule_stops_the_run(lake):
+    spark = lake.spark
+    sources = {t: mapping.source(spark, SF, t) for t in mapping.TABLES}
+    with pytest.raises(RunStopped, match="transactions"):  # every 997th comes twice
+        run_nightly(lake, sources, "2025-03-01")
+    assert lake.read("quarantine", "transactions").count() > 0
+    assert lake.versions().count() == 0
+
+
+def test_a_changed_branch_gets_a_version(lake):
+    spark = lake.spark
+    shape = "branch_code string, branch_name string, city string, state string, region string, created_at timestamp, load_timestamp timestamp"
+    first, second = datetime(2025, 3, 1), datetime(2025, 3, 2)
+    states = [("A", "Zeta", "c", "s", "r", datetime(2020, 1, 1), first), ("A", "Alpha", "c", "s", "r", datetime(2020, 1, 1), second), ("B", "b", "c", "s", "r", datetime(2021, 1, 1), first), ("B", "b", "c", "s", "r", datetime(2021, 1, 1), second)]
+    dim = build_dim_branch(spark.createDataFrame(states, shape), RUN)
+    assert rows(dim, "branch_code", "branch_name", "effective_from", "effective_to", "is_current") == [
+        ("A", "Alpha", second, None, 1), ("A", "Zeta", datetime(2020, 1, 1), second, 0), ("B", "b", datetime(2021, 1, 1), None, 1),
+    ]
 
 
 def test_checks(spark):

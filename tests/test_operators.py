@@ -222,6 +222,26 @@ def test_upsert(spark, request, mode):
     assert rows(upsert(once, batch, ["k"], ["t"])) == expected
 
 
+def test_rows_without_a_key_are_not_merged(spark):
+    shape = "k int, t int, v string"
+    target = spark.createDataFrame([(1, 1, "a"), (None, 1, "x"), (None, 2, "y")], shape)
+    batch = spark.createDataFrame([(1, 2, "b"), (None, 2, "y"), (None, 3, "z"), (None, 4, "w")], shape)
+    expected = [(None, 1, "x"), (None, 2, "y"), (None, 3, "z"), (None, 4, "w"), (1, 2, "b")]
+    once = upsert(target, batch, ["k"], ["t"])
+    assert rows(once) == expected
+    assert rows(upsert(once, batch, ["k"], ["t"])) == expected
+    fresh = new_rows(target, batch, ["k"], ["t"])
+    assert rows(fresh) == [(None, 3, "z"), (None, 4, "w")]
+    assert new_rows(target.union(fresh), batch, ["k"], ["t"]).count() == 0
+
+
+def test_a_missing_key_carries_the_same_when_hot(spark, request):
+    df = spark.createDataFrame([(None, datetime(2024, 1, 1, h), v) for h, v in [(1, "a"), (3, None), (7, None)]] + [(1, datetime(2024, 1, 1, 2), "b"), (1, datetime(2024, 1, 1, 9), None)], "k int, ts timestamp, v string")
+    carried = lambda hot: rows(carry_forward(df, ["k"], ["ts"], "v", "out", F.date_trunc("hour", "ts"), hot=hot), "k", "ts", "out")
+    every = [r.h for r in df.select(F.xxhash64("k").alias("h")).distinct().collect()]
+    assert carried([]) == carried(every)
+
+
 def test_insert_only_and_rerun(tight):
     target = tight.createDataFrame([(1, 1), (2, 1)], "k int, t int")
     batch = tight.createDataFrame([(2, 9), (3, 2), (3, 1)], "k int, t int")

@@ -3,10 +3,11 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tellerlake.plans.observability import failure_bursts
 from tellerlake.quality.rules import RULES
-from tellerlake.streaming.bursts import failure_burst
+from tellerlake.streaming.bursts import alert_bursts, failure_burst, read_bursts
 from tellerlake.streaming.ingest import landing_stream, run_to_end, stream_bronze
 from tellerlake.streaming.quality import first_of_key, stream_dq
 
@@ -67,3 +68,28 @@ def test_failure_bursts_stream_equals_batch(spark, tmp_path):
     expected = failure_bursts(batch)
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(expected)
     assert expected.count() > 10
+
+
+def test_bursts_are_alerted_at_once(spark, tmp_path):
+    t = datetime(2024, 1, 1)
+    data = [(t + timedelta(minutes=m), s) for m, s in [(0, "FAILED"), (30, "FAILED"), (300, "FAILED"), (301, "FAILED"), (302, "FAILED")]]
+    batch = spark.createDataFrame(data, "ts timestamp, status string")
+    for part in (batch.filter(F.col("ts") <= t + timedelta(minutes=300)), batch.filter(F.col("ts") > t + timedelta(minutes=300))):
+        part.write.mode("append").parquet(str(tmp_path / "src"))
+        stream = failure_burst(spark.readStream.schema(batch.schema).parquet(str(tmp_path / "src")))
+        run_to_end(alert_bursts(stream, str(tmp_path / "out"), str(tmp_path / "cp")))
+    # The last burst is there although nothing came after it.
+    assert rows(read_bursts(spark.read.parquet(str(tmp_path / "out")))) == rows(failure_bursts(batch))
+
+
+def test_successful_jobs_move_time_on(spark, tmp_path):
+    t = datetime(2024, 1, 1)
+    shape = "ts timestamp, status string"
+    for data in ([(t, "FAILED"), (t, "FAILED")], [(t + timedelta(hours=5), "SUCCESS")]):
+        spark.createDataFrame(data, shape).coalesce(1).write.mode("append").parquet(str(tmp_path / "src"))
+        stream = failure_burst(spark.readStream.schema(shape).parquet(str(tmp_path / "src")))
+        run_to_end(
+            stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+            .outputMode("append").trigger(availableNow=True).start()
+        )
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 12
