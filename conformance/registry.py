@@ -36,7 +36,7 @@ from tellerlake.sources.state import incremental, read_run_log, run_status, wate
 from tellerlake.sources.warehouse import load_all
 from tellerlake.streaming.bursts import alert_bursts, failure_burst, read_bursts
 from tellerlake.streaming.ingest import landing_stream, run_to_end, stream_bronze
-from tellerlake.streaming.quality import first_of_key, stream_dq
+from tellerlake.streaming.quality import stream_dq
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,10 +118,9 @@ def _stream_dq(w: Workspace) -> DataFrame:
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(w.sf_dir)
     # Every 997th event is delivered twice.
     times = F.when(F.col("event_id") % 997 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    rows = events.withColumn("_copy", F.explode(times)).selectExpr(*mapping.columns("payment_gateway_logs"))
-    stream = first_of_key(rows, ["txn_id"], "processed_timestamp", "1 hour")
+    stream = events.withColumn("_copy", F.explode(times)).selectExpr(*mapping.columns("payment_gateway_logs"))
     silver, quarantine = scratch_path(spark, "silver"), scratch_path(spark, "quarantine")
-    run_to_end(stream_dq(stream, RULES["payment_gateway_logs"], silver, quarantine, scratch_path(spark, "checkpoint")))
+    run_to_end(stream_dq(stream, RULES["payment_gateway_logs"], silver, quarantine, scratch_path(spark, "checkpoint"), ["txn_id"]))
     return spark.read.parquet(silver).select(*_source_columns("payment_gateway_logs"))
 
 

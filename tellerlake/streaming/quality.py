@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tellerlake.operators.skew import keyed_join
 from tellerlake.quality.engine import MASK, evaluate_rows, reason_text
 from tellerlake.quality.rules import ColumnRule, Rule
+from tellerlake.session import settle, settle_keys
 
 
 def first_of_key(stream: DataFrame, key: list[str], event_time: str, delay: str, fanout: int = 32) -> DataFrame:
@@ -26,19 +28,51 @@ def first_of_key(stream: DataFrame, key: list[str], event_time: str, delay: str,
     )
 
 
+def _keys_of_other_batches(spark: SparkSession, silver: str, key: list[str], number: int) -> DataFrame | None:
+    try:
+        written = spark.read.parquet(silver)
+    except Exception as missing:  # nothing written yet
+        if not any(reason in str(missing) for reason in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            raise
+        return None
+    return written.filter(F.col("batch") != number).select(*key).distinct()
+
+
+def mark_repeated(rows: DataFrame, key: list[str], known: DataFrame | None) -> DataFrame:
+    """Rows that passed, but whose key was written before or comes earlier in the batch, fail as Repeated(key).
+
+    Only keys and row numbers are shuffled to find them. ``rows`` must not change between two readings.
+    """
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    first = numbered.filter("dq_passed").groupBy(*key).agg(F.min("_row").alias("_first"))
+    if known is not None:
+        written = known.withColumn("_written", F.lit(True))
+        first = first.join(written, key, "left").select(*key, F.when(F.col("_written"), F.lit(-1)).otherwise(F.col("_first")).alias("_first"))
+    joined = keyed_join(numbered, settle_keys(first), key)
+    repeated = F.col("dq_passed") & (F.col("_first") != F.col("_row"))
+    return joined.withColumns({
+        "broken_rules": F.when(repeated, F.lit(f"Repeated({','.join(key)})")).otherwise(F.col("broken_rules")),
+        "dq_passed": F.col("dq_passed") & ~F.coalesce(repeated, F.lit(False)),
+    }).drop("_row", "_first")
+
+
 def stream_dq(
-    stream: DataFrame, rules: Sequence[Rule], silver: str, quarantine: str, checkpoint: str
+    stream: DataFrame, rules: Sequence[Rule], silver: str, quarantine: str, checkpoint: str, key: list[str] | None = None
 ) -> StreamingQuery:
     """Write rows that keep the rules to ``silver`` and the others, with reasons, to ``quarantine``.
 
-    Only rules that look at single rows apply to a stream; unique keys come from the
-    de-duplication before. Each batch goes to a folder of its own number, so a repeated batch
-    replaces what its first attempt left behind.
+    Rules that look at single rows apply as they are. With ``key``, the first row of a key that passes
+    goes to silver, and repetitions go to quarantine, however late they come: every row of the stream
+    is in one of the two. That reads the key columns of silver once per batch; streams too long for it use
+    :func:`first_of_key` before, which forgets keys behind the watermark. Each batch goes to a folder of its own
+    number, so a repeated batch replaces what its first attempt left behind.
     """
     checks = [r for r in rules if isinstance(r, ColumnRule)]
 
     def write(batch: DataFrame, number: int) -> None:
         rows = evaluate_rows(batch, checks).withColumn("broken_rules", reason_text(checks)).drop(MASK)
+        if key:
+            rows = mark_repeated(settle(rows, "stream-batch"), key, _keys_of_other_batches(batch.sparkSession, silver, key, number))
         rows = rows.persist()
         try:
             passed = rows.filter("dq_passed").drop("dq_passed", "broken_rules")

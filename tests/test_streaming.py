@@ -93,3 +93,20 @@ def test_successful_jobs_move_time_on(spark, tmp_path):
             .outputMode("append").trigger(availableNow=True).start()
         )
     assert spark.read.parquet(str(tmp_path / "out")).count() == 12
+
+
+def test_late_and_repeated_rows_go_to_quarantine(spark, tmp_path):
+    src, silver, quarantine, checkpoint = (str(tmp_path / n) for n in ("src", "silver", "quarantine", "cp"))
+    t = datetime(2024, 1, 5)
+    loads = [
+        [(1, "SUCCESS", t)] * 20 + [(2, "BROKEN", t), (3, "SUCCESS", t)],
+        [(3, "SUCCESS", t + timedelta(days=3)), (4, "SUCCESS", t + timedelta(days=3)), (None, "SUCCESS", t)],
+        [(5, "SUCCESS", t - timedelta(days=9)), (2, "SUCCESS", t), (1, "FAILED", t + timedelta(days=9))],
+    ]
+    for data in loads:
+        stream = payments(spark, src, data)
+        run_to_end(stream_dq(stream, RULES["payment_gateway_logs"], silver, quarantine, checkpoint, ["txn_id"]))
+    assert rows(spark.read.parquet(silver), "txn_id") == [(1,), (2,), (3,), (4,), (5,)]
+    failed = rows(spark.read.parquet(quarantine), "txn_id", "broken_rules")
+    assert failed == [(None, "Completeness(txn_id)")] + [(1, "Repeated(txn_id)")] * 20 + [(2, "InSet(gateway_status)"), (3, "Repeated(txn_id)")]
+    assert spark.read.parquet(src).count() == 5 + len(failed)
