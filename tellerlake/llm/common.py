@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ def worker_state() -> dict:
     return vars(sys.modules[name]).setdefault("state", {})
 
 
-def tasks_for(df: DataFrame) -> int:
-    """As many partitions as a shuffle of this session makes."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def in_small(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that what a function makes of them stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)

@@ -119,9 +119,9 @@ def arithmetic(rows: np.ndarray) -> np.ndarray:
 def exact_top(ids: np.ndarray, rows: np.ndarray, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The same for numbers of any size."""
     at = np.flatnonzero(ids != query_id)
-    scores = [int(x) for x in rows[at] @ query]
+    scores = [min(max(int(x), -(2**63)), 2**63 - 1) for x in rows[at] @ query]
     best = sorted(range(len(at)), key=lambda i: (-scores[i], ids[at[i]]))[:k]
-    return at[best], np.array([min(max(scores[i], -(2**63)), 2**63 - 1) for i in best], dtype=np.int64)
+    return at[best], np.array([scores[i] for i in best], dtype=np.int64)
 
 
 def answer(cell: pa.Table, k: int) -> pa.Table:
