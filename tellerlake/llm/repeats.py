@@ -11,8 +11,9 @@ the length of the common prefix: a boundary between two suffixes, extended backw
 boundary of a prefix one symbol longer. The expansion stops at ``length``; rows without a boundary by then
 share that many bytes with the row above. It stays within one text, as a separator follows each run.
 
-Hot keys (more than ``hot_runs`` different runs) are cut into their single strings, which are counted by their own hash
-before anything is shuffled. Copies of a run are counted the same way, so no task sees all copies.
+Hot keys (more than ``hot_runs`` different runs, such as a line that is shorter than ``length``) are cut again
+with longer grams, which reach into what stands around; the longest gram is the string itself, whose key leaves
+nothing to compare. Copies of a run are counted before they are shuffled, so no task sees all copies.
 
 Defined results: texts are UTF-8 bytes, a null text is an empty one; rows with the same id and text count as
 different places; null ids are kept; an empty table gives no rows; texts shorter than ``length`` lose
@@ -31,23 +32,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tellerlake.llm.common import picked
+from tellerlake.llm.common import in_small, picked
 from tellerlake.session import settle
 
 LENGTH = 200
 BLOCK = 1 << 20
 LONGEST_RUN = 512
-HOT_RUNS = 300
-BATCH = 1 << 20
+HOT_RUNS = 4000
+BATCH = 1 << 15
 STEP = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xD6E8FEB86659FD93)
 # A run's place: first byte, then the number of strings less one.
 PLACE_BITS = 10
 
 
-def gram_size(length: int) -> int:
-    """A power of two, about a third of the length."""
-    return 1 << max(0, (length // 3).bit_length() - 1)
+def gram_sizes(length: int) -> list[int]:
+    """About a third, two thirds and all but all of the length, then all of it."""
+    least = 1 << max(0, (length // 3).bit_length() - 1)
+    return sorted({least, min(2 * least, length), min(3 * least, length), length})
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -57,13 +59,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
-    """Hash of each ``size`` bytes (a power of two): two halves make a whole."""
-    found, n, step = raw.astype(np.uint64) + np.uint64(1), 1, STEP
-    while n < size:
-        found = found[:-n] * np.uint64(step) + found[n:]
+    """Hash of each ``size`` bytes: halves make wholes, and the powers of two in ``size`` follow each other."""
+    part, n, step = raw.astype(np.uint64) + np.uint64(1), 1, STEP
+    found, have = None, 0
+    count = len(raw) - size + 1
+    while True:
+        if size & n:
+            own = part[have : have + count]
+            found = own if found is None else mixed(found) * np.uint64(STEP) + own
+            have += n
+        if have == size:
+            return mixed(found)
+        part = part[:-n] * np.uint64(step) + part[n:]
         step = (step * step | 1) & (1 << 64) - 1
         n *= 2
-    return mixed(found)
 
 
 def sliding(values: np.ndarray, width: int, pick: Callable) -> np.ndarray:
@@ -75,12 +84,11 @@ def sliding(values: np.ndarray, width: int, pick: Callable) -> np.ndarray:
     return pick(values[: len(values) - (width - n)], values[width - n :]) if width > n else values
 
 
-def runs(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a whole text: key, hash of the bytes, first byte, number of strings, and whether strings inside may be equal."""
     from xxhash import xxh3_64_intdigest
 
-    gram, parts = gram_size(length), []
-    width = length - gram + 1
+    parts, width = [], length - gram + 1
     for origin in range(0, max(len(data) - length + 1, 0), BLOCK):
         raw = np.frombuffer(data, np.uint8, min(BLOCK + length - 1, len(data) - origin), origin)
         grams = gram_hashes(raw, gram)
@@ -106,36 +114,37 @@ def runs(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
-def all_runs(texts: DataFrame, length: int) -> DataFrame:
+def all_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """(key, hash, row, place, again) of all runs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row = batch.column("row").to_numpy()
-            for first in range(0, len(row), 1000):
-                found = [runs(t.as_py(), length) for t in batch.column("data")[first : first + 1000]]
-                key, whole, start, size, again = (np.concatenate(c) for c in zip(*found, strict=True))
-                rows = np.repeat(row[first : first + 1000], [len(f[0]) for f in found])
-                columns = [pa.array(c) for c in (key, whole, rows, (start << PLACE_BITS) | (size - 1), again)]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "hash", "row", "place", "again"])
+        for batch in in_small(batches, 1000):
+            found = [runs(t.as_py(), length, gram) for t in batch.column("data")]
+            key, whole, start, size, again = (np.concatenate(c) for c in zip(*found, strict=True))
+            rows = np.repeat(batch.column("row").to_numpy(), [len(f[0]) for f in found])
+            columns = [pa.array(c) for c in (key, whole, rows, (start << PLACE_BITS) | (size - 1), again)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "hash", "row", "place", "again"])
 
     return texts.select("row", "data").mapInArrow(work, "key long, hash long, row long, place long, again boolean")
 
 
 def sorted_suffixes(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Positions in the order of at least ``depth`` symbols from there on (prefix doubling)."""
-    rank, n, have = symbols.astype(np.int64), len(symbols), 1
+    n, have = len(symbols), 7
+    both = np.zeros(n, np.int64)
+    for k in range(have):  # seven symbols of nine bits fit a number
+        both <<= 9
+        both[: n - k] |= symbols[k:]
     while True:
-        behind = np.zeros(n, np.int64)
-        behind[: max(n - have, 0)] = rank[have:] + 1
-        both = rank * (int(rank.max(initial=0)) + 2) + behind
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         ordered = both[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]])
-        have *= 2
         if have >= depth or rank[order[-1]] == n - 1:
             return order
+        both = rank * (n + 1)
+        both[: max(n - have, 0)] += rank[have:] + 1
+        have *= 2
 
 
 def shared_with_above(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -152,19 +161,23 @@ def shared_with_above(symbols: np.ndarray, order: np.ndarray, length: int) -> np
     row[n] = 0
     following = row[order + 1]
     first = symbols[order]
-    boundary = np.r_[True, first[1:] != first[:-1]]
-    open_ = np.flatnonzero(~boundary)
+    boundary = np.r_[True, first[1:] != first[:-1]].astype(np.int32)
+    open_ = np.flatnonzero(boundary == 0)
     low, high = following[open_ - 1], following[open_]
     for _ in range(1, length):
         if not len(open_):
             break
         passed = np.cumsum(boundary, dtype=np.int32)
-        parted = passed[high] != passed[low]
-        boundary[open_[parted]] = True
-        if not parted.any():
+        parted = np.flatnonzero(passed.take(high) != passed.take(low))
+        new = open_.take(parted)
+        if boundary.take(new).all():
             break  # no new boundary, so none will follow from it
-        open_, low, high = open_[~parted], low[~parted], high[~parted]
-    return ~boundary
+        boundary[new] = 1
+        if 8 * len(new) > len(open_):  # settled rows are dropped now and then
+            rest = np.ones(len(open_), bool)
+            rest[parted] = False
+            open_, low, high = open_[rest], low[rest], high[rest]
+    return boundary == 0
 
 
 def repeated_starts(texts: list[bytes], length: int) -> list[np.ndarray]:
@@ -207,7 +220,7 @@ def compared(contents: DataFrame, length: int) -> DataFrame:
             columns = [pa.array(np.concatenate(c).astype(np.int64) if c else np.empty(0, np.int64)) for c in (row, start, size)]
             return pa.RecordBatch.from_arrays(columns, names=["row", "start", "size"])
 
-        for batch in batches:
+        for batch in in_small(batches, 1000):
             columns = [batch.column(c).to_pylist() for c in ("key", "row", "start", "single", "data")]
             for entry in zip(*columns, strict=True):
                 if total > BATCH and entry[0] != held[-1][0]:
@@ -222,67 +235,87 @@ def compared(contents: DataFrame, length: int) -> DataFrame:
     return ordered.select("key", "row", "start", "single", "data").mapInArrow(work, "row long, start long, size long")
 
 
-def slices(texts: DataFrame, wanted: DataFrame, length: int, each: bool) -> DataFrame:
-    """The bytes of ``wanted`` runs (key, single, row, place), or, with ``each``, two hashes of each of their strings."""
-    from xxhash import xxh3_64_intdigest, xxh64_intdigest
+def slices(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """The bytes of ``wanted`` runs: (key, row, start, single, data) from (key, single, row, place)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_small(batches, 100):
             out: list[list] = [[], [], [], [], []]
             for row, data, runs_ in zip(batch.column("row").to_pylist(), batch.column("data"), batch.column("runs").to_pylist(), strict=True):
                 whole = data.as_py()
                 for run in runs_:
                     start, size = run["place"] >> PLACE_BITS, (run["place"] & ((1 << PLACE_BITS) - 1)) + 1
-                    if each:
-                        for s in range(start, start + size):
-                            string = whole[s : s + length]
-                            for column, value in zip(out, (signed(xxh3_64_intdigest(string)), row, s, run["single"], signed(xxh64_intdigest(string))), strict=True):
-                                column.append(value)
-                    else:
-                        for column, value in zip(out, (run["key"], row, start, run["single"], whole[start : start + size + length - 1]), strict=True):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["key", "row", "start", "single", last])
-
-    last, kinds = ("second", (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())) if each else ("data", (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))
+                    for column, value in zip(out, (run["key"], row, start, run["single"], whole[start : start + size + length - 1]), strict=True):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["key", "row", "start", "single", "data"])
+
     by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "single", "place")).alias("runs"))
-    shape = f"key long, row long, start long, single boolean, {last} {'long' if each else 'binary'}"
-    return texts.join(by_row, "row").select("row", "id", "data", "runs").mapInArrow(work, shape)
+    return texts.join(by_row, "row").select("row", "id", "data", "runs").mapInArrow(work, "key long, row long, start long, single boolean, data binary")
 
 
-def signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def cut_again(contents: DataFrame, length: int, gram: int) -> DataFrame:
+    """Runs by longer grams inside of runs (row, start, data), with their bytes."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_small(batches, 1000):
+            out: list[list] = [[], [], [], [], [], []]
+            for row, begin, data in zip(batch.column("row").to_pylist(), batch.column("start").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                for key, whole, start, size, again in zip(*(c.tolist() for c in runs(data, length, gram)), strict=True):
+                    own = (key, whole, row, ((begin + start) << PLACE_BITS) | (size - 1), again, data[start : start + size + length - 1])
+                    for column, value in zip(out, own, strict=True):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["key", "hash", "row", "place", "again", "data"])
 
-def repeated_strings(scan: DataFrame, texts: DataFrame, length: int, hot_runs: int) -> DataFrame:
-    """(row, start, size): stretches of starts of repeated strings; together they are all, some more than once.
+    return contents.select("row", "start", "data").mapInArrow(work, "key long, hash long, row long, place long, again boolean, data binary")
 
-    ``texts`` are the rows of ``scan``, shuffled by row; only looking up the bytes of runs needs that.
-    """
-    seen = all_runs(scan, length).groupBy("key").agg(
-        F.count("*").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"), F.max("again").alias("again")
-    )
+
+def place_columns() -> list:
+    return [F.shiftright("place", PLACE_BITS).alias("start"), (F.col("place").bitwiseAND((1 << PLACE_BITS) - 1) + 1).alias("size")]
+
+
+def sorted_out(pieces: DataFrame, carried: list[str], hot_runs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of runs (key, hash, row, place, again and ``carried``): the repeated ones (row, start, size), and those to be
+    compared with others of their key, each kind once: of ordinary keys and of hot ones."""
+    seen = pieces.groupBy("key").agg(F.count("*").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"), F.max("again").alias("again"))
     keys = settle(seen.filter("n > 1 or again").select("key", ((F.col("low") != F.col("high")) | F.col("again")).alias("open")), "repeated-keys")
-    places = settle(all_runs(scan, length).join(keys, "key"), "repeated-runs")
+    places = settle(pieces.join(keys, "key"), "repeated-runs")
 
     # Runs that differ from others of their key, once each; those that have copies are repeated anyway.
-    distinct = places.filter("open").groupBy("key", "hash").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one"), F.max("again").alias("again"))
-    once = settle(distinct.select("key", "hash", (F.col("n") == 1).alias("single"), "one.row", "one.place", "again"), "different-runs")
+    distinct = places.filter("open").groupBy("key", "hash").agg(F.count("*").alias("n"), F.min(F.struct("row", "place", *carried)).alias("one"))
+    once = settle(distinct.select("key", "hash", (F.col("n") == 1).alias("single"), "one.*"), "different-runs")
     load = settle(once.groupBy("key").agg(F.count("*").alias("n"), F.max("single").alias("single")).filter("single"), "open-keys")
     hot, mild = (settle(once.join(load.filter(c).select("key"), "key", "left_semi"), name) for c, name in ((F.col("n") > hot_runs, "hot-runs"), (F.col("n") <= hot_runs, "open-runs")))
 
-    def size(place: str) -> list:
-        return [F.shiftright(place, PLACE_BITS).alias("start"), (F.col(place).bitwiseAND((1 << PLACE_BITS) - 1) + 1).alias("size")]
-
-    whole = places.filter("not open").select("row", *size("place"))
+    whole = places.filter("not open").select("row", *place_columns())
     copied = once.filter("not single").select("key", "hash")
-    copies = places.filter("open").join(copied, ["key", "hash"], "left_semi").select("row", *size("place"))
-    found = whole.unionByName(copies).unionByName(compared(slices(texts, mild, length, each=False), length))
-    if hot.isEmpty():
-        return found
-    strings = settle(slices(texts, hot, length, each=True), "hot-strings")
-    twice = settle(strings.groupBy("key", "second").count().filter("count > 1").select("key", "second"), "repeated-strings")
-    again = strings.filter("single").join(twice, ["key", "second"], "left_semi").select("row", "start", F.lit(1).cast("long").alias("size"))
-    return found.unionByName(again)
+    copies = places.filter("open").join(copied, ["key", "hash"], "left_semi").select("row", *place_columns())
+    return whole.unionByName(copies), mild, hot
+
+
+def repeated_strings(scan: DataFrame, texts: DataFrame, length: int, hot_runs: int) -> DataFrame:
+    """(row, start, size): stretches of starts of repeated strings; together they are all, some more than once.
+
+    ``texts`` are the rows of ``scan``, shuffled by row; only looking up the bytes of runs needs that.
+    """
+    first, *longer = gram_sizes(length)
+    found, mild, hot = sorted_out(all_runs(scan, length, first), [], hot_runs)
+    found = found.unionByName(compared(slices(texts, mild, length), length))
+    contents = None
+    for gram in longer:
+        if hot.isEmpty():
+            break
+        contents = slices(texts, hot, length) if contents is None else hot.select("row", *place_columns(), "data")
+        pieces = settle(cut_again(contents, length, gram), "hot-runs-cut")
+        if gram == length:  # an equal key is an equal string, in a run as well as in two
+            places = pieces.select("key", "row", *place_columns())
+            again = places.groupBy("key").agg(F.count("*").alias("n"), F.max("size").alias("most")).filter("n > 1 or most > 1").select("key")
+            found = found.unionByName(places.join(settle(again, "repeated-keys"), "key", "left_semi").drop("key"))
+            break
+        more, mild, hot = sorted_out(pieces, ["data"], hot_runs)
+        found = found.unionByName(more).unionByName(compared(mild.select("key", "row", *place_columns(), "single", "data"), length))
+    return found
 
 
 def removed_spans(start: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +342,7 @@ def without_repeats(
     by_row = found.groupBy("row").agg(F.collect_list(F.struct("start", "size")).alias("strings"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_small(batches, 200):
             removed, number, digest, spans, rest = [], [], [], [], []
             strings = batch.column("strings")
             for at, data in enumerate(batch.column("data")):
