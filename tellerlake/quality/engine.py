@@ -15,6 +15,7 @@ from tellerlake.quality.rules import KeyRule, Rule
 from tellerlake.session import settle_keys
 
 MASK = "broken_mask"
+_WORD = 62
 PASSED = "dq_passed"
 HELPERS = (MASK, PASSED)
 
@@ -25,14 +26,14 @@ OUTCOME_SCHEMA = """table_name string, run_date date, rule_no int, rule string,
 def evaluate_rows(
     df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Add a bit mask of the rules each row breaks (bit i for rule i), and whether it breaks none.
+    """Add a bit mask of the rules each row breaks, and whether it breaks none.
+
+    Rule i is bit i % 62 of word i // 62 of the mask.
 
     Column rules are one projection. A key rule first finds its failing key values from the key
     column alone; the (usually few) values are then joined to the rows. The mask keeps the work per
     row to integer arithmetic in generated code; names are spelled out by :func:`failed_rules`.
     """
-    if len(rules) > 62:
-        raise ValueError("at most 62 rules fit into the mask; split the rule set")
     marked, checks = df, []
     for i, rule in enumerate(rules):
         if isinstance(rule, KeyRule):
@@ -42,14 +43,16 @@ def evaluate_rows(
             checks.append(F.col(flag).isNull())
         else:
             checks.append(rule.row_ok())
-    bits = [F.when(ok, F.lit(0)).otherwise(F.lit(1 << i)).cast("bigint") for i, ok in enumerate(checks)]
-    mask = reduce(Column.__add__, bits)
-    return marked.select(*df.columns, mask.alias(MASK)).withColumn(PASSED, F.col(MASK) == 0)
+    bits = [F.when(ok, F.lit(0)).otherwise(F.lit(1 << i % _WORD)).cast("bigint") for i, ok in enumerate(checks)]
+    words = [reduce(Column.__add__, bits[k : k + _WORD]) for k in range(0, len(bits), _WORD)] or [F.lit(0).cast("bigint")]
+    mask = F.struct(*[w.alias(f"w{k}") for k, w in enumerate(words)])
+    none = reduce(Column.__and__, [F.col(f"{MASK}.w{k}") == 0 for k in range(len(words))])
+    return marked.select(*df.columns, mask.alias(MASK)).withColumn(PASSED, none)
 
 
 def breaks(i: int) -> Column:
     """Whether the row breaks rule ``i`` of its rule set."""
-    return F.col(MASK).bitwiseAND(F.lit(1 << i)) != 0
+    return F.col(f"{MASK}.w{i // _WORD}").bitwiseAND(F.lit(1 << i % _WORD)) != 0
 
 
 def failed_rules(rules: Sequence[Rule]) -> Column:

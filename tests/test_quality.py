@@ -139,3 +139,12 @@ def test_risk_band_in_silver(spark):
     result = build_silver(df, SPEC["credit_bureau_reports"], RUN)
     assert rows(result.silver, "customer_id", "risk_band") == [(1, "EXCELLENT")]
     assert rows(result.quarantine, "customer_id", "broken_rules") == [(2, "Completeness(credit_score)")]
+
+
+def test_any_number_of_rules(spark):
+    df = spark.createDataFrame([(i, i) for i in range(0, 140, 7)], "n int, v int")
+    rules = [Compare("v", "<=" if i % 2 else "<", i) for i in range(130)]
+    wanted = [",".join(r.name for i, r in enumerate(rules) if (n > i if i % 2 else n >= i)) for n in range(0, 140, 7)]
+    assert broken(df, rules) == wanted
+    outcomes = engine.evaluate_rules(df, rules, "t", "2025-03-01")
+    assert outcomes.count() == 130 and outcomes.filter("rule_no = 130").first().failing_rows == 1
