@@ -18,6 +18,14 @@ def stars(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def is_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other node, and none hangs on a node that hangs itself."""
+    upper = edges.groupBy("u").agg(F.count("*").alias("n"))
+    if not upper.filter("n > 1").isEmpty():
+        return False
+    return edges.select(F.col("v").alias("u")).distinct().join(upper, "u", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of an edge; root is the least node that can be reached.
 
@@ -28,14 +36,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     found = settle(
         edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
-    mark = None
-    while True:
-        now = found.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
-        if not now[0]:
-            break
+    while not is_stars(found):
         found = settle(stars(found), "stars")
     roots = found.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return found.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
