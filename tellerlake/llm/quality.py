@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tellerlake.llm.common import column, picked
+from tellerlake.llm.common import column, in_small, picked
 
 TRAINING_DOCS = 3000
 TRAINING_LINES = 2000
@@ -288,15 +288,15 @@ def scored(docs: DataFrame, field: Field, text_col: str = "text", score_col: str
     place = docs.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_small(batches, 1000):
             scores = np.empty(batch.num_rows)
-            for first in range(0, batch.num_rows, 512):
-                own = [line_features(t.as_py() or "") for t in batch.column(place)[first : first + 512]]
+            for first in range(0, batch.num_rows, 128):
+                own = [line_features(t.as_py() or "") for t in batch.column(place)[first : first + 128]]
                 size = np.array([len(f) for f, _ in own])
                 begin = np.r_[0, np.cumsum(size)[:-1]]
                 x = with_neighbours(np.concatenate([f for f, _ in own]), begin)
                 length = np.concatenate([n for _, n in own]).astype(float)
-                scores[first : first + 512] = calibrated(field, raw_quality(field, x, begin, size, length))  # a few hundred numbers, sent along
+                scores[first : first + 128] = calibrated(field, raw_quality(field, x, begin, size, length))  # a few hundred numbers, sent along
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, score_col])
 
     return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))

@@ -14,7 +14,7 @@ import numpy as np
 
 from tellerlake.llm.common import worker_state
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 LONGEST_CACHED = 64
 # Lower-case letters that normal form C and lower-casing leave alone, or change one by one.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)\Z")
