@@ -236,22 +236,24 @@ def compared(contents: DataFrame, length: int) -> DataFrame:
 
 
 def slices(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of ``wanted`` runs: (key, row, start, single, data) from (key, single, row, place)."""
+    """The bytes of ``wanted`` runs: (key, row, start, single, hot, data) from (key, single, hot, row, place)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_small(batches, 100):
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for row, data, runs_ in zip(batch.column("row").to_pylist(), batch.column("data"), batch.column("runs").to_pylist(), strict=True):
                 whole = data.as_py()
                 for run in runs_:
                     start, size = run["place"] >> PLACE_BITS, (run["place"] & ((1 << PLACE_BITS) - 1)) + 1
-                    for column, value in zip(out, (run["key"], row, start, run["single"], whole[start : start + size + length - 1]), strict=True):
+                    own = (run["key"], row, start, run["single"], run["hot"], whole[start : start + size + length - 1])
+                    for column, value in zip(out, own, strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["key", "row", "start", "single", "data"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["key", "row", "start", "single", "hot", "data"])
 
-    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "single", "place")).alias("runs"))
-    return texts.join(by_row, "row").select("row", "id", "data", "runs").mapInArrow(work, "key long, row long, start long, single boolean, data binary")
+    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "single", "hot", "place")).alias("runs"))
+    shape = "key long, row long, start long, single boolean, hot boolean, data binary"
+    return texts.join(by_row, "row").select("row", "data", "runs").mapInArrow(work, shape)
 
 
 def cut_again(contents: DataFrame, length: int, gram: int) -> DataFrame:
@@ -294,19 +296,20 @@ def sorted_out(pieces: DataFrame, carried: list[str], hot_runs: int) -> tuple[Da
     return whole.unionByName(copies), mild, hot
 
 
-def repeated_strings(scan: DataFrame, texts: DataFrame, length: int, hot_runs: int) -> DataFrame:
+def repeated_strings(scan: DataFrame, length: int, hot_runs: int) -> DataFrame:
     """(row, start, size): stretches of starts of repeated strings; together they are all, some more than once.
 
-    ``texts`` are the rows of ``scan``, shuffled by row; only looking up the bytes of runs needs that.
+    The bytes of all runs that need them are looked up at once, so that texts move as often whether there are hot keys or not.
     """
     first, *longer = gram_sizes(length)
     found, mild, hot = sorted_out(all_runs(scan, length, first), [], hot_runs)
-    found = found.unionByName(compared(slices(texts, mild, length), length))
-    contents = None
+    wanted = mild.withColumn("hot", F.lit(False)).unionByName(hot.withColumn("hot", F.lit(True)))
+    looked_up = settle(slices(scan, wanted, length), "open-contents")
+    found = found.unionByName(compared(looked_up.filter("not hot"), length))
+    contents = looked_up.filter("hot")
     for gram in longer:
         if hot.isEmpty():
             break
-        contents = slices(texts, hot, length) if contents is None else hot.select("row", *place_columns(), "data")
         pieces = settle(cut_again(contents, length, gram), "hot-runs-cut")
         if gram == length:  # an equal key is an equal string, in a run as well as in two
             places = pieces.select("key", "row", *place_columns())
@@ -314,6 +317,7 @@ def repeated_strings(scan: DataFrame, texts: DataFrame, length: int, hot_runs: i
             found = found.unionByName(places.join(settle(again, "repeated-keys"), "key", "left_semi").drop("key"))
             break
         more, mild, hot = sorted_out(pieces, ["data"], hot_runs)
+        contents = hot.select("row", *place_columns(), "data")
         found = found.unionByName(more).unionByName(compared(mild.select("key", "row", *place_columns(), "single", "data"), length))
     return found
 
@@ -337,8 +341,7 @@ def without_repeats(
     # Ids need not be unique: a row is known by its id and its text; equal rows are copies of each other.
     numbered = source.withColumn("row", F.xxhash64("id", "data"))
     scan = numbered.filter(F.octet_length("data") >= length).select("row", "id", "data")
-    texts = scan.repartition("row")  # one shuffle, read both to look up runs and to cut the texts
-    found = repeated_strings(scan, texts, length, hot_runs)
+    found = repeated_strings(scan, length, hot_runs)
     by_row = found.groupBy("row").agg(F.collect_list(F.struct("start", "size")).alias("strings"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,6 +370,6 @@ def without_repeats(
     if keep_text:
         schema = schema.add("spans", T.ArrayType(T.StructType().add("begin", T.LongType()).add("end", T.LongType()))).add("kept", T.BinaryType())
     names = schema.names
-    long = texts.join(by_row, "row", "left").select("id", "data", "strings")
+    long = scan.join(by_row, "row", "left").select("id", "data", "strings")
     short = source.filter(F.octet_length("data") < length).select("id", "data", F.lit(None).cast("array<struct<start:long,size:long>>").alias("strings"))
     return long.unionByName(short).mapInArrow(work, schema).withColumnRenamed("id", id_col)
