@@ -5,7 +5,7 @@ set of sources); a pattern's words can be used up to ``max_repeats`` times, each
 higher price (1, 4, 9, ...: convex, so that flow fills first uses everywhere before second ones). Flow runs from
 patterns to the sources they belong to and on to the sources' targets. The flow of a pattern over
 its size says how often its documents are taken: all of them ``k`` times, and one more time those
-that come first in a seeded hash order, up to the rest.
+that come first in a seeded hash order, up to the rest; documents that do not fit are passed over.
 
 The driver holds one row per pattern and source: the number of patterns is assumed to be small, as
 sources are (it does not grow with the documents). Where the hash order is cut is found digit by digit in counts of 256 rows per pattern,
@@ -13,7 +13,7 @@ so nothing is sorted and no task sees all documents of a source.
 
 Defined results: a null text has size 0; a null source is a source of its own, ordered last;
 documents without words are taken 0 times; repeated rows are documents of their own with equal
-choice (same id, text and source; only among such does a filler count more than once); an empty table gives no rows. Other columns pass through
+choice (same id, text and source: all are taken once more or none); an empty table gives no rows. Other columns pass through
 unread, unless the operator's own names (size, source_size, target, taken) clash, which replace them.
 """
 
@@ -33,7 +33,6 @@ from tellerlake.session import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 DIGIT_BITS, DIGITS = 8, 7
-FILLERS = 4
 
 
 def words(text: Column) -> Column:
@@ -107,10 +106,11 @@ def min_cost_flow(patterns: dict[tuple[int, ...], int], targets: Sequence[int],
     }
 
 
-def cut_points(sized: DataFrame, rest: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
+def cut_points(sized: DataFrame, rest: dict[int, int], begin: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
     """For each pattern the hash below which documents hold at most ``rest`` words, and the words still missing.
 
-    One digit of the hash per round; a round counts only the documents that share the digits found so far.
+    Documents before ``begin`` or with more than ``rest`` words are passed over. One digit of the hash per round; a
+    round counts only the documents that share the digits found so far.
     """
     spark = sized.sparkSession
     found, left = {p: 0 for p in rest}, dict(rest)
@@ -119,10 +119,11 @@ def cut_points(sized: DataFrame, rest: dict[int, int]) -> tuple[dict[int, int],
         if not counting:
             break
         shift = DIGIT_BITS * (DIGITS - 1 - digit)
-        known = spark.createDataFrame([(p, found[p]) for p in sorted(counting)], "pattern int, prefix long")
+        facts = [(p, found[p], begin[p], rest[p]) for p in sorted(counting)]
+        known = spark.createDataFrame(facts, "pattern int, prefix long, begin long, most long")
         rows = (
             sized.join(F.broadcast(known), "pattern")  # a row per pattern
-            .filter(F.shiftright("order", shift + DIGIT_BITS) == F.col("prefix"))
+            .filter((F.shiftright("order", shift + DIGIT_BITS) == F.col("prefix")) & (F.col("order") >= F.col("begin")) & (F.col("size") <= F.col("most")))
             .groupBy("pattern", (F.shiftright("order", shift).bitwiseAND(2**DIGIT_BITS - 1)).alias("digit"))
             .agg(F.sum("size").alias("size"), F.count("*").alias("docs")).collect()
         )
@@ -143,28 +144,20 @@ def cut_points(sized: DataFrame, rest: dict[int, int]) -> tuple[dict[int, int],
     return found, left
 
 
-def fillers(sized: DataFrame, below: dict[int, int], left: dict[int, int]) -> dict[int, list[int]]:
-    """For each pattern a few documents behind the cut (by hash) that fill what is missing: each time the largest that fits."""
-    spark = sized.sparkSession
-    chosen: dict[int, list[int]] = {p: [] for p in below}
-    open_ = {p for p in below if left[p] > 0}
-    for _ in range(FILLERS):
-        if not open_:
-            break
-        facts = [(p, below[p], left[p], chosen[p]) for p in sorted(open_)]
-        known = spark.createDataFrame(facts, "pattern int, below long, missing long, chosen array<long>")
-        behind = sized.join(F.broadcast(known), "pattern").filter(
-            (F.col("order") >= F.col("below")) & (F.col("size") > 0) & (F.col("size") <= F.col("missing")) & ~F.array_contains("chosen", F.col("order"))
-        )
-        best = behind.groupBy("pattern").agg(F.max(F.struct("size", "order")).alias("best")).collect()
-        open_ = set()
-        for r in best:
-            p = r["pattern"]
-            chosen[p].append(r["best"]["order"])
-            left[p] -= r["best"]["size"]
-            if left[p] > 0:
-                open_.add(p)
-    return chosen
+def cuts(sized: DataFrame, rest: dict[int, int]) -> dict[int, list[tuple[int, int, int]]]:
+    """For each pattern ranges of hashes (from, below, largest size) whose documents hold ``rest`` words together, as far as any fit.
+
+    The document at which a range ends does not fit, nor will it later: the search goes on behind it, with less missing.
+    """
+    found: dict[int, list[tuple[int, int, int]]] = {p: [] for p in rest}
+    left, begin = {p: r for p, r in rest.items() if r > 0}, dict.fromkeys(rest, 0)
+    while left:
+        below, missing = cut_points(sized, left, begin)
+        for p in below:
+            found[p].append((begin[p], below[p], left[p]))
+            begin[p] = below[p] + 1
+        left = {p: m for p, m in missing.items() if m > 0 and below[p] < 2 ** (DIGIT_BITS * DIGITS)}
+    return found
 
 
 def mix(
@@ -202,10 +195,10 @@ def mix(
     facts = [(r["key"], i, repeats[i], sizes[member[i][0]], targets[member[i][0]]) for i, r in enumerate(patterns)]
     table = F.broadcast(spark.createDataFrame(facts, schema))
     sized = narrow.join(table.select("key", "pattern"), "key").select("pattern", "size", "order")
-    below, left = cut_points(sized, rest)
-    more = fillers(sized, below, left)
-    limits = F.broadcast(spark.createDataFrame([(p, b, more[p]) for p, b in sorted(below.items())], "pattern int, below long, more array<long>"))
-    once_more = (F.col("order") < F.col("below")) | F.array_contains("more", F.col("order"))
+    ranges = sorted(cuts(sized, rest).items())
+    limits = F.broadcast(spark.createDataFrame(ranges, "pattern int, ranges array<struct<begin: long, below: long, most: long>>"))
+    inside = lambda r: (F.col("order") >= r["begin"]) & (F.col("order") < r["below"]) & (F.col("size") <= r["most"])
+    once_more = F.exists("ranges", inside)
     taken = (F.col("repeats") + once_more.cast("long")) * F.col("size")
     chosen = base.join(table, "key").join(limits, "pattern").withColumn("taken", taken)
     back = [F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in own]

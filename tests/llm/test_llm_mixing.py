@@ -95,3 +95,22 @@ def test_many_equal_rows(spark):
     rows = [(1, "a b c", "x")] * 50 + [(i, "a b c d", "y") for i in range(50)]
     found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), F.array("source")).collect()
     assert len(found) == 100 and all(r.taken <= 3 * r.size for r in found)
+
+
+def test_documents_behind_a_long_one_are_taken(spark):
+    bits = mixing.DIGIT_BITS * mixing.DIGITS
+    sizes = [300_000 if i == 300 else 1_000 for i in range(701)]
+    rows = [(0, n, (i << bits - 10) + 7) for i, n in enumerate(sizes)]
+    rows += [(1, 30, 5)] * 50 + [(1, 40, 9 << bits - 10)]  # equal rows: all or none
+    found = mixing.cuts(spark.createDataFrame(rows, "pattern int, size long, order long"), {0: 500_000, 1: 100, 2: 7, 3: 0})
+    total = [sum(n for q, n, order in rows if q == p and any(a <= order < b and n <= most for a, b, most in found[p])) for p in range(4)]
+    assert total == [500_000, 40, 0, 0]
+
+
+def test_a_long_document_leaves_no_gap(spark):
+    for seed in range(3):
+        rows = [(0, "w " * 3000, "a")] + [(i, "w " * 10, "a") for i in range(1, 701)] + [(i, "w " * 10, "b") for i in range(1000, 1400)]
+        found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), F.array("source"), seed=seed).collect()
+        names, _, targets = plan(found)
+        for s in names:
+            assert targets[s] - sum(r.taken for r in found if r.source == s) <= 10
