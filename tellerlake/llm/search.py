@@ -12,7 +12,7 @@ meets every vector once, in the cell of its block and the vector's shard.
 
 Defined results: vectors that are null, or hold null or non-finite components, or have no id, take no part; an
 empty vector scores 0 with all; vectors of other lengths count as filled up with zeros; repeated
-rows count once; rows that share a query's id are its own and no candidates; ties go to the
+rows count once, unlike vectors of one id are ranked each; rows that share a query's id are its own and no candidates; ties go to the
 smaller id; an empty table gives no rows. Components and scores beyond
 64 bits are drawn to the nearest 64-bit number. Other columns are not read.
 """
@@ -158,6 +158,5 @@ def top_k(
     shown = ["id", "v", "query", (F.col("shard") * blocks + F.col("block")).cast("long").alias("cell")]
     cells = everywhere.select(*shown).unionByName(asked.select(*shown)).groupBy("cell")
     found = cells.applyInArrow(lambda table: answer(table, k), "query_id long, vec_id long, score long")
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # an id may stand for several vectors
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -62,6 +62,14 @@ def test_search_of_few_and_none(spark, table):
     assert search.top_k(two.filter("vec_id = 0"), F.col("id") % 50 == 0).collect() == []
 
 
+def test_unlike_vectors_of_one_id_are_ranked_each(spark):
+    rows = [(0, [1.0]), *[(1, [10.0 + i]) for i in range(6)], (2, [9.0]), (3, [14.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    wanted = [(0, 1, 1, 15), (0, 2, 1, 14), (0, 3, 3, 14), (0, 4, 1, 13), (0, 5, 1, 12)]
+    for shard in (2048, 2):
+        assert sorted(map(tuple, search.top_k(df, F.col("id") == 0, scale=1, shard_rows=shard).collect())) == wanted
+
+
 def brute_links(rows, cosine=0.9):
     good = usable(rows, False)
     scaled = np.array([v / np.abs(v).max() for _, v in good])
