@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.llm import covertree, mixing, packing, passages, pii, quality, repeats, search, simhash, warc
+from tellerlake.llm import counterparts, covertree, lexical, mixing, packing, passages, pii, quality, repeats, search, secrets, simhash, vafile, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,18 @@ def op10_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, F.array("source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_aho_corasick_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, width=64, scale=64, seed=1).drop("fetched")
+
+
+def op13_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 SQL = {
     "op4_maxscore_search": """
         WITH v AS (
@@ -93,8 +105,8 @@ SQL = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii_weak_supervision, op3_crf_quality, op4_maxscore_search, op5_compact_windows, op6_cover_tree, op7_bwt_repeats, op8_warc_segments, op9_simhash_bktree, op10_flow_mixing)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii_weak_supervision, op3_crf_quality, op4_maxscore_search, op5_compact_windows, op6_cover_tree, op7_bwt_repeats, op8_warc_segments, op9_simhash_bktree, op10_flow_mixing, op11_aho_corasick_search, op12_va_file_clusters, op13_entropy_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | counterparts.SQL
