@@ -84,6 +84,6 @@ def test_metrics_from_outcomes(spark):
     got = {(m, t): v for m, t, _, v in rows(obs.metrics(outcomes, results, log))}
     assert got == {
         ("DQRulesPassed", "t"): 1.0, ("DQRulesFailed", "t"): 1.0, ("RowsProcessed", "t"): 10.0, ("QuarantinedRows", "t"): 3.0,
-        ("DQPassRate", "t"): 70.0, ("FailedSharePct", "t"): 30.0, ("JobDurationSeconds", "s"): 15.0,
+        ("DQPassRate", "t"): 70.0, ("FailedSharePct", "t"): 30.0, ("JobDurationSeconds", "s"): 12.5,
     }
     assert rows(obs.top_failing_rules(outcomes), "rule", "rank") == [("r2", 1)]
