@@ -52,10 +52,14 @@ def assign_sk(
     )
 
 
-def extend_sk(existing: DataFrame, incoming: DataFrame, natural_key: list[str], name: str) -> DataFrame:
-    """Key map after a load: known keys keep their number, new ones continue after the highest."""
+def extend_sk(existing: DataFrame, incoming: DataFrame, natural_key: list[str], name: str, top: int | None = None) -> DataFrame:
+    """Key map after a load: known keys keep their number, new ones continue after the highest.
+
+    ``top`` says which number that is, where ``existing`` is only a part of the table.
+    """
     known = existing.select(name, *natural_key)
-    top = known.agg(F.max(name)).first()[0] or 0
+    if top is None:
+        top = known.agg(F.max(name)).first()[0] or 0
     fresh = settle_keys(without_keys(incoming.select(*natural_key).distinct(), known, natural_key))
     as_type = existing.schema[name].dataType.simpleString()
     return known.unionByName(assign_sk(fresh, natural_key, name, start=top, as_type=as_type))

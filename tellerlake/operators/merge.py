@@ -32,7 +32,12 @@ def _without_key(pk: list[str]) -> Column:
 
 
 def _unseen(target: DataFrame, rows: DataFrame, pk: list[str]) -> DataFrame:
-    """Rows without a key that the target does not hold yet, each once; such rows are known by all their columns."""
+    """Rows without a key that the target does not hold yet, each once; such rows are known by all their columns.
+
+    The target is read only if there are any.
+    """
+    if rows.isEmpty():
+        return rows
     shared = [c for c in rows.columns if c in target.columns]
     digest = F.sha2(F.to_json(F.struct(*sorted(shared))), 256)
     known = target.filter(_without_key(pk)).select(digest.alias("_digest")).distinct()

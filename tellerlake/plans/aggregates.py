@@ -45,7 +45,8 @@ def transaction_measures(fact: DataFrame) -> DataFrame:
     )
 
 
-_SUMS = ["volume", "credits", "debits", "txns"]
+SUMS = ["volume", "credits", "debits", "txns"]
+SPANS = {"maxima": ["largest", "last_date"], "minima": ["first_date"]}
 
 
 def finish(df: DataFrame, table: str, run_ts: datetime) -> DataFrame:
@@ -56,7 +57,11 @@ def finish(df: DataFrame, table: str, run_ts: datetime) -> DataFrame:
 
 
 def agg_daily_balances(fact: DataFrame, dim_account: DataFrame, run_ts: datetime) -> DataFrame:
-    days = roll(transaction_measures(fact), ["account_sk", "txn_date"], _SUMS)
+    return daily_rows(roll(transaction_measures(fact), ["account_sk", "txn_date"], SUMS), dim_account, run_ts)
+
+
+def daily_rows(days: DataFrame, dim_account: DataFrame, run_ts: datetime) -> DataFrame:
+    """Aggregate rows of measures rolled up to account and day."""
     named = keyed_join(days, dim_account.select("account_sk", "account_id"), ["account_sk"], spread=False)
     out = named.withColumns(
         {
@@ -72,9 +77,13 @@ def agg_daily_balances(fact: DataFrame, dim_account: DataFrame, run_ts: datetime
 
 def agg_monthly_summary(fact: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
     months = transaction_measures(fact).withColumn("year_month", F.date_format("txn_date", "yyyy-MM"))
-    accounts = roll(months, ["branch_sk", "year_month", "account_sk"], _SUMS)
+    return monthly_rows(roll(months, ["branch_sk", "year_month", "account_sk"], SUMS), dim_branch, run_ts)
+
+
+def monthly_rows(accounts: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
+    """Aggregate rows of measures rolled up to branch, month and account."""
     counted = accounts.withColumn("active_accounts", F.lit(1).cast("bigint"))
-    per_month = roll(counted, ["branch_sk", "year_month"], [*_SUMS, "active_accounts"])
+    per_month = roll(counted, ["branch_sk", "year_month"], [*SUMS, "active_accounts"])
     named = keyed_join(per_month, dim_branch.select("branch_sk", "branch_code", "branch_name"), ["branch_sk"], spread=False)
     out = named.withColumns(
         {
@@ -90,13 +99,16 @@ def agg_monthly_summary(fact: DataFrame, dim_branch: DataFrame, run_ts: datetime
 
 def agg_branch_performance(fact: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
     """Per branch. Accounts are counted per customer first: an account has one customer."""
-    spans = {"maxima": ["largest", "last_date"], "minima": ["first_date"]}
-    accounts = roll(transaction_measures(fact), ["branch_sk", "customer_sk", "account_sk"], _SUMS, **spans)
+    return branch_rows(roll(transaction_measures(fact), ["branch_sk", "customer_sk", "account_sk"], SUMS, **SPANS), dim_branch, run_ts)
+
+
+def branch_rows(accounts: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
+    """Aggregate rows of measures rolled up to branch, customer and account."""
     customers = roll(
-        accounts.withColumn("accounts", F.lit(1).cast("bigint")), ["branch_sk", "customer_sk"], [*_SUMS, "accounts"], **spans
+        accounts.withColumn("accounts", F.lit(1).cast("bigint")), ["branch_sk", "customer_sk"], [*SUMS, "accounts"], **SPANS
     )
     branches = roll(
-        customers.withColumn("customers", F.lit(1).cast("bigint")), ["branch_sk"], [*_SUMS, "accounts", "customers"], **spans
+        customers.withColumn("customers", F.lit(1).cast("bigint")), ["branch_sk"], [*SUMS, "accounts", "customers"], **SPANS
     )
     named = keyed_join(branches, dim_branch.select("branch_sk", "branch_code", "branch_name", "city", "region"), ["branch_sk"])
     out = named.withColumns(
@@ -116,11 +128,15 @@ def agg_branch_performance(fact: DataFrame, dim_branch: DataFrame, run_ts: datet
 
 def agg_customer_360(fact: DataFrame, run_ts: datetime) -> DataFrame:
     """Per customer; accounts and days are counted in two narrow passes instead of a row expansion."""
-    spans = {"maxima": ["largest", "last_date"], "minima": ["first_date"]}
     rows = transaction_measures(fact)
-    accounts = roll(rows, ["customer_sk", "account_sk"], _SUMS, **spans)
-    totals = roll(accounts.withColumn("accounts", F.lit(1).cast("bigint")), ["customer_sk"], [*_SUMS, "accounts"], **spans)
+    accounts = roll(rows, ["customer_sk", "account_sk"], SUMS, **SPANS)
     days = rows.select("customer_sk", "txn_date").distinct().groupBy("customer_sk").agg(F.count("txn_date").alias("days"))
+    return customer_rows(accounts, days, run_ts)
+
+
+def customer_rows(accounts: DataFrame, days: DataFrame, run_ts: datetime) -> DataFrame:
+    """Aggregate rows of measures rolled up to customer and account, and the days of each customer."""
+    totals = roll(accounts.withColumn("accounts", F.lit(1).cast("bigint")), ["customer_sk"], [*SUMS, "accounts"], **SPANS)
     joined = totals.join(days, "customer_sk")
     out = joined.withColumns(
         {

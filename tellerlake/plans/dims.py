@@ -76,14 +76,22 @@ def branch_states(silver: DataFrame) -> DataFrame:
 
 def build_dim_branch(silver: DataFrame, run_ts: datetime) -> DataFrame:
     versions = settle(scd2(branch_states(silver), ["branch_code"], TRACKED["dim_branch"], "state_ts"), "versions")
-    keyed = assign_sk(versions, ["branch_code", "effective_from"], "branch_sk", as_type="int")
+    return branch_rows(assign_sk(versions, ["branch_code", "effective_from"], "branch_sk", as_type="int"), run_ts)
+
+
+def branch_rows(keyed: DataFrame, run_ts: datetime) -> DataFrame:
+    """Dimension rows of numbered branch versions."""
     return stamp(keyed.withColumn("source_created_at", F.col("created_at")), run_ts).select(*columns_of("dim_branch"))
 
 
 def build_dim_customer(silver: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
     """Customer versions with the key of their current branch."""
     versions = settle(scd2(silver, ["customer_id"], TRACKED["dim_customer"], "updated_at"), "versions")
-    keyed = assign_sk(versions, ["customer_id", "effective_from"], "customer_sk", as_type="int")
+    return customer_rows(assign_sk(versions, ["customer_id", "effective_from"], "customer_sk", as_type="int"), dim_branch, run_ts)
+
+
+def customer_rows(keyed: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
+    """Dimension rows of numbered customer versions."""
     placed = lookup_sk(keyed, current(dim_branch), ["branch_code"], ["branch_sk"])
     named = placed.withColumns(
         {
@@ -98,6 +106,11 @@ def build_dim_customer(silver: DataFrame, dim_branch: DataFrame, run_ts: datetim
 def build_dim_account(silver: DataFrame, dim_customer: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
     versions = settle(scd2(silver, ["account_id"], TRACKED["dim_account"], "updated_at"), "versions")
     keyed = assign_sk(versions, ["account_id", "effective_from"], "account_sk", as_type="int")
+    return account_rows(keyed, dim_customer, dim_branch, run_ts)
+
+
+def account_rows(keyed: DataFrame, dim_customer: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
+    """Dimension rows of numbered account versions."""
     owned = lookup_sk(keyed, current(dim_customer), ["customer_id"], ["customer_sk"])
     placed = lookup_sk(owned, current(dim_branch), ["branch_code"], ["branch_sk"])
     return stamp(placed.withColumn("source_created_at", F.col("created_at")), run_ts).select(*columns_of("dim_account"))

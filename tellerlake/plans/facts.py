@@ -23,7 +23,12 @@ def build_fact_transactions(
 ) -> DataFrame:
     """One row per transaction. Customer and branch are those of the account, so that within the
     fact an account key always comes with the same customer and branch key."""
-    rows = assign_sk(silver, ["txn_id"], "txn_sk", start).withColumns(
+    return transaction_rows(assign_sk(silver, ["txn_id"], "txn_sk", start), dim_account, dim_date, run_ts)
+
+
+def transaction_rows(numbered: DataFrame, dim_account: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
+    """Fact rows of silver rows that have their number already."""
+    rows = numbered.withColumns(
         {
             "txn_date": F.to_date("txn_timestamp"),
             "debit_amount": _amount_if("Debit"),
@@ -48,7 +53,11 @@ def extend_fact_transactions(
 
 
 def build_fact_payments(silver: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
-    rows = assign_sk(silver, ["txn_id"], "payment_sk").withColumns(
+    return payment_rows(assign_sk(silver, ["txn_id"], "payment_sk"), dim_date, run_ts)
+
+
+def payment_rows(numbered: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
+    rows = numbered.withColumns(
         {
             "txn_date": F.to_date("processed_timestamp"),
             "is_success": F.coalesce((F.col("gateway_status") == "SUCCESS").cast("int"), F.lit(0)),
@@ -58,6 +67,9 @@ def build_fact_payments(silver: DataFrame, dim_date: DataFrame, run_ts: datetime
 
 
 def build_fact_credit_risk(silver: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
-    rows = assign_sk(silver, ["customer_id", "bureau_pull_date"], "credit_sk")
-    owned = lookup_sk(rows, current(dim_customer), ["customer_id"], ["customer_sk"])
+    return credit_rows(assign_sk(silver, ["customer_id", "bureau_pull_date"], "credit_sk"), dim_customer, dim_date, run_ts)
+
+
+def credit_rows(numbered: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
+    owned = lookup_sk(numbered, current(dim_customer), ["customer_id"], ["customer_sk"])
     return stamp(join_date(owned, dim_date, "bureau_pull_date"), run_ts).select(*columns_of("fact_credit_risk"))

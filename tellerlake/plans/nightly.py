@@ -19,6 +19,7 @@ from tellerlake.quality.engine import dq_gate, enforce_gate, row_results
 from tellerlake.session import in_parallel, settle_keys
 from tellerlake.sources.lake import Lake, require_rows
 from tellerlake.sources.landing import Batch, add_audit_columns
+from tellerlake.sources.parts import part_name
 from tellerlake.sources.state import LOAD_POLICY, append_run_log
 from tellerlake.sources.warehouse import load_all
 
@@ -47,35 +48,50 @@ class Run:
         try:
             rows, status = work(), "SUCCESS"
         except Exception as problem:
-            rows, status, error = 0, "FAILED", f"{type(problem).__name__}: {problem}"[:1000]
+            rows, status, error = 0, "FAILED", f"{type(problem).__name__}: {problem}"
             print(f"{phase}.{name} failed: {problem}")
         self.log.append((self.batch_id, self.run_ts, phase, name, status, rows, time.monotonic() - started, error))
         return status == "SUCCESS"
 
 
 class RunStopped(RuntimeError):
-    """A run ended before gold because a source failed; what was published before stays."""
+    """A run ended early: before gold because a source failed, or after it because the warehouse load did. What was published stays."""
 
 
 def ingest(run: Run, table: str, source: DataFrame) -> int:
     """Write a load to bronze with its audit columns; a repeated run of a date replaces its load."""
     require_rows(source, table)
+    loaded = add_audit_columns(source, batch_of(run, table))
+    return own(run, loaded, "bronze", table, ["load_date"])
+
+
+def batch_of(run: Run, table: str) -> Batch:
     relational = table in RELATIONAL
-    batch = Batch(
+    return Batch(
         run.batch_id,
         run.run_ts,
         src_system="core_banking" if relational else f"{table}_csv",
         src_table=table if relational else None,
         load_type=LOAD_POLICY[table][0] if relational else None,
     )
-    run.lake.overwrite(add_audit_columns(source, batch), "bronze", table, ["load_date"])
-    return todays(run, "bronze", table).count()
+
+
+def of_day(run: Run) -> Callable[[str], bool]:
+    """Which parts belong to the load date."""
+    day = run.run_ts.date().isoformat()
+    return lambda part: part.split("~")[0] == day
+
+
+def own(run: Run, df: DataFrame, zone: str, table: str, by: list[str]) -> int:
+    """Write the rows of this load date; whatever the date had before goes, even if no row replaces it. Returns the rows of the date."""
+    mine = of_day(run)
+    entry = run.lake.parts(zone, table).replace(df, part_name(*by), mine)
+    return sum(rows for part, _, rows in entry.folders if mine(part))
 
 
 def todays(run: Run, zone: str, table: str) -> DataFrame:
-    """Rows of this load; the load date prunes all other folders."""
-    rows = run.lake.read(zone, table).filter(F.col("load_date") == F.lit(run.run_ts.date()))
-    return rows.filter(F.col("batch_id") == run.batch_id)
+    """Rows of this load date; no other folder is opened."""
+    return run.lake.parts(zone, table).read(of_day(run))
 
 
 def refine(run: Run, table: str, halt: bool = True) -> int:
@@ -84,15 +100,14 @@ def refine(run: Run, table: str, halt: bool = True) -> int:
     Quarantine and outcomes are written before the gate may halt the table.
     """
     spec = SPEC[table]
-    result = build_silver(todays(run, "bronze", table), spec, run.run_ts)
+    result = build_silver(todays(run, "bronze", table), spec, run.run_ts, once=True)
     lake = run.lake
     outcomes = settle_keys(result.outcomes)
     lake.log(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results", "json")
-    lake.overwrite(result.quarantine, "quarantine", table, ["load_date"])
+    own(run, result.quarantine, "quarantine", table, ["load_date"])
     if halt:
         enforce_gate(dq_gate(row_results(outcomes), outcomes))
-    lake.overwrite(result.silver, "silver", table, list(spec.partition_by))
-    return lake.read("silver", table).filter(F.col("batch_id") == run.batch_id).count()
+    return own(run, result.silver, "silver", table, list(spec.partition_by))
 
 
 def silver_of(lake: Lake, table: str) -> DataFrame:
@@ -212,7 +227,8 @@ def run_nightly(
         if bad := sorted(t for t, ok in refined.items() if not ok):
             raise RunStopped(f"sources failed: {', '.join(bad)}")
         gold = build_gold(run, calendar)
-        run.step("warehouse", "load", warehouse)
+        if not run.step("warehouse", "load", warehouse):
+            raise RunStopped(f"gold is published, but the warehouse is not loaded: {run.log[-1][-1]}")
     finally:
         append_run_log(lake, run.log)
     return gold

@@ -14,6 +14,7 @@ from tellerlake.functions.banding import risk_band
 from tellerlake.functions.masking import mask_pii
 from tellerlake.quality.engine import drop_helpers, evaluate_rows, reason_text, rule_outcomes, split
 from tellerlake.quality.rules import RULES, Rule
+from tellerlake.session import settle
 
 
 def _trim(c: str) -> Column:
@@ -99,14 +100,18 @@ def build_silver(
     keep_raw: bool = False,
     rules: Sequence[Rule] | None = None,
     parents: Mapping[str, DataFrame] | None = None,
+    once: bool = False,
 ) -> SilverResult:
     """Evaluate the rules on raw values and derive silver, quarantine and rule outcomes.
 
     Quarantined rows of every table are kept with the rules they broke; personal data in them is
-    masked unless ``keep_raw`` is set.
+    masked unless ``keep_raw`` is set. ``once`` writes the evaluated rows first, so that the three outputs do not
+    each work them out.
     """
     checked = list(rules if rules is not None else spec.rules)
     evaluated = evaluate_rows(bronze, checked, parents)
+    if once:
+        evaluated = settle(evaluated, f"evaluated-{spec.name}")
     passed, failed = split(evaluated)
     ts = F.lit(run_ts).cast("timestamp")
     silver = standardise(drop_helpers(passed), spec).withColumns(

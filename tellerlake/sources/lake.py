@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tellerlake.sources.parts import PartTable
+
 ZONES = ("landing", "bronze", "silver", "quarantine", "gold", "warehouse", "metadata")
 # The published version of a table, its rows and when it was published.
 _VERSION_SCHEMA = "zone string, table_name string, version string, rows bigint, committed_at timestamp"
@@ -25,9 +27,10 @@ class EmptySource(RuntimeError):
 class Lake:
     """Tables under one base folder.
 
-    Bronze, silver, quarantine and metadata tables grow by folders and partitions. Gold and
-    warehouse tables are replaced as a whole: a new version is written to a folder of its own and
-    published by one appended log row, so readers never see a half-written or missing table.
+    Loads of bronze, silver and quarantine, and all that is maintained from night to night, are tables of parts (:meth:`parts`):
+    a load owns its part, and what it does not touch stays as it is. Gold and warehouse tables that are replaced as a
+    whole are written to a folder of their own and published by one appended log row, so readers never see a
+    half-written or missing table. Metadata tables grow by folders.
     """
 
     spark: SparkSession
@@ -38,8 +41,14 @@ class Lake:
             raise ValueError(f"unknown zone {zone!r}")
         return f"{self.base.rstrip('/')}/{zone}/{table}"
 
+    def parts(self, zone: str, table: str) -> PartTable:
+        return PartTable(self.spark, self.path(zone, table))
+
     def read(self, zone: str, table: str, schema: str | None = None) -> DataFrame:
-        """All Parquet files of a table; partition columns come back from the folder names."""
+        """All rows of a table of parts, or all Parquet files of another one with the partition columns from the folder names."""
+        entry = self.parts(zone, table).entry()
+        if entry.version:
+            return self.parts(zone, table).read(entry=entry)
         reader = self.spark.read.option("pathGlobFilter", "*.parquet")
         if schema:
             reader = reader.schema(schema)
@@ -110,6 +119,9 @@ class Lake:
         return f"{self.path(zone, table)}/version={last}" if last else None
 
     def current(self, zone: str, table: str) -> DataFrame:
+        entry = self.parts(zone, table).entry()
+        if entry.version:
+            return self.parts(zone, table).read(entry=entry)
         path = self.current_path(zone, table)
         if path is None:
             raise LookupError(f"{zone}.{table} has no published version")

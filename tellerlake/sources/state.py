@@ -42,14 +42,19 @@ def read_watermarks(lake: Lake) -> DataFrame:
     return latest(states, ["source"], ["run_ts"])
 
 
-def update_watermark(lake: Lake, source: str, loaded: DataFrame, batch_id: str, run_ts: datetime, status: str = "SUCCESS") -> None:
+def update_watermark(
+    lake: Lake, source: str, loaded: DataFrame, batch_id: str, run_ts: datetime, status: str = "SUCCESS", pulled: DataFrame | None = None
+) -> None:
     """Record a run: how far the loaded rows reach, keeping load type and column of the source.
 
-    A load without rows keeps the former mark.
+    ``loaded`` are the rows that passed their checks. A row with a time after the run does not move the mark beyond
+    the run: it would hide all that the source brings until then. A load without rows keeps the former mark.
+    ``pulled`` are all rows the load looked at, for their number.
     """
     load_type, column, _ = LOAD_POLICY[source]
     before = high_water(lake, source)
-    reach = F.max(F.col(column).cast("timestamp")) if column else F.lit(None).cast("timestamp")
+    reached = F.col(column).cast("timestamp") if column else F.lit(None).cast("timestamp")
+    reach = F.max(F.when(reached <= F.lit(run_ts).cast("timestamp"), reached))
     state = loaded.agg(
         F.lit(source).alias("source"),
         F.greatest(reach, F.lit(before).cast("timestamp")).alias("high_water"),
@@ -57,7 +62,7 @@ def update_watermark(lake: Lake, source: str, loaded: DataFrame, batch_id: str,
         F.lit(status).alias("status"),
         F.lit(load_type).alias("load_type"),
         F.lit(column).cast("string").alias("watermark_column"),
-        F.count(F.lit(1)).alias("rows_last_loaded"),
+        F.lit(pulled.count()).cast("bigint").alias("rows_last_loaded") if pulled is not None else F.count(F.lit(1)).alias("rows_last_loaded"),
         F.lit(batch_id).alias("last_batch_id"),
     )
     lake.log(state, "watermarks")
