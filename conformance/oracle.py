@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from conformance.mapping import COLUMNS, MOVED, TABLES, columns
+from conformance.nights import AHEAD, CORRECTED, FIXED, LATE, RENAMED
 
 # --- building blocks -------------------------------------------------------------------------
 
@@ -521,5 +522,31 @@ def build() -> dict[str, str]:
         UNION ALL SELECT 'risk_band', risk_band, cast(count(*) AS varchar) FROM fact_credit_risk GROUP BY risk_band"""
     q["stream_dq"] = f"SELECT DISTINCT {_fmt(_SHAPES['payment_gateway_logs'])} FROM silver_payment_gateway_logs"
 
+    # nights: the same building blocks over the state of the sources in the second night
+    again = {
+        "src_transactions": f"SELECT {_cols('transactions', CORRECTED)} FROM orders",
+        "src_customers": f"SELECT {_cols('customers')} FROM customer WHERE c_custkey % 10 <> 0 UNION ALL SELECT {_cols('customers', MOVED)} FROM customer WHERE c_custkey % 10 = 0",
+        "src_branches": f"SELECT {_cols('branches', RENAMED)} FROM {_FROM['branches']}",
+    }
+    second = {
+        "nightly_second_run": "SELECT txn_id, a.account_id, c.customer_id, b.branch_code, date_sk, cast(amount AS double) AS amount, cast(debit_amount AS double) AS debit_amount, "
+        "cast(credit_amount AS double) AS credit_amount, strftime(txn_date, '%Y-%m-%d') AS txn_date, f.status FROM fact_transactions f LEFT JOIN dim_account a ON f.account_sk = a.account_sk "
+        "LEFT JOIN dim_customer c ON f.customer_sk = c.customer_sk LEFT JOIN dim_branch b ON f.branch_sk = b.branch_sk",
+        "second_night_customer_360": _select(_GOLD_SHAPES["agg_customer_360"].replace("customer_sk ", "customer_id home_branch "), "(SELECT a.*, customer_id, branch_code AS home_branch FROM agg_customer_360 a LEFT JOIN dim_customer c ON a.customer_sk = c.customer_sk)"),
+        # Months of late rows, and the months that corrected rows left and went to.
+        "second_night_parts": f"""SELECT strftime(txn_date, '%Y-%m') AS part, count(*) AS rows, max(CASE WHEN strftime(txn_date, '%Y-%m') IN (
+            SELECT strftime(cast(o_orderdate AS date), '%Y-%m') FROM orders JOIN fact_transactions ON txn_id = o_orderkey + 1 WHERE ({LATE}) OR ({FIXED})
+            UNION ALL SELECT strftime(cast(o_orderdate AS date) + 65, '%Y-%m') FROM orders JOIN fact_transactions ON txn_id = o_orderkey + 1 WHERE {FIXED} AND o_orderkey % 2 = 0) THEN 1 ELSE 0 END) AS written
+            FROM fact_transactions GROUP BY ALL""",
+    }
+    for t, sk in (("agg_daily_balances", "account_sk "), ("agg_monthly_summary", "branch_sk "), ("agg_branch_performance", "branch_sk ")):
+        second[f"second_night_{t.removeprefix('agg_')}"] = _select(_GOLD_SHAPES[t].replace(sk, "", 1), t)
+    ahead = {"src_transactions": f"SELECT {_cols('transactions', AHEAD)} FROM orders"}
+    q["incremental_future_row"] = "SELECT txn_id, cast(amount AS double) AS amount, strftime(txn_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS txn_timestamp FROM silver_transactions"
+    q["rerun_same_date"] = """SELECT 'bronze' AS zone, count(*) AS rows, 'attempt-1' AS batch_id FROM src_accounts UNION ALL SELECT 'silver', count(*), 'attempt-1' FROM silver_accounts
+        UNION ALL SELECT 'quarantine', count(*), max('attempt-1') FROM eval_accounts WHERE broken_rules <> ''"""
+    swaps = {name: again for name in second} | {"incremental_future_row": ahead}
+    q |= second
+
     own_span = {"dim_date": "SELECT cast(min(o_orderdate) AS timestamp) AS lo, cast(max(o_orderdate) AS timestamp) AS hi FROM orders"}
-    return {name: sql(body, **({"span": own_span[name]} if name in own_span else {})) for name, body in q.items()}
+    return {name: sql(body, **({"span": own_span[name]} if name in own_span else {}), **swaps.get(name, {})) for name, body in q.items()}

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conformance import mapping
+from conformance import mapping, nights
 from conformance.workspace import CALENDAR, RUN_TS, Gold, Workspace, workspace
 from tellerlake.functions.casting import enforce_types, normalize_ts
 from tellerlake.functions.hashing import row_hash
@@ -507,6 +507,15 @@ def builds() -> dict[str, Build]:
     q["incremental_merge_customers"] = lambda w: _merged_customers(w)[1].select("customer_id", "branch_code", "updated_at")
     q["watermark_report"] = lambda w: watermark_report(_merged_customers(w)[0]).filter("source = 'customers'")
 
+    q["incremental_future_row"] = nights.future_row
+    q["rerun_same_date"] = nights.rerun
+    q["nightly_second_run"] = nights.second_run
+    q["second_night_daily_balances"] = lambda w: nights.two_nights(w)[1]["agg_daily_balances"].drop("account_sk", *STAMPS)
+    q["second_night_monthly_summary"] = lambda w: nights.two_nights(w)[1]["agg_monthly_summary"].drop("branch_sk", *STAMPS)
+    q["second_night_branch_performance"] = lambda w: nights.two_nights(w)[1]["agg_branch_performance"].drop("branch_sk", *STAMPS)
+    q["second_night_customer_360"] = lambda w: nights.second_customers(w).drop(*STAMPS)
+    q["second_night_parts"] = nights.written_parts
+
     # observability
     q["anomaly_daily_counts"] = lambda w: _rounded(_anomalies(w), ["baseline_mean", "baseline_stddev", "lower_bound", "upper_bound"])
     q["anomaly_alerts"] = lambda w: observability.alert_rows(_anomalies(w))
