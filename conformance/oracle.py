@@ -259,6 +259,19 @@ _CTE["metric_rows"] = f"""
     UNION ALL SELECT 'FailedSharePct', table_name, {_RUN_DAY}, {_pct('failed_rows', 'evaluated_rows')} FROM rows_all
     UNION ALL SELECT 'JobDurationSeconds', table_name, day, value FROM job_days"""
 
+_CTE["hourly"] = "SELECT *, strftime(run_ts, '%Y-%m-%d %H') AS batch FROM src_job_runs"
+_CTE["run_spans"] = """SELECT cast(min(run_ts) AS date) AS day, round(max(epoch(run_ts) + duration_s) - min(epoch(run_ts)), 3) AS seconds,
+    count(*) FILTER (WHERE status = 'FAILED') AS failed FROM hourly GROUP BY batch"""
+_CTE["run_hours"] = """SELECT w, (SELECT count(*) FROM src_job_runs WHERE status = 'FAILED' AND run_ts >= w AND run_ts < w + INTERVAL 1 HOUR) AS failures
+    FROM (SELECT DISTINCT unnest(generate_series(time_bucket(INTERVAL 5 MINUTES, run_ts) - INTERVAL 55 MINUTES, time_bucket(INTERVAL 5 MINUTES, run_ts), INTERVAL 5 MINUTES)) AS w FROM src_job_runs WHERE status = 'FAILED')"""
+_CTE["run_metrics"] = """SELECT 'PipelineFailures' AS metric, day, cast(count(*) FILTER (WHERE failed > 0) AS double) AS value FROM run_spans GROUP BY day
+    UNION ALL SELECT 'DailySuccess', day, cast(count(*) FILTER (WHERE failed = 0) AS double) FROM run_spans GROUP BY day
+    UNION ALL SELECT 'PipelineDurationSeconds', day, max(seconds) FROM run_spans GROUP BY day
+    UNION ALL SELECT 'FailedJobsPerHour', cast(w AS date), cast(max(failures) AS double) FROM run_hours GROUP BY cast(w AS date)
+    UNION ALL SELECT 'WarehouseLoadFailed', cast(run_ts AS date), cast(count(*) FILTER (WHERE phase = 'warehouse' AND status = 'FAILED') AS double) FROM src_job_runs GROUP BY cast(run_ts AS date)
+    UNION ALL SELECT 'SilverRows', cast(run_ts AS date), cast(coalesce(sum(rows) FILTER (WHERE phase = 'silver' AND status = 'SUCCESS'), 0) AS double) FROM src_job_runs GROUP BY cast(run_ts AS date)
+    UNION ALL SELECT 'GoldRows', cast(run_ts AS date), cast(coalesce(sum(rows) FILTER (WHERE phase = 'gold' AND status = 'SUCCESS'), 0) AS double) FROM src_job_runs GROUP BY cast(run_ts AS date)"""
+
 _CTE["payments_text"] = """SELECT concat(' ', cast(event_id + 1 AS string)) AS txn_id, concat(event_type, ' ') AS gateway_status,
     CASE WHEN event_id % 50 = 0 THEN 'abc' WHEN event_id % 51 = 0 THEN '' ELSE cast(cast(value * 20 AS decimal(18,2)) AS string) END AS processing_time_ms,
     CASE WHEN event_id % 77 = 0 THEN 'not a time' ELSE cast(ts AS string) END AS processed_timestamp FROM events"""
@@ -412,6 +425,17 @@ def build() -> dict[str, str]:
         ("Pattern(email)", "", 0, "regexp_matches(email, '^[^@ ]+@[^@ ]+[.][^@ ]+$')"),
         ("Pattern(phone_number)", "", 0, "regexp_matches(phone_number, '^[0-9]{10}$')"),
     ]
+    strict = {
+        "customers": [*_RULES["customers"], *formats, ("ForeignKey(branch_code)", "", 0, "branch_code IS NULL OR branch_code IN (SELECT branch_code FROM silver_branches)")],
+        "accounts": [
+            *_RULES["accounts"], ("ForeignKey(customer_id)", "", 0, "customer_id IS NULL OR customer_id IN (SELECT customer_id FROM strict_customers WHERE broken_rules = '')"),
+            ("ForeignKey(branch_code)", "", 0, "branch_code IS NULL OR branch_code IN (SELECT branch_code FROM silver_branches)"),
+        ],
+        "transactions": [*_RULES["transactions"], ("ForeignKey(account_id)", "", 0, "account_id IS NULL OR account_id IN (SELECT account_id FROM strict_accounts WHERE broken_rules = '')")],
+    }
+    for t, rules in strict.items():
+        _CTE[f"strict_{t}"] = f"SELECT *, {_failed(rules)} AS broken_rules FROM src_{t}"
+        q[f"strict_rows_{t}"] = f"SELECT {COLUMNS[t][0][0]}, broken_rules FROM strict_{t}"
     q["dq_formats"] = f"SELECT customer_id, {_failed(formats)} AS broken_rules FROM src_customers"
     q["dq_duplicates"] = "SELECT txn_id, count(*) AS rows FROM src_transactions GROUP BY txn_id HAVING count(*) > 1"
     q["unique_flags_transactions"] = "SELECT txn_id, account_id, CASE WHEN count(*) OVER (PARTITION BY txn_id) = 1 THEN 1 ELSE 0 END AS is_unique FROM src_transactions"
@@ -522,6 +546,28 @@ def build() -> dict[str, str]:
         UNION ALL SELECT 'risk_band', risk_band, cast(count(*) AS varchar) FROM fact_credit_risk GROUP BY risk_band"""
     q["stream_dq"] = f"SELECT DISTINCT {_fmt(_SHAPES['payment_gateway_logs'])} FROM silver_payment_gateway_logs"
 
+    # landing files
+    line = "concat_ws(',', cast(event_id + 1 AS varchar), event_type, cast(cast(floor(value * 20) AS bigint) AS varchar), cast(user_id AS varchar))"
+    batch = "CASE WHEN event_id % 3 <> 0 THEN 'b1' ELSE 'b2' END AS batch_id"
+    bad = "(event_id % 40 = 0 OR event_id % 41 = 0)"
+    q["landing_csv_corrupt"] = f"SELECT CASE WHEN event_id % 40 = 0 THEN concat({line}, ',surplus') ELSE concat_ws(',', cast(event_id + 1 AS varchar), event_type) END AS line, 'MALFORMED_LINE' AS quarantine_reason, {batch} FROM events WHERE {bad}"
+    q["landing_files_rows"] = f"SELECT cast(event_id + 1 AS bigint) AS txn_id, event_type AS kind, cast(floor(value * 20) AS bigint) AS processing_time_ms, cast(user_id AS bigint) AS payer, {batch}, 'gateway_csv' AS src_system FROM events WHERE NOT {bad}"
+    q["batch_manifest"] = f"SELECT 'gateway' AS source, {batch}, 2 AS files_processed, count(*) FILTER (WHERE NOT {bad}) AS rows, count(*) FILTER (WHERE {bad}) AS corrupt_rows, 'PARTIAL' AS status FROM events GROUP BY ALL"
+
+    # days without rows, whole runs
+    dense = {"daily_counts": """SELECT table_name, day, coalesce(value, 0) AS value FROM (
+        SELECT table_name, cast(unnest(generate_series(min(day), greatest(max(day), date '2024-02-15'), INTERVAL 1 DAY)) AS date) AS day FROM found GROUP BY table_name) LEFT JOIN found USING (table_name, day)"""}
+    q["anomaly_dense_days"] = q["anomaly_daily_counts"]
+    q["deviation_dense_days"] = """SELECT table_name, strftime(day, '%Y-%m-%d') AS day, value, CASE WHEN previous_value > 0 AND value <= 0.8 * previous_value THEN 1 ELSE 0 END AS dropped,
+        CASE WHEN baseline_mean = 0 THEN cast(value <> 0 AS int) WHEN abs(value - baseline_mean) * 100.0 / baseline_mean > 10 THEN 1 ELSE 0 END AS off_baseline FROM banded"""
+    spans = "(SELECT run_ts AS s, run_ts + to_microseconds(cast(duration_s * 60000000 AS bigint)) AS e FROM src_job_runs WHERE duration_s > 0)"
+    q["concurrent_runs"] = f"""SELECT strftime(moment, '%Y-%m-%d') AS day, max(active) AS peak_runs, strftime(arg_min(moment, (-active, moment)), '%Y-%m-%d %H:%M:%S.%f') AS peak_at
+        FROM (SELECT moment, count(r.s) AS active FROM (SELECT s AS moment FROM {spans} UNION SELECT e FROM {spans}) m LEFT JOIN {spans} r ON r.s <= moment AND moment < r.e GROUP BY moment)
+        WHERE cast(moment AS date) IN (SELECT cast(s AS date) FROM {spans}) GROUP BY strftime(moment, '%Y-%m-%d')"""
+    q["whole_run_metrics"] = "SELECT metric, 'pipeline' AS table_name, strftime(day, '%Y-%m-%d') AS day, value FROM run_metrics"
+    q["alerts_whole_runs"] = f"""SELECT metric, 'pipeline' AS table_name, strftime(day, '%Y-%m-%d') AS day, value, comparison, limit_value, severity FROM run_metrics JOIN {_THRESHOLDS} USING (metric)
+        WHERE (comparison = '>' AND value > limit_value) OR (comparison = '>=' AND value >= limit_value) OR (comparison = '<' AND value < limit_value)"""
+
     # nights: the same building blocks over the state of the sources in the second night
     again = {
         "src_transactions": f"SELECT {_cols('transactions', CORRECTED)} FROM orders",
@@ -545,7 +591,11 @@ def build() -> dict[str, str]:
     q["incremental_future_row"] = "SELECT txn_id, cast(amount AS double) AS amount, strftime(txn_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS txn_timestamp FROM silver_transactions"
     q["rerun_same_date"] = """SELECT 'bronze' AS zone, count(*) AS rows, 'attempt-1' AS batch_id FROM src_accounts UNION ALL SELECT 'silver', count(*), 'attempt-1' FROM silver_accounts
         UNION ALL SELECT 'quarantine', count(*), max('attempt-1') FROM eval_accounts WHERE broken_rules <> ''"""
-    swaps = {name: again for name in second} | {"incremental_future_row": ahead}
+    # Planted gaps, filled with zeros.
+    counted = """(SELECT * FROM (SELECT 'fact_transactions' AS table_name, txn_date AS day, count(*) AS value FROM fact_transactions GROUP BY ALL
+        UNION ALL SELECT 'fact_payments', txn_date, count(*) FROM fact_payments GROUP BY ALL) WHERE day(day) <> 13) found"""
+    dense = {name: body.replace("found GROUP BY", f"{counted} GROUP BY").replace("LEFT JOIN found", f"LEFT JOIN {counted}") for name, body in dense.items()}
+    swaps = {name: again for name in second} | {name: dense for name in ("anomaly_dense_days", "deviation_dense_days")} | {"incremental_future_row": ahead}
     q |= second
 
     own_span = {"dim_date": "SELECT cast(min(o_orderdate) AS timestamp) AS lo, cast(max(o_orderdate) AS timestamp) AS hi FROM orders"}

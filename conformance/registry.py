@@ -20,7 +20,7 @@ from tellerlake.operators.keys import assign_sk, extend_sk
 from tellerlake.operators.merge import dedupe, insert_only, soft_delete, union_loads, upsert
 from tellerlake.operators.scd2 import scd2, scd2_apply, scd2_apply_keyed
 from tellerlake.operators.windows import changed, dod_change, duplicate_keys, flag_unique
-from tellerlake.plans import checks, dims, facts, observability, views
+from tellerlake.plans import checks, dims, facts, nightly, observability, views
 from tellerlake.plans.incremental import incremental_run, read_merged
 from tellerlake.plans.nightly import run_nightly
 from tellerlake.plans.reports import REPORTS
@@ -30,6 +30,7 @@ from tellerlake.quality.rules import FOREIGN_KEYS, FORMAT_RULES, RULES, foreign_
 from tellerlake.schemas import CATALOG, WAREHOUSE, landing_types
 from tellerlake.session import in_parallel, scratch_path, settle, settle_keys
 from tellerlake.sources import lake as lakes
+from tellerlake.sources.files import batch_manifest, load_files
 from tellerlake.sources.landing import Batch, RelationalTable, add_audit_columns, read_landing_csv, read_relational
 from tellerlake.sources.lake import Lake
 from tellerlake.sources.state import incremental, read_run_log, run_status, watermark_report
@@ -104,6 +105,44 @@ def _landing_csv(w: Workspace) -> DataFrame:
     return typed.drop("src_file_name").withColumn("row_hash", row_hash(*types))
 
 
+# Fields of a landing line; every 40th line gets a field too many, every 41st loses its last two.
+_LINE = ["cast(event_id + 1 as string)", "event_type", "cast(floor(value * 20) as string)", "cast(user_id as string)"]
+_LINE_TYPES = {"txn_id": "bigint", "kind": "string", "processing_time_ms": "bigint", "payer": "bigint"}
+
+
+def _landing_lines(w: Workspace, path: str, where: str) -> None:
+    """Lines of the events as two files in a folder."""
+    short, whole = f"concat_ws(',', {', '.join(_LINE[:2])})", f"concat_ws(',', {', '.join(_LINE)})"
+    line = F.expr(f"case when event_id % 40 = 0 then concat({whole}, ',surplus') when event_id % 41 = 0 then {short} else {whole} end")
+    mapping.read(w.spark, w.sf_dir, "events").filter(where).repartition(2).select(line).write.text(path)
+
+
+def _file_loads(w: Workspace) -> Lake:
+    """Three loads of a folder: two files, the same and two files with older rows, and nothing new."""
+
+    def make() -> Lake:
+        lake, landing = Lake(w.spark, scratch_path(w.spark, "files")), scratch_path(w.spark, "landing")
+        loads = [("b1", "event_id % 3 <> 0"), ("b2", "event_id % 3 = 0"), ("b3", None)]
+        for day, (batch, where) in enumerate(loads):
+            if where:
+                _landing_lines(w, f"{landing}/{batch}", where)
+            load_files(lake, "gateway", landing, _LINE_TYPES, batch, datetime(2025, 3, 1 + day), "*.txt", header=False)
+        return lake
+
+    key = (id(w), "files")
+    if key not in _lakes:
+        _lakes[key] = make()
+    return _lakes[key]
+
+
+def _corrupt_lines(w: Workspace) -> DataFrame:
+    return _file_loads(w).read("quarantine", "gateway_lines").select("line", "quarantine_reason", "batch_id")
+
+
+def _file_rows(w: Workspace) -> DataFrame:
+    return _file_loads(w).read("bronze", "gateway").select(*_LINE_TYPES, "batch_id", "src_system")
+
+
 def _stream_ingest(w: Workspace) -> DataFrame:
     types = landing_types("payment_gateway_logs")
     stream = landing_stream(w.spark, _write_landing(w), types, "*.csv")
@@ -185,6 +224,24 @@ def _fk_rows(w: Workspace) -> DataFrame:
     return rows.select("txn_id", "account_id", engine.reason_text(rules).alias("broken_rules"))
 
 
+def _strict(w: Workspace, table: str) -> DataFrame:
+    """Rows of a table refined after its parents, with the rules they broke; formats and foreign keys among them."""
+
+    def make() -> Lake:
+        lake = Lake(w.spark, scratch_path(w.spark, "strict"))
+        run = nightly.Run(lake, RUN_TS, "strict", [])
+        sources = {t: w.source(t) for t in ("branches", "customers", "accounts", "transactions")}
+        nightly.in_levels(sources, lambda t, s: nightly.ingest(run, t, s) and nightly.refine(run, t, False, True) >= 0, True)
+        return lake
+
+    key = (id(w), "strict")
+    if key not in _lakes:
+        _lakes[key] = make()
+    lake, columns = _lakes[key], [mapping.COLUMNS[table][0][0]]
+    passed = lake.read("silver", table).select(*columns, F.lit("").alias("broken_rules"))
+    return passed.unionByName(lake.read("quarantine", table).select(*columns, "broken_rules"))
+
+
 def _formats(w: Workspace) -> DataFrame:
     rows = engine.evaluate_rows(w.source("customers"), FORMAT_RULES)
     return rows.select("customer_id", engine.reason_text(FORMAT_RULES).alias("broken_rules"))
@@ -363,6 +420,18 @@ def _daily_counts(w: Workspace) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def _dense_counts(w: Workspace) -> DataFrame:
+    """Rows per table and day with planted days on which nothing came, and a fact that stopped coming."""
+    counts = _daily_counts(w).filter("day(day) <> 13")
+    return observability.dense_days(counts, "value", until="2024-02-15")
+
+
+def _hourly_runs(w: Workspace) -> DataFrame:
+    """The job log as pipeline runs: all jobs that start in an hour are steps of one run."""
+    runs = w.source("job_runs").withColumn("started_at", F.col("run_ts"))
+    return runs.withColumn("batch_id", F.date_format("started_at", "yyyy-MM-dd HH"))
+
+
 def _rounded(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.round(c, 4) for c in cols})
 
@@ -444,6 +513,9 @@ def builds() -> dict[str, Build]:
     q["mask_by_catalog"] = lambda w: mask_by_catalog(w.source("customers"), CATALOG["customers"]).drop("branch_code", "created_at", "updated_at")
     q["pii_leak_check"] = lambda w: pii_leak(w.silver("customers"))
     q["landing_csv_payments"] = _landing_csv
+    q["landing_csv_corrupt"] = _corrupt_lines
+    q["landing_files_rows"] = _file_rows
+    q["batch_manifest"] = lambda w: batch_manifest(_file_loads(w), ["gateway"]).drop("last_modified")
     q["stream_ingest"] = _stream_ingest
     q["stream_dq"] = _stream_dq
 
@@ -451,6 +523,8 @@ def builds() -> dict[str, Build]:
     q["dq_foreign_keys"] = _foreign_keys
     q["dq_fk_rows_transactions"] = _fk_rows
     q["orphan_transactions"] = lambda w: orphans(w.source("transactions"), "account_id", w.silver("accounts"), "account_id")
+    for t in ("customers", "accounts", "transactions"):
+        q[f"strict_rows_{t}"] = lambda w, t=t: _strict(w, t)
     q["dq_formats"] = _formats
     q["dq_duplicates"] = lambda w: duplicate_keys(w.source("transactions"), ["txn_id"])
     q["unique_flags_transactions"] = lambda w: flag_unique(w.source("transactions"), ["txn_id"]).select(
@@ -528,6 +602,11 @@ def builds() -> dict[str, Build]:
     q["alerts_thresholds"] = lambda w: observability.alerts(_metrics(w), observability.thresholds_df(w.spark))
     q["stream_failure_burst"] = _stream_bursts
     q["failure_burst"] = lambda w: observability.failure_bursts(w.source("job_runs"), "run_ts")
+    q["concurrent_runs"] = lambda w: observability.concurrent_runs(w.source("job_runs").withColumn("duration_s", F.col("duration_s") * 60))
+    q["whole_run_metrics"] = lambda w: observability.whole_run_metrics(_hourly_runs(w))
+    q["alerts_whole_runs"] = lambda w: observability.alerts(observability.whole_run_metrics(_hourly_runs(w)), observability.thresholds_df(w.spark))
+    q["anomaly_dense_days"] = lambda w: _rounded(observability.row_anomalies(_dense_counts(w)), ["baseline_mean", "baseline_stddev", "lower_bound", "upper_bound"])
+    q["deviation_dense_days"] = lambda w: observability.deviation(_dense_counts(w), "value").select("table_name", "day", "value", "dropped", "off_baseline")
     q["daily_runs_sla"] = lambda w: observability.daily_runs(w.source("job_runs"))
     q["run_trend_30d"] = lambda w: observability.run_trend(w.source("job_runs"))
     q["last_7_runs"] = lambda w: observability.last_runs(w.source("job_runs").select("batch_id", "run_ts", "status", "duration_s"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerlake.operators.skew import hot_keys, keyed_join, with_keys
+from tellerlake.operators.skew import HotKeys, frame_bytes, hot_keys, keyed_join, with_keys
 from tellerlake.operators.windows import carry_forward
-from tellerlake.session import settle_keys
+from tellerlake.session import BROADCAST_BYTES, setting, settle_keys
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, key: str, spread: bool = True) -> DataFrame:
@@ -59,11 +59,15 @@ def asof_dim(
 ) -> DataFrame:
     """Attributes of the dimension version valid at the time of each fact row.
 
-    Both sides are laid on one timeline per key and the last version is carried forward, so a key
+    A dimension below the broadcast limit goes to every task as one sorted array of versions per key, and each
+    fact row finds its version there by binary search: facts are not shuffled. Beyond the limit both sides are laid on one timeline per key and the last version is carried forward, so a key
     with many rows and many versions never pairs all of them. Rows before the first version, or in
     a gap after a closed one, get NULL. If there are hot keys, only the distinct moments of each key
     are laid on the timeline and the rows look their moment up.
     """
+    versions = dim.select(*natural_key, "effective_from", "effective_to", *attrs)
+    if 0 < frame_bytes(versions)[1] <= setting(fact.sparkSession, BROADCAST_BYTES):
+        return _in_arrays(fact, versions, natural_key, ts, attrs)
     hot = hot_keys(fact, natural_key)
     if not hot:
         return _on_timeline(fact, dim, natural_key, ts, attrs, segment, hot)
@@ -74,7 +78,7 @@ def asof_dim(
 
 
 def _on_timeline(
-    fact: DataFrame, dim: DataFrame, natural_key: list[str], ts: str, attrs: list[str], segment: str, hot: list[int]
+    fact: DataFrame, dim: DataFrame, natural_key: list[str], ts: str, attrs: list[str], segment: str, hot: HotKeys
 ) -> DataFrame:
     version = F.struct(F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"), *attrs)
     versions = dim.select(*natural_key, F.col("effective_from").alias("_at"), F.lit(0).alias("_side"), version.alias("_version"))
@@ -87,3 +91,26 @@ def _on_timeline(
     for k in natural_key:  # a missing key matches no version, as in any join
         open_at = open_at & F.col(k).isNotNull()
     return filled.select(*fact.columns, *[F.when(open_at, F.col(f"_valid.{a}")).alias(a) for a in attrs])
+
+
+def _in_arrays(fact: DataFrame, versions: DataFrame, natural_key: list[str], ts: str, attrs: list[str]) -> DataFrame:
+    """As-of attributes by binary search in the versions of the key, of which the broadcast table has a row per key."""
+    one = F.struct(F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"), *attrs)
+    usable = versions.filter(F.col("effective_from").isNotNull())
+    usable = usable.withColumns({k: F.col(k).cast(fact.schema[k].dataType) for k in natural_key})
+    folded = usable.groupBy(*natural_key).agg(F.sort_array(F.collect_list(one)).alias("_versions"))
+    found = fact.join(F.broadcast(folded), natural_key, "left")
+    at, line = F.col(ts), F.col("_versions")
+    # Halving n versions takes as many steps as n has binary digits.
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(line))))
+    start = F.struct(F.lit(0).alias("low"), F.size(line).alias("high"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = ((span["low"] + span["high"]) / 2).cast("int")
+        begun = line[F.least(middle, F.size(line) - 1)]["_from"] <= at
+        return F.when(span["low"] >= span["high"], span).when(begun, F.struct((middle + 1).alias("low"), span["high"].alias("high"))).otherwise(F.struct(span["low"].alias("low"), middle.alias("high")))
+
+    count = F.when(line.isNotNull() & at.isNotNull(), F.aggregate(steps, start, halve, lambda span: span["low"])).otherwise(0)
+    picked = found.withColumn("_at", count).withColumn("_valid", F.when(F.col("_at") > 0, line[F.col("_at") - 1]))
+    open_at = F.col("_valid._to").isNull() | (at < F.col("_valid._to"))
+    return picked.select(*fact.columns, *[F.when(open_at, F.col(f"_valid.{a}")).alias(a) for a in attrs])

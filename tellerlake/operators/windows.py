@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tellerlake.operators.skew import hot_keys, keyed_join
+from tellerlake.operators.skew import COPIES, HotKeys, hot_keys, keyed_join
 
 
 def latest(df: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
@@ -43,7 +43,7 @@ def carry_forward(
     segment: Column,
     inclusive: bool = False,
     backward: bool = False,
-    hot: list[int] | None = None,
+    hot: HotKeys | list[int] | None = None,
 ) -> DataFrame:
     """Last non-null ``value`` before each row (or next one after it, with ``backward``) per key.
 
@@ -52,7 +52,7 @@ def carry_forward(
     table with one row per key and segment, and a segment takes from there what came before it.
     ``segment`` must not decrease along ``order``.
     """
-    hot = hot_keys(df, keys) if hot is None else hot
+    hot = hot_keys(df, keys) if hot is None else HotKeys.of(df.sparkSession, hot) if isinstance(hot, list) else hot
     sort = [F.desc(c) if backward else F.asc(c) for c in order]
     to = 0 if inclusive else -1
 
@@ -62,11 +62,11 @@ def carry_forward(
 
     if not hot:
         return df.withColumn(out, last_in(Window.partitionBy(*keys)))
-    is_hot = F.xxhash64(*keys).isin(hot)
-    plain = df.filter(~is_hot).withColumn(out, last_in(Window.partitionBy(*keys)))
+    marked = hot.mark(df, keys)
+    plain = marked.filter(F.col(COPIES).isNull()).select(*df.columns).withColumn(out, last_in(Window.partitionBy(*keys)))
 
     seg, carried = "_segment", "_carried"
-    cut = df.filter(is_hot).withColumn(seg, segment)
+    cut = marked.filter(F.col(COPIES).isNotNull()).select(*df.columns).withColumn(seg, segment)
     pick = F.min_by if backward else F.max_by
     rank = F.when(F.col(value).isNotNull(), F.struct(*order))
     edges = cut.groupBy(*keys, seg).agg(pick(F.col(value), rank).alias(carried))
@@ -83,14 +83,14 @@ def carry_forward(
 
 
 def changed(
-    df: DataFrame, pk: list[str], ts: str, hash_col: str, segment: str = "hour", hot: list[int] | None = None
+    df: DataFrame, pk: list[str], ts: str, hash_col: str, segment: str = "hour", hot: HotKeys | None = None
 ) -> DataFrame:
     """Versions that differ from the one before them, first versions included."""
     seen = carry_forward(df, pk, [ts], hash_col, "_before", F.date_trunc(segment, F.col(ts)), hot=hot)
     return seen.filter(F.col("_before").isNull() | (F.col("_before") != F.col(hash_col))).drop("_before")
 
 
-def validity(df: DataFrame, pk: list[str], ts: str, segment: str = "hour", hot: list[int] | None = None) -> DataFrame:
+def validity(df: DataFrame, pk: list[str], ts: str, segment: str = "hour", hot: HotKeys | None = None) -> DataFrame:
     """Add effective_from, effective_to (NULL while open) and is_current to the versions of a key."""
     cut = F.date_trunc(segment, F.col(ts))
     ended = carry_forward(df, pk, [ts], ts, "effective_to", cut, backward=True, hot=hot)

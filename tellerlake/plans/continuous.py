@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.plans import dims
-from tellerlake.plans.incremental import LOOKBACK, merge_batch, pull, remember
+from tellerlake.plans.incremental import LOOKBACK, merge_batch, pull, read_merged, remember
 from tellerlake.plans.maintain import Keeper, keep_gold
-from tellerlake.plans.nightly import DAYS_OF, Run, RunStopped, batch_of, parse_run_date
-from tellerlake.plans.silver import SPEC, build_silver
+from tellerlake.plans.nightly import DAYS_OF, Run, RunStopped, batch_of, in_levels, parse_run_date
+from tellerlake.plans.silver import SPEC, build_silver, parents_of, strict_rules
 from tellerlake.quality.engine import dq_gate, enforce_gate, row_results
-from tellerlake.session import in_parallel, settle_keys
+from tellerlake.session import settle_keys
 from tellerlake.sources.lake import Lake
 from tellerlake.sources.landing import add_audit_columns
 from tellerlake.sources.state import append_run_log, update_watermark
@@ -26,7 +26,7 @@ def load_part(run: Run) -> str:
     return f"{run.run_ts.date().isoformat()}~{run.batch_id}"
 
 
-def load_source(run: Run, table: str, source: DataFrame, lookback: timedelta, halt: bool) -> int:
+def load_source(run: Run, table: str, source: DataFrame, lookback: timedelta, halt: bool, strict: bool = False) -> int:
     """One load of a source: bronze, quarantine, silver, merged state, and the mark last. Returns the rows that passed.
 
     A load that stops on the way has not moved the mark, so the next one pulls its rows again.
@@ -35,7 +35,8 @@ def load_source(run: Run, table: str, source: DataFrame, lookback: timedelta, ha
     pulled = pull(lake, table, source, lookback)
     bronze = lake.parts("bronze", table)
     bronze.replace(add_audit_columns(pulled, batch_of(run, table)), F.lit(mine), {mine})
-    result = build_silver(bronze.read({mine}), SPEC[table], run.run_ts, once=True)
+    checks = {"rules": strict_rules(table), "parents": {p: read_merged(lake, p) for p in parents_of(table)}} if strict else {}
+    result = build_silver(bronze.read({mine}), SPEC[table], run.run_ts, once=True, **checks)
     outcomes = settle_keys(result.outcomes)
     lake.log(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results", "json")
     lake.parts("quarantine", table).replace(result.quarantine, F.lit(mine), {mine})
@@ -69,12 +70,12 @@ def run_incremental_night(
     lookback: timedelta = LOOKBACK,
     grain: str = "day",
     buckets: int = 64,
+    strict: bool = False,
 ) -> dict[str, DataFrame]:
     """One night that reads and writes what the night brings and what that touches. Returns the gold tables.
 
     Sources are pulled from their marks; rows already loaded drop out. If one fails, the others are
-    loaded, but gold stays as it is (:class:`RunStopped`) and catches up with the next run. ``grain`` and
-    ``buckets`` size the parts: about a day of facts, and a keyed table over ``buckets``, should fit a task or a few.
+    loaded, but gold stays as it is (:class:`RunStopped`) and catches up with the next run. ``strict`` checks foreign keys, against the merged state of the parents, and formats too. ``buckets`` size the parts: about a day of facts, and a keyed table over ``buckets``, should fit a task or a few.
     """
     run = Run(lake, datetime.combine(parse_run_date(run_date), datetime.min.time()), uuid.uuid4().hex, [])
     gold: dict[str, DataFrame] = {}
@@ -84,11 +85,11 @@ def run_incremental_night(
         return lake.parts("gold", "fact_transactions").entry().rows
 
     try:
-        loaded = in_parallel({t: lambda t=t, s=s: run.step("load", t, lambda: load_source(run, t, s, lookback, halt_on_critical)) for t, s in sources.items()})
+        loaded = in_levels(sources, lambda t, s: run.step("load", t, lambda: load_source(run, t, s, lookback, halt_on_critical, strict)), strict)
         if bad := sorted(t for t, ok in loaded.items() if not ok):
             raise RunStopped(f"sources failed: {', '.join(bad)}")
         if not run.step("gold", "extend", extend):
-            raise RunStopped(f"gold not extended: {run.log[-1][-1]}")
+            raise RunStopped(f"gold not extended: {run.log[-1][7]}")
     finally:
         append_run_log(lake, run.log)
     return gold

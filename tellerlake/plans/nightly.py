@@ -7,14 +7,14 @@ import time
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerlake.operators.merge import dedupe
 from tellerlake.plans import aggregates, dims, facts
-from tellerlake.plans.silver import SPEC, build_silver
+from tellerlake.plans.silver import LEVELS, SPEC, build_silver, parents_of, strict_rules
 from tellerlake.quality.engine import dq_gate, enforce_gate, row_results
 from tellerlake.session import in_parallel, settle_keys
 from tellerlake.sources.lake import Lake, require_rows
@@ -44,13 +44,13 @@ class Run:
 
     def step(self, phase: str, name: str, work: Callable[[], int]) -> bool:
         """Do one step and log it with its error; the caller decides what a failure stops."""
-        started, error = time.monotonic(), None
+        started, error, began = time.monotonic(), None, datetime.now(UTC)
         try:
             rows, status = work(), "SUCCESS"
         except Exception as problem:
             rows, status, error = 0, "FAILED", f"{type(problem).__name__}: {problem}"
             print(f"{phase}.{name} failed: {problem}")
-        self.log.append((self.batch_id, self.run_ts, phase, name, status, rows, time.monotonic() - started, error))
+        self.log.append((self.batch_id, self.run_ts, phase, name, status, rows, time.monotonic() - started, error, began))
         return status == "SUCCESS"
 
 
@@ -94,14 +94,15 @@ def todays(run: Run, zone: str, table: str) -> DataFrame:
     return run.lake.parts(zone, table).read(of_day(run))
 
 
-def refine(run: Run, table: str, halt: bool = True) -> int:
+def refine(run: Run, table: str, halt: bool = True, strict: bool = False) -> int:
     """Check, split and write one table; returns the rows that passed.
 
-    Quarantine and outcomes are written before the gate may halt the table.
+    ``strict`` checks formats and foreign keys too, these against the silver rows of the parents. Quarantine and outcomes are written before the gate may halt the table.
     """
     spec = SPEC[table]
-    result = build_silver(todays(run, "bronze", table), spec, run.run_ts, once=True)
     lake = run.lake
+    checks = {"rules": strict_rules(table), "parents": {p: lake.read("silver", p) for p in parents_of(table)}} if strict else {}
+    result = build_silver(todays(run, "bronze", table), spec, run.run_ts, once=True, **checks)
     outcomes = settle_keys(result.outcomes)
     lake.log(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results", "json")
     own(run, result.quarantine, "quarantine", table, ["load_date"])
@@ -110,6 +111,18 @@ def refine(run: Run, table: str, halt: bool = True) -> int:
     return own(run, result.silver, "silver", table, list(spec.partition_by))
 
 
+def in_levels(sources: Mapping[str, DataFrame], load: Callable[[str, DataFrame], bool], strict: bool) -> dict[str, bool]:
+    """Load the sources side by side; with ``strict`` children wait for their parents, and fail with them."""
+    done: dict[str, bool] = {}
+    for level in LEVELS if strict else (tuple(sources),):
+        ready = {t: sources[t] for t in level if t in sources}
+        for t in [t for t in ready if strict and not all(done.get(p, False) for p in parents_of(t))]:
+            done[t] = False
+            del ready[t]
+        done |= in_parallel({t: lambda t=t, s=s: load(t, s) for t, s in ready.items()}) if ready else {}
+    return done
+
+
 def silver_of(lake: Lake, table: str) -> DataFrame:
     """Silver rows of all loads, the last one per key for tables that become facts."""
     rows = lake.read("silver", table)
@@ -199,9 +212,12 @@ def run_nightly(
     run_date: str,
     calendar: tuple[date, date] | None = None,
     halt_on_critical: bool = True,
+    strict: bool = False,
 ) -> dict[str, DataFrame]:
     """One run over all sources; the run log is written even if a step fails.
 
+    ``strict`` refines parents before children and checks foreign keys and formats too.
+
     Returns the gold tables. Sources are refined side by side. If one fails, or breaks a critical rule
     (``halt_on_critical``), the others are still refined, but no gold is built: :class:`RunStopped`, and the
     tables published by former runs stay as they are.
@@ -211,7 +227,7 @@ def run_nightly(
 
     def load(table: str, source: DataFrame) -> bool:
         done = run.step("bronze", table, lambda: ingest(run, table, source))
-        return done and run.step("silver", table, lambda: refine(run, table, halt_on_critical))
+        return done and run.step("silver", table, lambda: refine(run, table, halt_on_critical, strict))
 
     def warehouse() -> int:
         loaded = load_all(lake, gold).filter("status <> 'SKIP'").collect()  # a row per table
@@ -223,12 +239,12 @@ def run_nightly(
         return sum(r.rows for r in loaded)
 
     try:
-        refined = in_parallel({t: lambda t=t, s=s: load(t, s) for t, s in sources.items()})
+        refined = in_levels(sources, load, strict)
         if bad := sorted(t for t, ok in refined.items() if not ok):
             raise RunStopped(f"sources failed: {', '.join(bad)}")
         gold = build_gold(run, calendar)
         if not run.step("warehouse", "load", warehouse):
-            raise RunStopped(f"gold is published, but the warehouse is not loaded: {run.log[-1][-1]}")
+            raise RunStopped(f"gold is published, but the warehouse is not loaded: {run.log[-1][7]}")
     finally:
         append_run_log(lake, run.log)
     return gold

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tellerlake.functions.measures import pct
@@ -81,6 +81,43 @@ def metrics(outcomes: DataFrame, row_results: DataFrame, run_log: DataFrame | No
     return reduce(DataFrame.unionByName, parts)
 
 
+def run_spans(run_log: DataFrame) -> DataFrame:
+    """Whole runs: first start to last end of their steps, and whether any step failed.
+
+    ``run_log`` has batch_id, started_at, duration_s and status.
+    """
+    ends = F.col("started_at").cast("double") + F.col("duration_s")
+    return run_log.groupBy("batch_id").agg(
+        F.to_date(F.min("started_at")).alias("day"),
+        F.round(F.max(ends) - F.min(F.col("started_at").cast("double")), 3).alias("seconds"),
+        F.count_if(F.col("status") == "FAILED").alias("failed_steps"),
+    )
+
+
+def whole_run_metrics(run_log: DataFrame) -> DataFrame:
+    """Metrics of whole runs per day, under the table name ``pipeline``.
+
+    Failed and succeeded runs, the longest run, the most failures in any sliding hour, failed warehouse steps, and
+    the rows that silver and gold steps wrote.
+    """
+    runs = run_spans(run_log).groupBy("day").agg(
+        F.count_if(F.col("failed_steps") > 0).alias("failed_runs"), F.count_if(F.col("failed_steps") == 0).alias("good_runs"), F.max("seconds").alias("seconds"),
+    )
+    hours = failure_bursts(run_log, "started_at", least=1).groupBy(F.to_date("window_start").alias("day")).agg(F.max("failures").alias("worst_hour"))
+    good = F.col("status") == "SUCCESS"
+    steps = run_log.groupBy(F.to_date("started_at").alias("day")).agg(
+        F.count_if((F.col("phase") == "warehouse") & (F.col("status") == "FAILED")).alias("warehouse_failed"),
+        F.sum(F.when(good & (F.col("phase") == "silver"), F.col("rows")).otherwise(0)).alias("silver_rows"),
+        F.sum(F.when(good & (F.col("phase") == "gold"), F.col("rows")).otherwise(0)).alias("gold_rows"),
+    )
+    named = [
+        (runs, {"PipelineFailures": "failed_runs", "PipelineDurationSeconds": "seconds", "DailySuccess": "good_runs"}),
+        (hours, {"FailedJobsPerHour": "worst_hour"}),
+        (steps, {"WarehouseLoadFailed": "warehouse_failed", "SilverRows": "silver_rows", "GoldRows": "gold_rows"}),
+    ]
+    return reduce(DataFrame.unionByName, [long_metrics(df.withColumn("table_name", F.lit("pipeline")), columns) for df, columns in named])
+
+
 def alerts(metric_rows: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Metrics beyond their threshold, with severity. The threshold table has a few fixed rows."""
     v, t = F.col("value"), F.col("limit_value")
@@ -91,6 +128,17 @@ def alerts(metric_rows: DataFrame, thresholds: DataFrame) -> DataFrame:
     return metric_rows.join(F.broadcast(thresholds), "metric").filter(breached)
 
 
+def dense_days(daily: DataFrame, metric: str = "value", until: str | None = None) -> DataFrame:
+    """One row per table and calendar day, 0 where a table got nothing, from its first day to its last.
+
+    ``until`` names a last day for all tables, so that a table that stopped altogether is seen too.
+    """
+    last = F.max("day") if until is None else F.greatest(F.max("day"), F.lit(until).cast("date"))
+    spans = daily.groupBy("table_name").agg(F.min("day").alias("_lo"), last.alias("_hi"))
+    calendar = spans.select("table_name", F.explode(F.sequence("_lo", "_hi")).alias("day"))
+    return calendar.join(daily, ["table_name", "day"], "left").withColumn(metric, F.coalesce(metric, F.lit(0).cast(daily.schema[metric].dataType)))
+
+
 def row_anomalies(
     daily: DataFrame, metric: str = "value", days: int = 14, sigmas: float = 2.0, min_days: int = 7, upper_only: bool = False
 ) -> DataFrame:
@@ -111,14 +159,14 @@ def duration_anomalies(daily: DataFrame, metric: str = "value", days: int = 14,
 
 
 def deviation(daily: DataFrame, metric: str, drop_pct: float = 20.0, baseline_pct: float = 10.0, days: int = 14) -> DataFrame:
-    """Days that fall by ``drop_pct`` against the day before or leave the baseline by ``baseline_pct``."""
+    """Days that fall by ``drop_pct`` against the day before or leave the baseline by ``baseline_pct``; any value leaves a baseline of 0."""
     steps = dod_change(daily, ["table_name"], "day", metric)
     banded = rolling_band(steps, ["table_name"], "day", metric, days)
     away = F.abs(F.col(metric) - F.col("baseline_mean")) * 100.0 / F.nullif("baseline_mean", F.lit(0.0))
     return banded.withColumns(
         {
             "dropped": F.coalesce((F.col("change_pct") <= -drop_pct).cast("int"), F.lit(0)),
-            "off_baseline": F.coalesce((away > baseline_pct).cast("int"), F.lit(0)),
+            "off_baseline": F.coalesce(F.when(F.col("baseline_mean") == 0, F.col(metric) != 0).otherwise(away > baseline_pct), F.lit(False)).cast("int"),
         }
     )
 
@@ -149,6 +197,24 @@ def failure_bursts(events: DataFrame, ts: str = "ts", window: str = "1 hour", sl
     )
 
 
+def concurrent_runs(runs: DataFrame, start: str = "run_ts", seconds: str = "duration_s") -> DataFrame:
+    """Per day with a start: the most runs at work at the same time, and when that was first reached.
+
+    A run works from its start up to, but not at, its end. Starts and ends are summed per moment, then per day; the
+    days' sums carry over what runs past midnight, so each day is swept on its own and no run is paired with another.
+    """
+    begin = F.col(start).cast("timestamp")
+    end = F.timestamp_seconds(begin.cast("double") + F.col(seconds))
+    moves = runs.filter(F.col(seconds) > 0).select(F.explode(F.array(F.struct(begin.alias("at"), F.lit(1).alias("step"), F.lit(1).alias("started")), F.struct(end.alias("at"), F.lit(-1).alias("step"), F.lit(0).alias("started")))).alias("m"))
+    moments = moves.groupBy(F.col("m.at").alias("at")).agg(F.sum("m.step").alias("step"), F.sum("m.started").alias("started")).withColumn("day", F.to_date("at"))
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = moments.groupBy("day").agg(F.sum("step").alias("net"), F.sum("started").alias("starts"))
+    carried = days.withColumn("carried", F.coalesce(F.sum("net").over(before), F.lit(0)))  # a row per day
+    within = Window.partitionBy("day").orderBy("at")
+    running = moments.join(carried.filter("starts > 0").select("day", "carried"), "day").withColumn("active", F.col("carried") + F.sum("step").over(within))
+    return running.groupBy("day").agg(F.max("active").alias("peak_runs"), F.min_by("at", F.struct(-F.col("active"), F.col("at"))).alias("peak_at"))
+
+
 def daily_runs(runs: DataFrame) -> DataFrame:
     """Succeeded and failed runs per day, with the share of runs inside the SLA."""
     n = F.count(F.lit(1))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tellerlake.functions.banding import risk_band
 from tellerlake.functions.masking import mask_pii
 from tellerlake.quality.engine import drop_helpers, evaluate_rows, reason_text, rule_outcomes, split
-from tellerlake.quality.rules import RULES, Rule
+from tellerlake.quality.rules import FOREIGN_KEYS, FORMAT_RULES, RULES, Rule, foreign_key_rules
 from tellerlake.session import settle
 
 
@@ -72,6 +72,19 @@ SPEC: dict[str, TableSpec] = {
 }
 
 
+# Parents before children, as the foreign keys say.
+LEVELS = (("branches",), ("customers",), ("accounts",), ("transactions", "payment_gateway_logs", "credit_bureau_reports"))
+
+
+def strict_rules(table: str) -> list[Rule]:
+    """The rules of a table with formats of personal identifiers and foreign keys among them."""
+    return [*RULES[table], *(FORMAT_RULES if SPEC[table].masked else ()), *foreign_key_rules(table)]
+
+
+def parents_of(table: str) -> list[str]:
+    return sorted({parent for child, _, parent, _ in FOREIGN_KEYS if child == table})
+
+
 @dataclass(frozen=True)
 class SilverResult:
     """The three outputs of a table; all of them are lazy plans over the same evaluated rows."""

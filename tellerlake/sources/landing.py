@@ -21,16 +21,25 @@ def landing_ddl(columns: list[str]) -> str:
     return ", ".join(f"{c} string" for c in columns)
 
 
-def read_landing_csv(spark: SparkSession, path: str, columns: list[str], pattern: str = "*.csv") -> DataFrame:
-    """CSV files with a header, every column as text, and the name of the file of each row."""
-    return (
-        spark.read.schema(landing_ddl(columns))
-        .option("header", "true")
-        .option("enforceSchema", "false")
-        .option("pathGlobFilter", pattern)
-        .csv(path)
-        .select(*columns, F.col("_metadata.file_name").alias("src_file_name"))
-    )
+# A line that does not have the fields of the contract, as it stands in the file.
+CORRUPT = "corrupt_line"
+
+
+def read_landing_csv(
+    spark: SparkSession, path: str | list[str], columns: list[str], pattern: str = "*.csv", header: bool = True, corrupt: bool = False
+) -> DataFrame:
+    """CSV files, every column as text, and the name of the file of each row.
+
+    With ``corrupt``, a line with more or fewer fields than the contract comes whole in :data:`CORRUPT`, which is NULL for
+    all others; without, surplus fields are cut and missing ones are NULL. Fields are counted for every line, whatever
+    columns a query picks.
+    """
+    reader = spark.read.option("header", str(header).lower()).option("enforceSchema", "false").option("pathGlobFilter", pattern)
+    shape, extra = landing_ddl(columns), []
+    if corrupt:
+        shape, extra = f"{shape}, {CORRUPT} string", [CORRUPT]
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false")
+    return reader.schema(shape).csv(path).select(*columns, *extra, F.col("_metadata.file_name").alias("src_file_name"))
 
 
 @dataclass(frozen=True)

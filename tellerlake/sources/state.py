@@ -25,7 +25,7 @@ LOAD_POLICY = {
 WATERMARK_SCHEMA = """source string, high_water timestamp, run_ts timestamp, status string, load_type string,
     watermark_column string, rows_last_loaded bigint, last_batch_id string"""
 RUN_LOG_SCHEMA = """batch_id string, run_ts timestamp, phase string, step string, status string,
-    rows bigint, duration_s double, error string"""
+    rows bigint, duration_s double, error string, started_at timestamp"""
 
 
 def _initial(lake: Lake) -> DataFrame:
@@ -95,8 +95,8 @@ def watermark_report(lake: Lake) -> DataFrame:
 
 
 def append_run_log(lake: Lake, rows: list[tuple]) -> None:
-    """Add steps of a run; the error text may be left out."""
-    rows = [r if len(r) == 8 else (*r, None) for r in rows]
+    """Add steps of a run; the error text and the time a step started at may be left out."""
+    rows = [(*r, *[None] * (9 - len(r))) for r in rows]
     lake.log(lake.spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1), "run_log")
 
 

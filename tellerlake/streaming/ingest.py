@@ -26,19 +26,19 @@ def landing_stream(spark: SparkSession, path: str, types: dict[str, str], patter
     return typed.withColumns({"row_hash": row_hash(*columns), "is_active": F.lit(1), "pipeline_phase": F.lit("bronze")})
 
 
-def stream_bronze(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def stream_bronze(stream: DataFrame, target: str, checkpoint: str, src_system: str = "stream") -> StreamingQuery:
     """Append everything that has arrived and stop; the checkpoint remembers the files taken.
 
-    A file is taken once, however often this runs, and the file sink commits each batch once.
+    A file is taken once, however often this runs. Each batch goes to a folder of its own number with the
+    audit columns of its load, so a repeated batch replaces what its first attempt left behind.
     """
-    return (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        now = F.current_timestamp()
+        audited = batch.withColumns({"src_system": F.lit(src_system), "load_timestamp": now, "load_date": F.to_date(now), "batch_id": F.lit(f"stream-{number:010d}")})
+        audited.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def run_to_end(query: StreamingQuery) -> None:

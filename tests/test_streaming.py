@@ -5,11 +5,13 @@ from datetime import datetime, timedelta
 from conftest import rows
 from pyspark.sql import functions as F
 
+from conformance import mapping
 from tellerlake.plans.observability import failure_bursts
+from tellerlake.plans.silver import SPEC, strict_rules
 from tellerlake.quality.rules import RULES
 from tellerlake.streaming.bursts import alert_bursts, failure_burst, read_bursts
 from tellerlake.streaming.ingest import landing_stream, run_to_end, stream_bronze
-from tellerlake.streaming.quality import first_of_key, stream_dq
+from tellerlake.streaming.quality import KeyLedger, first_of_key, stream_dq
 
 TYPES = {"txn_id": "bigint", "gateway_name": "string", "processed_timestamp": "timestamp"}
 
@@ -110,3 +112,40 @@ def test_late_and_repeated_rows_go_to_quarantine(spark, tmp_path):
     failed = rows(spark.read.parquet(quarantine), "txn_id", "broken_rules")
     assert failed == [(None, "Completeness(txn_id)")] + [(1, "Repeated(txn_id)")] * 20 + [(2, "InSet(gateway_status)"), (3, "Repeated(txn_id)")]
     assert spark.read.parquet(src).count() == 5 + len(failed)
+
+
+def test_streamed_bronze_has_the_audit_columns_of_its_load(spark, tmp_path):
+    landing, target, checkpoint = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "cp")
+    landing.mkdir()
+    for n in (1, 2):
+        (landing / f"payment_{n}.csv").write_text(f"txn_id,gateway_name,processed_timestamp\n{n},PayU,2024-01-01 00:00:00\n")
+        run_to_end(stream_bronze(landing_stream(spark, str(landing), TYPES, "payment_*.csv"), target, checkpoint, "payments_csv"))
+    found = spark.read.parquet(target)
+    assert rows(found, "txn_id", "src_system", "batch_id") == [(1, "payments_csv", "stream-0000000000"), (2, "payments_csv", "stream-0000000001")]
+    assert found.filter("load_timestamp IS NULL OR load_date IS NULL OR src_file_name IS NULL OR row_hash IS NULL").count() == 0
+
+
+def test_streamed_customers_are_masked_and_standardised(spark, tmp_path):
+    src, silver, quarantine, checkpoint = (str(tmp_path / n) for n in ("src", "silver", "quarantine", "cp"))
+    mapping.source(spark, "/root/testdata/sf0.001", "customers").write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    parents = {"branches": spark.createDataFrame([(f"BR{n:03d}",) for n in range(1, 26) if n != 7], "branch_code string")}
+    run_to_end(stream_dq(stream, strict_rules("customers"), silver, quarantine, checkpoint, ["customer_id"], SPEC["customers"], parents))
+    passed, failed = spark.read.parquet(silver), spark.read.parquet(quarantine)
+    for df in (passed, failed):
+        assert not {"pan_number", "email", "phone_number"} & set(df.columns) and "pan_masked" in df.columns
+    assert passed.filter("branch_code = 'BR007' OR first_name <> trim(first_name)").count() == 0
+    assert failed.filter("broken_rules LIKE '%ForeignKey(branch_code)%'").count() > 0
+    assert passed.count() + failed.count() == 150
+
+
+def test_keys_read_follow_the_batch(spark, tmp_path):
+    """Of a ledger of 5,000 keys in 256 buckets, a batch with one key reads one bucket."""
+    ledger = KeyLedger(spark, str(tmp_path / "keys"), ["k"], 256)
+    for number in range(3):
+        ledger.add(spark.range(number * 2000, number * 2000 + 2000).withColumnRenamed("id", "k"), number)
+    one = spark.createDataFrame([(4321,)], "k long")
+    known = ledger.known(one, 9)
+    assert known.filter("k = 4321").count() == 1 and known.count() < 100
+    assert len(known.inputFiles()) <= 3
+    assert ledger.known(one, 2).filter("k = 4321").count() == 0  # its own batch does not count
