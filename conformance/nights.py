@@ -12,6 +12,7 @@ from conformance.workspace import CALENDAR, Workspace
 from tellerlake.plans import nightly
 from tellerlake.plans.continuous import run_incremental_night
 from tellerlake.plans.incremental import incremental_run, read_merged
+from tellerlake.plans.reprocessing import reprocess_quarantine
 from tellerlake.session import scratch_path
 from tellerlake.sources.lake import Lake
 
@@ -106,3 +107,15 @@ def rerun(w: Workspace) -> DataFrame:
         nightly.refine(run, "accounts", halt=False)
     zones = [lake.read(z, "accounts").agg(F.count(F.lit(1)).alias("rows"), F.min("batch_id").alias("batch_id")).withColumn("zone", F.lit(z)) for z in ("bronze", "silver", "quarantine")]
     return zones[0].unionByName(zones[1]).unionByName(zones[2])
+
+
+def reprocessed(w: Workspace) -> DataFrame:
+    """Accounts of silver and quarantine after negative balances were raised to 0: where each is, and as what."""
+    lake = Lake(w.spark, scratch_path(w.spark, "reprocessed"))
+    run = nightly.Run(lake, datetime(2025, 3, 1), "first", [])
+    nightly.ingest(run, "accounts", w.source("accounts"))
+    nightly.refine(run, "accounts", halt=False)
+    later = nightly.Run(lake, datetime(2025, 3, 2), "second", [])
+    reprocess_quarantine(later, "accounts", lambda df: df.withColumn("balance", F.greatest("balance", F.lit(0).cast("decimal(18,2)"))))
+    silver = lake.read("silver", "accounts").select("account_id", "balance", "dq_status", F.lit("silver").alias("zone"))
+    return silver.unionByName(lake.read("quarantine", "accounts").select("account_id", "balance", "dq_status", F.lit("quarantine").alias("zone")))

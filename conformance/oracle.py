@@ -546,6 +546,27 @@ def build() -> dict[str, str]:
         UNION ALL SELECT 'risk_band', risk_band, cast(count(*) AS varchar) FROM fact_credit_risk GROUP BY risk_band"""
     q["stream_dq"] = f"SELECT DISTINCT {_fmt(_SHAPES['payment_gateway_logs'])} FROM silver_payment_gateway_logs"
 
+    q["reprocess_written_back"] = f"""SELECT account_id, cast(balance AS double) AS balance, 'PASSED' AS dq_status, 'silver' AS zone FROM silver_accounts
+        UNION ALL SELECT account_id, 0, 'PASSED', 'silver' FROM eval_accounts WHERE broken_rules = 'Compare(balance >= 0)'
+        UNION ALL SELECT account_id, cast(balance AS double), CASE WHEN broken_rules = 'Compare(balance >= 0)' THEN 'REPROCESSED' ELSE 'FAILED' END, 'quarantine' FROM eval_accounts WHERE broken_rules <> ''"""
+    written = {"branches": "eval_branches"} | {t: f"strict_{t}" for t in ("customers", "accounts", "transactions")}
+    q["reconcile_written"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '2025-03-01' AS load_date, (SELECT count(*) FROM src_{t}) AS bronze_rows, count(*) FILTER (WHERE broken_rules = '') AS silver_rows, "
+        f"count(*) FILTER (WHERE broken_rules <> '') AS quarantine_rows, (SELECT count(*) FROM src_{t}) - count(*) AS lost_rows, "
+        f"CASE WHEN (SELECT count(*) FROM src_{t}) = count(*) THEN 'PASS' ELSE 'FAIL' END AS status FROM {frm}" for t, frm in written.items()
+    )
+
+    def checked(table: str, name: str, failures: str, frm: str) -> str:
+        return f"SELECT '{table}' AS table_name, '{name}' AS check_name, cast({failures} AS bigint) AS failures, count(*) AS rows, CASE WHEN {failures} = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM {frm}"
+
+    few = "CASE WHEN count(*) < 5 THEN 1 ELSE 0 END"
+    q["check_bronze"] = " UNION ALL ".join(checked(t, n, few if n == "min_rows" else "0", f"src_{t}") for t in TABLES for n in ("min_rows", "row_hash", "is_active", "audit_not_null"))
+    unmasked = "count(*) FILTER (WHERE pan_masked NOT LIKE '%*****' AND pan_masked <> 'UNKNOWN')"
+    q["check_silver"] = " UNION ALL ".join(
+        [checked(t, n, few if n == "min_rows" else "0", f"silver_{t}") for t in TABLES for n in ("min_rows", "dq_status", "columns_removed")] + [checked("customers", "pan_masked", unmasked, "silver_customers")]
+    )
+    q["check_source_branches"] = " UNION ALL ".join([checked("branches", "min_rows", few, "src_branches"), checked("branches", "has:BR001", "CASE WHEN count(*) FILTER (WHERE branch_code = 'BR001') = 0 THEN 1 ELSE 0 END", "src_branches")])
+
     # landing files
     line = "concat_ws(',', cast(event_id + 1 AS varchar), event_type, cast(cast(floor(value * 20) AS bigint) AS varchar), cast(user_id AS varchar))"
     batch = "CASE WHEN event_id % 3 <> 0 THEN 'b1' ELSE 'b2' END AS batch_id"

@@ -159,7 +159,7 @@ def _stream_dq(w: Workspace) -> DataFrame:
     times = F.when(F.col("event_id") % 997 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     stream = events.withColumn("_copy", F.explode(times)).selectExpr(*mapping.columns("payment_gateway_logs"))
     silver, quarantine = scratch_path(spark, "silver"), scratch_path(spark, "quarantine")
-    run_to_end(stream_dq(stream, RULES["payment_gateway_logs"], silver, quarantine, scratch_path(spark, "checkpoint"), ["txn_id"]))
+    run_to_end(stream_dq(stream, RULES["payment_gateway_logs"], silver, quarantine, scratch_path(spark, "checkpoint"), ["txn_id"], SPEC["payment_gateway_logs"]))
     return spark.read.parquet(silver).select(*_source_columns("payment_gateway_logs"))
 
 
@@ -260,6 +260,17 @@ def _reprocess(w: Workspace) -> DataFrame:
     return fixed.silver.drop(*STAMPS)
 
 
+def _audited(w: Workspace, table: str) -> DataFrame:
+    return add_audit_columns(w.source(table), Batch("batch-1", RUN_TS, "core_banking", src_table=table, load_type="FULL_MERGE"))
+
+
+def _reconcile_written(w: Workspace) -> DataFrame:
+    """Written bronze against written silver and quarantine of a strict run."""
+    _strict(w, "transactions")
+    lake, tables = _lakes[(id(w), "strict")], ("branches", "customers", "accounts", "transactions")
+    return checks.reconcile(*[{t: lake.read(z, t) for t in tables} for z in ("bronze", "silver", "quarantine")])
+
+
 def _reconcile(w: Workspace) -> DataFrame:
     tables = mapping.TABLES
     return checks.reconcile(
@@ -537,7 +548,12 @@ def builds() -> dict[str, Build]:
     q["dq_gate"] = lambda w: engine.dq_gate(_all_rows(w), _all_outcomes(w))
     q["top_failing_rules"] = lambda w: observability.top_failing_rules(_all_outcomes(w))
     q["reprocess_accounts"] = _reprocess
+    q["reprocess_written_back"] = nights.reprocessed
     q["reconcile_layers"] = _reconcile
+    q["reconcile_written"] = _reconcile_written
+    q["check_bronze"] = lambda w: reduce(DataFrame.unionByName, [checks.check_bronze(_audited(w, t), t, 5) for t in mapping.TABLES])
+    q["check_silver"] = lambda w: reduce(DataFrame.unionByName, [checks.check_silver(w.silver(t), t, 5) for t in mapping.TABLES])
+    q["check_source_branches"] = lambda w: checks.check_source(w.source("branches"), "branches", "branch_code", "BR001", 5)
     q["null_counts_customers"] = lambda w: null_counts(w.source("customers"), _source_columns("customers"))
     q["value_range_transactions"] = lambda w: value_range(w.source("transactions"), "txn_timestamp")
     q["distinct_channels"] = lambda w: distinct_values(w.source("transactions"), "channel")

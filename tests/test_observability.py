@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tellerlake.plans import observability as obs
 
@@ -87,3 +88,47 @@ def test_metrics_from_outcomes(spark):
         ("DQPassRate", "t"): 70.0, ("FailedSharePct", "t"): 30.0, ("JobDurationSeconds", "s"): 12.5,
     }
     assert rows(obs.top_failing_rules(outcomes), "rule", "rank") == [("r2", 1)]
+
+
+def test_a_table_that_got_nothing_raises_an_alarm(spark):
+    days = [START + timedelta(days=i) for i in range(30)]
+    daily = spark.createDataFrame([("t", d, 100 + i % 3) for i, d in enumerate(days) if i != 25] + [("gone", d, 50 + i % 2) for i, d in enumerate(days[:20])], "table_name string, day date, value long")
+    dense = obs.dense_days(daily, "value", until=days[-1].isoformat())
+    assert dense.count() == 60
+    assert rows(obs.row_anomalies(daily).filter("is_anomaly = 1"), "day") == []
+    found = rows(obs.row_anomalies(dense).filter("is_anomaly = 1 AND value = 0"), "table_name", "day")
+    assert ("t", days[25]) in found and ("gone", days[20]) in found
+    flagged = rows(obs.deviation(dense, "value").filter("dropped = 1"), "table_name", "day")
+    assert ("t", days[25]) in flagged and ("gone", days[20]) in flagged
+    # Behind nothing but zeros a zero is no deviation, any row is.
+    zeros = spark.createDataFrame([("z", START + timedelta(days=i), 0 if i < 20 else 7) for i in range(21)], "table_name string, day date, value long")
+    assert rows(obs.deviation(zeros, "value").filter("off_baseline = 1"), "day") == [(START + timedelta(days=20),)]
+
+
+def test_runs_at_the_same_time(spark):
+    t = datetime(2024, 1, 1, 23, 0)
+    data = [(t, 7200.0), (t + timedelta(minutes=10), 600.0), (t + timedelta(minutes=20), 60.0), (t + timedelta(minutes=90), 60.0), (t + timedelta(days=3), 0.0), (t + timedelta(days=5), 1.5)]
+    runs = spark.createDataFrame(data, "run_ts timestamp, duration_s double")
+    # The second ends when the third starts; the first runs past midnight; a run without length is never at work.
+    assert rows(obs.concurrent_runs(runs), "day", "peak_runs", "peak_at") == [
+        (date(2024, 1, 1), 2, t + timedelta(minutes=10)), (date(2024, 1, 2), 2, t + timedelta(minutes=90)), (date(2024, 1, 6), 1, t + timedelta(days=5)),
+    ]
+
+
+def test_each_threshold_fires_once(spark):
+    t = datetime(2024, 1, 1, 1)
+    log = [
+        ("b1", "bronze", "a", "FAILED", 10, 700.0, t), ("b1", "silver", "b", "FAILED", 10, 30.0, t + timedelta(minutes=50)), ("b1", "warehouse", "w", "FAILED", 0, 5.0, t + timedelta(minutes=55)),
+        ("b2", "silver", "b", "SUCCESS", 40, 5.0, t + timedelta(days=1)), ("b2", "gold", "g", "SUCCESS", 30, 5.0, t + timedelta(days=1, minutes=2)),
+    ]
+    runs = spark.createDataFrame(log, "batch_id string, phase string, step string, status string, rows long, duration_s double, started_at timestamp")
+    got = {(r.metric, r.day): r.value for r in obs.whole_run_metrics(runs).collect()}
+    one, two = t.date(), (t + timedelta(days=1)).date()
+    assert got[("PipelineDurationSeconds", one)] == 3305.0 and got[("PipelineDurationSeconds", two)] == 125.0
+    assert (got[("PipelineFailures", one)], got[("DailySuccess", two)], got[("FailedJobsPerHour", one)], got[("WarehouseLoadFailed", one)]) == (1.0, 1.0, 3.0, 1.0)
+    assert (got[("SilverRows", one)], got[("SilverRows", two)], got[("GoldRows", two)]) == (0.0, 40.0, 30.0)
+    outcomes = spark.createDataFrame([("t", one, "r", 60, 100, "Failed")], "table_name string, run_date date, rule string, failing_rows long, evaluated_rows long, outcome string")
+    results = spark.createDataFrame([("t", one, 100, 60)], "table_name string, day date, evaluated_rows long, failed_rows long")
+    every = obs.metrics(outcomes, results, runs.withColumn("run_ts", F.col("started_at"))).unionByName(obs.whole_run_metrics(runs))
+    fired = sorted(r.metric for r in obs.alerts(every, obs.thresholds_df(spark)).collect())
+    assert fired == sorted(m for m, comparison, _, _ in obs.THRESHOLDS if comparison != "tracked")
