@@ -586,6 +586,14 @@ def build() -> dict[str, str]:
         FROM (SELECT moment, count(r.s) AS active FROM (SELECT s AS moment FROM {spans} UNION SELECT e FROM {spans}) m LEFT JOIN {spans} r ON r.s <= moment AND moment < r.e GROUP BY moment)
         WHERE cast(moment AS date) IN (SELECT cast(s AS date) FROM {spans}) GROUP BY strftime(moment, '%Y-%m-%d')"""
     q["whole_run_metrics"] = "SELECT metric, 'pipeline' AS table_name, strftime(day, '%Y-%m-%d') AS day, value FROM run_metrics"
+    q["rows_by_zone_day"] = "SELECT phase AS zone, strftime(run_ts, '%Y-%m-%d') AS day, cast(sum(rows) AS bigint) AS rows, count(*) FILTER (WHERE status = 'FAILED') AS failed_steps FROM src_job_runs GROUP BY phase, strftime(run_ts, '%Y-%m-%d')"
+    failing = "count(*) FILTER (WHERE status = 'FAILED')"
+    q["job_trend_30d"] = f"""SELECT step, strftime(run_ts, '%Y-%m-%d') AS day, count(*) AS runs, {_pct(failing, 'count(*)')} AS failure_rate_pct, max(duration_s) AS max_duration_s FROM src_job_runs
+        WHERE cast(run_ts AS date) > (SELECT max(cast(run_ts AS date)) - 30 FROM src_job_runs) GROUP BY step, strftime(run_ts, '%Y-%m-%d')"""
+    single = " AND ".join(f"coalesce({ok}, true)" for _, kind, _, ok in _RULES["transactions"] if kind != "Uniqueness")
+    broken = f"count(*) FILTER (WHERE NOT ({single}))"
+    q["quality_trend_30d"] = f"""SELECT 'transactions' AS table_name, strftime(txn_timestamp, '%Y-%m-%d') AS day, count(*) AS evaluated_rows, {broken} AS quarantined_rows, {_pct(f'count(*) - {broken}', 'count(*)')} AS pass_rate_pct
+        FROM src_transactions WHERE cast(txn_timestamp AS date) > (SELECT max(cast(txn_timestamp AS date)) - 30 FROM src_transactions) GROUP BY strftime(txn_timestamp, '%Y-%m-%d')"""
     q["alerts_whole_runs"] = f"""SELECT metric, 'pipeline' AS table_name, strftime(day, '%Y-%m-%d') AS day, value, comparison, limit_value, severity FROM run_metrics JOIN {_THRESHOLDS} USING (metric)
         WHERE (comparison = '>' AND value > limit_value) OR (comparison = '>=' AND value >= limit_value) OR (comparison = '<' AND value < limit_value)"""
 

@@ -26,7 +26,7 @@ from tellerlake.plans.nightly import run_nightly
 from tellerlake.plans.reports import REPORTS
 from tellerlake.plans.silver import SPEC, quarantine_stats, reprocess
 from tellerlake.quality import engine
-from tellerlake.quality.rules import FOREIGN_KEYS, FORMAT_RULES, RULES, foreign_key_rules, rules_from_catalog
+from tellerlake.quality.rules import FOREIGN_KEYS, FORMAT_RULES, RULES, KeyRule, foreign_key_rules, rules_from_catalog
 from tellerlake.schemas import CATALOG, WAREHOUSE, landing_types
 from tellerlake.session import in_parallel, scratch_path, settle, settle_keys
 from tellerlake.sources import lake as lakes
@@ -437,6 +437,16 @@ def _dense_counts(w: Workspace) -> DataFrame:
     return observability.dense_days(counts, "value", until="2024-02-15")
 
 
+def _quality_trend(w: Workspace) -> DataFrame:
+    """Each day of the transactions as a load of its own, checked by the rules of single rows."""
+    rules = [r for r in RULES["transactions"] if not isinstance(r, KeyRule)]
+    rows = engine.evaluate_rows(w.source("transactions"), rules).withColumn("run_date", F.to_date("txn_timestamp"))
+    days = rows.groupBy(F.lit("transactions").alias("table_name"), "run_date").agg(
+        F.count(F.lit(1)).alias("evaluated_rows"), F.count_if(~F.col("dq_passed")).alias("failed_rows")
+    )
+    return observability.quality_trend(days.withColumn("rule_no", F.lit(1)))
+
+
 def _hourly_runs(w: Workspace) -> DataFrame:
     """The job log as pipeline runs: all jobs that start in an hour are steps of one run."""
     runs = w.source("job_runs").withColumn("started_at", F.col("run_ts"))
@@ -619,6 +629,9 @@ def builds() -> dict[str, Build]:
     q["stream_failure_burst"] = _stream_bursts
     q["failure_burst"] = lambda w: observability.failure_bursts(w.source("job_runs"), "run_ts")
     q["concurrent_runs"] = lambda w: observability.concurrent_runs(w.source("job_runs").withColumn("duration_s", F.col("duration_s") * 60))
+    q["rows_by_zone_day"] = lambda w: observability.rows_by_zone_day(w.source("job_runs").withColumnRenamed("phase", "zone"))
+    q["job_trend_30d"] = lambda w: observability.job_trend(w.source("job_runs")).drop("mean_duration_s")
+    q["quality_trend_30d"] = _quality_trend
     q["whole_run_metrics"] = lambda w: observability.whole_run_metrics(_hourly_runs(w))
     q["alerts_whole_runs"] = lambda w: observability.alerts(observability.whole_run_metrics(_hourly_runs(w)), observability.thresholds_df(w.spark))
     q["anomaly_dense_days"] = lambda w: _rounded(observability.row_anomalies(_dense_counts(w)), ["baseline_mean", "baseline_stddev", "lower_bound", "upper_bound"])

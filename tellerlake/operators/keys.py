@@ -7,21 +7,34 @@ from pyspark.sql import functions as F
 
 from tellerlake.functions.hashing import row_hash
 from tellerlake.operators.skew import without_keys
-from tellerlake.session import settle_keys
+from tellerlake.session import BROADCAST_BYTES, setting, settle_keys
 
 
 _ROWS_PER_BUCKET = 1_000_000
-_MAX_DIGITS = 5
+# So many hex digits of a bucket are summed up within a group of buckets, the digits before name the group.
+_INNER = 3
 
 
 def _digits(rows: int) -> int:
     """Hex characters that cut ``rows`` into buckets of about a million."""
     digits = 1
-    while digits < _MAX_DIGITS and rows > _ROWS_PER_BUCKET * 16**digits:
+    while rows > _ROWS_PER_BUCKET * 16**digits:
         digits += 1
     return digits
 
 
+def _offsets(counts: DataFrame, bucket: str) -> DataFrame:
+    """Rows before each bucket. Buckets are summed within groups of 16**3 and the groups among themselves, so that
+    no task sees all buckets of a large table."""
+    group = F.expr(f"substring({bucket}, 1, greatest(length({bucket}) - {_INNER}, 0))")
+    grouped = counts.withColumn("_group", group)
+    inner = Window.partitionBy("_group").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(F.lit(0)).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = grouped.groupBy("_group").agg(F.sum("_n").alias("_n")).select("_group", F.coalesce(F.sum("_n").over(outer), F.lit(0)).alias("_before"))
+    within = grouped.withColumn("_within", F.coalesce(F.sum("_n").over(inner), F.lit(0)))
+    return within.join(groups, "_group").select(bucket, (F.col("_within") + F.col("_before")).alias("_offset"))
+
+
 def assign_sk(
     df: DataFrame, natural_key: list[str], name: str, start: int = 0, as_type: str = "bigint", digits: int | None = None
 ) -> DataFrame:
@@ -29,23 +42,23 @@ def assign_sk(
 
     Rows are numbered in the order of the MD5 of their key. Its first ``digits`` hex characters cut
     the rows into 16**digits buckets of equal size whatever the keys look like, so every bucket is
-    numbered on its own and only the bucket counts (16**digits rows at most) are summed up.
-    The numbers do not depend on ``digits``, which by default follows from the number of rows. Pass
-    a written table: its keys are read twice, once for the counts.
+    numbered on its own and only the bucket counts are summed up. The numbers do not depend on ``digits``, which
+    by default follows from the number of rows, however many. Pass a written table: its keys are read twice,
+    once for the counts.
     """
     digits = digits or _digits(df.count())
     digest, bucket = "_digest", "_bucket"
     hashed = row_hash(*natural_key)
     counts = df.groupBy(F.substring(hashed, 1, digits).alias(bucket)).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = _offsets(counts, bucket)
+    # A row for each bucket: digits and number, some 32 bytes.
+    if 16**digits * 32 <= setting(df.sparkSession, BROADCAST_BYTES):
+        offsets = F.broadcast(offsets)
     in_bucket = Window.partitionBy(bucket).orderBy(digest, *natural_key)
     return (
         df.withColumn(digest, hashed)
         .withColumn(bucket, F.substring(digest, 1, digits))
-        .join(F.broadcast(offsets), bucket)
+        .join(offsets, bucket)
         .withColumn(name, (F.row_number().over(in_bucket) + F.col("_offset") + start).cast(as_type))
         .drop(digest, bucket, "_offset")
         .select(name, *df.columns)

@@ -244,3 +244,34 @@ def top_failing_rules(outcomes: DataFrame, n: int = 3) -> DataFrame:
 
 def rows_by_zone(counts: DataFrame) -> DataFrame:
     return counts.groupBy("zone").agg(F.sum("rows").alias("rows"))
+
+
+def rows_by_zone_day(counts: DataFrame) -> DataFrame:
+    """Rows and failed steps of each zone per day."""
+    return counts.groupBy("zone", F.to_date("run_ts").alias("day")).agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("status") == "FAILED").alias("failed_steps"),
+    )
+
+
+def job_trend(runs: DataFrame, days: int = 30) -> DataFrame:
+    """Per job and day of the last ``days`` days of the log: runs, failure rate, mean and longest duration."""
+    last = runs.agg(F.max(F.to_date("run_ts"))).first()[0]
+    recent = runs.filter(F.to_date("run_ts") > F.date_sub(F.lit(last).cast("date"), days))
+    n = F.count(F.lit(1))
+    return recent.groupBy("step", F.to_date("run_ts").alias("day")).agg(
+        n.alias("runs"), pct(F.count_if(F.col("status") == "FAILED"), n).alias("failure_rate_pct"),
+        F.round(F.avg("duration_s"), 3).alias("mean_duration_s"), F.max("duration_s").alias("max_duration_s"),
+    )
+
+
+def quality_trend(outcomes: DataFrame, days: int = 30) -> DataFrame:
+    """Per table and day of the last ``days`` days: rows checked, rows in quarantine and pass rate.
+
+    ``outcomes`` are rule outcomes of many runs (table_name, run_date, rule_no, evaluated_rows, failed_rows); the row figures of a run stand in each of its rules.
+    """
+    last = outcomes.agg(F.max("run_date")).first()[0]
+    recent = outcomes.filter(F.col("run_date") > F.date_sub(F.lit(last).cast("date"), days))
+    per_run = recent.filter("rule_no = 1").groupBy("table_name", F.col("run_date").alias("day")).agg(
+        F.sum("evaluated_rows").alias("evaluated_rows"), F.sum("failed_rows").alias("quarantined_rows"),
+    )
+    return per_run.withColumn("pass_rate_pct", pct(F.col("evaluated_rows") - F.col("quarantined_rows"), F.col("evaluated_rows")))

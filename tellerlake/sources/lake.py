@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tellerlake.sources.parts import PartTable
+from tellerlake.sources.parts import PartTable, children, remove
 
 ZONES = ("landing", "bronze", "silver", "quarantine", "gold", "warehouse", "metadata")
 # The published version of a table, its rows and when it was published.
@@ -105,6 +105,21 @@ class Lake:
         self.publish(zone, table, version, rows)
         return self.spark.read.parquet(f"{self.path(zone, table)}/version={version}"), rows
 
+    def vacuum(self, zone: str, table: str, keep: int = 2) -> int:
+        """Remove what the newest ``keep`` versions of a table do not need; returns how many folders went.
+
+        Unpublished versions go too, so no other run may be writing the table meanwhile.
+        """
+        parts = self.parts(zone, table)
+        gone = parts.vacuum(keep)
+        rows = self.versions().filter((F.col("zone") == zone) & (F.col("table_name") == table))
+        held = {f"version={r.version}" for r in rows.orderBy(F.desc("committed_at")).limit(keep).collect()}
+        for name in children(self.spark, self.path(zone, table)):
+            if held and name.startswith("version=") and name not in held:
+                remove(self.spark, f"{self.path(zone, table)}/{name}")
+                gone += 1
+        return gone
+
     def versions(self) -> DataFrame:
         """Log of published versions."""
         return self.read_log("versions", _VERSION_SCHEMA)

@@ -104,7 +104,7 @@ class PartTable:
 
     def published(self) -> list[int]:
         """Versions, from the listing of one folder."""
-        found = [re.fullmatch(r"v(\d+)\.json", name) for name in children(self.spark, f"{self.path}/entries")]
+        found = [re.match(r"v(\d+)\.json$", name) for name in children(self.spark, f"{self.path}/entries")]
         return [int(m.group(1)) for m in found if m]
 
     def entry(self, version: int | None = None) -> Entry:

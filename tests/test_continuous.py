@@ -92,6 +92,14 @@ def test_a_merge_of_one_row_writes_one_bucket(lake):
     assert read_merged(lake, "customers").filter("customer_id = 11").first().updated_at == datetime(2024, 4, 1)
 
 
+def test_vacuum_of_whole_versions(lake):
+    for n in range(3):
+        lake.replace(lake.spark.range(n + 1), "gold", "t")
+    lake.write_version(lake.spark.range(9), "gold", "t")  # never published
+    assert lake.vacuum("gold", "t", keep=1) == 3
+    assert lake.current("gold", "t").count() == 3 and lake.vacuum("gold", "t", keep=1) == 0
+
+
 # --- marks --------------------------------------------------------------------------------------
 
 
