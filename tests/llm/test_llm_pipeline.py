@@ -81,9 +81,21 @@ def test_awkward_documents(spark, awkward, no_docs):
         now.collect()
 
 
+def test_columns_of_any_name_come_through(spark, awkward):
+    """Every stage but the last returns the columns it got, those with the operators' own names unchanged."""
+    names = ["quality_score", "Quality_Score_", "copy", "own_0", "source_size", "n", "members_"]
+    now = awkward.withColumns({c: F.lit("clash") for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, now, SF)
+        assert out.columns == now.columns, name
+        clashing = [c for c in out.columns if c not in COLUMNS]
+        assert {tuple(r) for r in out.select(*clashing).distinct().collect()} <= {("clash",) * len(clashing)}, name
+    corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()
+
+
 def test_sql_counterparts(spark):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in queries.oracle_sql().items():
         df, result = queries.queries()[name](spark, SF), con.sql(sql)
@@ -95,7 +107,7 @@ def test_sql_counterparts(spark):
 def test_registered_queries():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} and "pipeline" in names
     assert packing.__name__.startswith("tellerlake.llm")
 
 
