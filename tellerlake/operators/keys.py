@@ -52,13 +52,12 @@ def assign_sk(
     counts = df.groupBy(F.substring(hashed, 1, digits).alias(bucket)).agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(counts, bucket)
     # A row for each bucket: digits and number, some 32 bytes.
-    if 16**digits * 32 <= setting(df.sparkSession, BROADCAST_BYTES):
-        offsets = F.broadcast(offsets)
+    small = 16**digits * 32 <= setting(df.sparkSession, BROADCAST_BYTES)
     in_bucket = Window.partitionBy(bucket).orderBy(digest, *natural_key)
+    placed = df.withColumn(bucket, F.substring(hashed, 1, digits)).join(F.broadcast(offsets) if small else offsets, bucket)
     return (
-        df.withColumn(digest, hashed)
-        .withColumn(bucket, F.substring(digest, 1, digits))
-        .join(offsets, bucket)
+        (placed.repartition(bucket) if small else placed)
+        .withColumn(digest, hashed)  # behind the shuffle, which need not carry it
         .withColumn(name, (F.row_number().over(in_bucket) + F.col("_offset") + start).cast(as_type))
         .drop(digest, bucket, "_offset")
         .select(name, *df.columns)

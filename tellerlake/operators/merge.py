@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerlake.operators.skew import keyed_join, split_by_keys, with_keys, without_keys
 from tellerlake.operators.windows import duplicate_keys, latest
-from tellerlake.session import settle
+from tellerlake.session import settle_keys
 
 
 def union_loads(loads: list[DataFrame], pk: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
@@ -27,7 +27,13 @@ def dedupe(df: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
     return single.unionByName(latest(repeated, pk, order))
 
 
-def _without_key(pk: list[str]) -> Column:
+def one_each(df: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
+    """The rows of :func:`latest` when few keys repeat: only rows of repeated keys and rows without a key are shuffled whole."""
+    repeated, single = split_by_keys(df.filter(~without_key(pk)), duplicate_keys(df, pk), pk)
+    return single.unionByName(latest(repeated.unionByName(df.filter(without_key(pk))), pk, order))
+
+
+def without_key(pk: list[str]) -> Column:
     return reduce(Column.__or__, [F.col(k).isNull() for k in pk])
 
 
@@ -40,7 +46,7 @@ def _unseen(target: DataFrame, rows: DataFrame, pk: list[str]) -> DataFrame:
         return rows
     shared = [c for c in rows.columns if c in target.columns]
     digest = F.sha2(F.to_json(F.struct(*sorted(shared))), 256)
-    known = target.filter(_without_key(pk)).select(digest.alias("_digest")).distinct()
+    known = target.filter(without_key(pk)).select(digest.alias("_digest")).distinct()
     return rows.withColumn("_digest", digest).dropDuplicates(["_digest"]).join(known, "_digest", "left_anti").select(*rows.columns)
 
 
@@ -51,21 +57,31 @@ def upsert(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str])
     Rows without a key are never merged with each other: those of the target stay, those of the batch are
     added unless the target already holds the very same row.
     """
-    keyed = batch.filter(~_without_key(pk))
+    keyed = batch.filter(~without_key(pk))
     known, untouched = split_by_keys(target, keyed, pk)
     touched = known.unionByName(keyed, allowMissingColumns=True)
     merged = untouched.unionByName(latest(touched, pk, order), allowMissingColumns=True)
-    return merged.unionByName(_unseen(target, batch.filter(_without_key(pk)), pk), allowMissingColumns=True)
+    return merged.unionByName(_unseen(target, batch.filter(without_key(pk)), pk), allowMissingColumns=True)
+
+
+def merged_first(batch: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
+    """:func:`upsert` into a table that has no rows yet."""
+    keyed = one_each(batch.filter(~without_key(pk)), pk, order)
+    return keyed.unionByName(_unseen(batch.limit(0), batch.filter(without_key(pk)), pk))
 
 
 def new_rows(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
     """Rows of an insert-only batch: one per key, without keys the target already has.
 
-    Rows without a key are new unless the target already holds the very same row.
+    Rows without a key are new unless the target already holds the very same row. Keys are compared by themselves; the
+    rows then meet the known keys or the new ones, whichever are fewer.
     """
-    one_each = settle(latest(batch.filter(~_without_key(pk)), pk, order), "batch")
-    known = with_keys(target.select(*pk), one_each, pk)
-    return without_keys(one_each, known, pk).unionByName(_unseen(target, batch.filter(_without_key(pk)), pk))
+    keyed = one_each(batch.filter(~without_key(pk)), pk, order)
+    held = target.select(*[F.col(k).cast(batch.schema[k].dataType).alias(k) for k in pk]).distinct().withColumn("_held", F.lit(True))
+    marked = settle_keys(keyed.select(*pk).join(held, pk, "left"))
+    known, new = marked.filter("_held").select(*pk), marked.filter("_held IS NULL").select(*pk)
+    fresh = with_keys(keyed, new, pk) if new.count() < known.count() else without_keys(keyed, known, pk)
+    return fresh.unionByName(_unseen(target, batch.filter(without_key(pk)), pk))
 
 
 def insert_only(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str]) -> DataFrame:

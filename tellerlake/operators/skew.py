@@ -26,6 +26,11 @@ def frame_bytes(df: DataFrame) -> tuple[int, int]:
     return rows, rows * fixed + chars
 
 
+def broadcastable(df: DataFrame) -> bool:
+    """Whether the measured size of a frame stays below the limit of a broadcast."""
+    return frame_bytes(df)[1] <= setting(df.sparkSession, BROADCAST_BYTES)
+
+
 class HotKeys:
     """Hashes of the keys that hold very many rows, each with the number of tasks its rows are spread over.
 

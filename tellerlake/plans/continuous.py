@@ -17,7 +17,7 @@ from tellerlake.plans.silver import SPEC, build_silver, parents_of, strict_rules
 from tellerlake.quality.engine import dq_gate, enforce_gate, row_results
 from tellerlake.session import settle_keys
 from tellerlake.sources.lake import Lake
-from tellerlake.sources.landing import add_audit_columns
+from tellerlake.sources.landing import AUDIT_RELATIONAL, add_audit_columns
 from tellerlake.sources.state import append_run_log, update_watermark
 
 
@@ -32,18 +32,21 @@ def load_source(run: Run, table: str, source: DataFrame, lookback: timedelta, ha
     A load that stops on the way has not moved the mark, so the next one pulls its rows again.
     """
     lake, mine = run.lake, load_part(run)
-    pulled = pull(lake, table, source, lookback)
     bronze = lake.parts("bronze", table)
-    bronze.replace(add_audit_columns(pulled, batch_of(run, table)), F.lit(mine), {mine})
+    # Bronze holds the very rows that were pulled, unless an audit column took the place of one of theirs.
+    clash = set(source.columns) & set(AUDIT_RELATIONAL)
+    pulled = pull(lake, table, source, lookback, write=bool(clash))
+    entry = bronze.replace(add_audit_columns(pulled, batch_of(run, table)), mine, {mine})
+    pulled = pulled if clash else bronze.read({mine}, entry).select(*source.columns)
     checks = {"rules": strict_rules(table), "parents": {p: read_merged(lake, p) for p in parents_of(table)}} if strict else {}
     result = build_silver(bronze.read({mine}), SPEC[table], run.run_ts, once=True, **checks)
     outcomes = settle_keys(result.outcomes)
     lake.log(outcomes.withColumn("batch_id", F.lit(run.batch_id)), "dq_results", "json")
-    lake.parts("quarantine", table).replace(result.quarantine, F.lit(mine), {mine})
+    lake.parts("quarantine", table).replace(result.quarantine, mine, {mine})
     if halt:
         enforce_gate(dq_gate(row_results(outcomes), outcomes))
     silver = lake.parts("silver", table)
-    entry = silver.replace(result.silver, F.lit(mine), {mine})
+    entry = silver.replace(result.silver, mine, {mine})
     passed = silver.read({mine}, entry)
     merge_batch(lake, table, passed, pulled)
     update_watermark(lake, table, passed, run.batch_id, run.run_ts, pulled=pulled)

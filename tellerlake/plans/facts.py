@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +27,8 @@ def build_fact_transactions(
     return transaction_rows(assign_sk(silver, ["txn_id"], "txn_sk", start), dim_account, dim_date, run_ts)
 
 
-def transaction_rows(numbered: DataFrame, dim_account: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
-    """Fact rows of silver rows that have their number already."""
+def transaction_rows(numbered: DataFrame, dim_account: DataFrame, dim_date: DataFrame, run_ts: datetime, more: Sequence[str] = ()) -> DataFrame:
+    """Fact rows of silver rows that have their number already, with ``more`` of the columns of these."""
     rows = numbered.withColumns(
         {
             "txn_date": F.to_date("txn_timestamp"),
@@ -37,7 +38,7 @@ def transaction_rows(numbered: DataFrame, dim_account: DataFrame, dim_date: Data
     )
     owned = lookup_sk(rows, current(dim_account), ["account_id"], ["account_sk", "customer_sk", "branch_sk"])
     dated = join_date(owned, dim_date, "txn_date")
-    return stamp(dated, run_ts).select(*columns_of("fact_transactions"))
+    return stamp(dated, run_ts).select(*columns_of("fact_transactions"), *more)
 
 
 def extend_fact_transactions(
@@ -56,20 +57,20 @@ def build_fact_payments(silver: DataFrame, dim_date: DataFrame, run_ts: datetime
     return payment_rows(assign_sk(silver, ["txn_id"], "payment_sk"), dim_date, run_ts)
 
 
-def payment_rows(numbered: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
+def payment_rows(numbered: DataFrame, dim_date: DataFrame, run_ts: datetime, more: Sequence[str] = ()) -> DataFrame:
     rows = numbered.withColumns(
         {
             "txn_date": F.to_date("processed_timestamp"),
             "is_success": F.coalesce((F.col("gateway_status") == "SUCCESS").cast("int"), F.lit(0)),
         }
     )
-    return stamp(join_date(rows, dim_date, "txn_date"), run_ts).select(*columns_of("fact_payments"))
+    return stamp(join_date(rows, dim_date, "txn_date"), run_ts).select(*columns_of("fact_payments"), *more)
 
 
 def build_fact_credit_risk(silver: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
     return credit_rows(assign_sk(silver, ["customer_id", "bureau_pull_date"], "credit_sk"), dim_customer, dim_date, run_ts)
 
 
-def credit_rows(numbered: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, run_ts: datetime) -> DataFrame:
+def credit_rows(numbered: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, run_ts: datetime, more: Sequence[str] = ()) -> DataFrame:
     owned = lookup_sk(numbered, current(dim_customer), ["customer_id"], ["customer_sk"])
-    return stamp(join_date(owned, dim_date, "bureau_pull_date"), run_ts).select(*columns_of("fact_credit_risk"))
+    return stamp(join_date(owned, dim_date, "bureau_pull_date"), run_ts).select(*columns_of("fact_credit_risk"), *more)

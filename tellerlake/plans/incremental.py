@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.functions.hashing import row_hash
-from tellerlake.operators.merge import dedupe, new_rows, union_loads, upsert
+from tellerlake.operators.merge import dedupe, merged_first, new_rows, union_loads, upsert
 from tellerlake.operators.skew import with_keys, without_keys
 from tellerlake.operators.windows import latest
 from tellerlake.plans.silver import SPEC, SilverResult, build_silver
@@ -66,7 +66,7 @@ def merge_batch(lake: Lake, source: str, batch: DataFrame, present: DataFrame |
         parts = [held, gone.withColumn("is_active", F.lit(0)), latest(batch, pk, pk).withColumn("is_active", F.lit(1))]
         merged = union_loads(parts)
     else:
-        merged = upsert(target, batch, pk, order)
+        merged = upsert(target, batch, pk, order) if entry.version else merged_first(batch, pk, order)
         if load_type == "FULL_MERGE":
             merged = merged.withColumn("is_active", F.lit(1))
     return table.replace(merged, part, touched, notes).rows
@@ -79,12 +79,12 @@ def seen_of(lake: Lake, source: str) -> DataFrame | None:
     return table.read(entry=entry) if entry.version else None
 
 
-def pull(lake: Lake, source: str, df: DataFrame, lookback: timedelta = LOOKBACK) -> DataFrame:
+def pull(lake: Lake, source: str, df: DataFrame, lookback: timedelta = LOOKBACK, write: bool = True) -> DataFrame:
     """What a load has to look at, written once so that the rows merged and the mark are the same rows even if the source moves on.
 
     Relational sources are pulled from the mark on, less ``lookback``; rows of that window that former loads have
     merged as they are drop out by their fingerprints. Of file sources every given row counts, since files may
-    bring older rows.
+    bring older rows. Without ``write`` the caller writes them.
     """
     load_type, column, key = LOAD_POLICY[source]
     pk = list(key)
@@ -94,7 +94,8 @@ def pull(lake: Lake, source: str, df: DataFrame, lookback: timedelta = LOOKBACK)
     if seen is not None:
         marked = new.withColumn("_seen", row_hash(*sorted(df.columns)))
         new = without_keys(marked, seen.withColumnRenamed("seen", "_seen"), ["_seen"]).drop("_seen")
-    return settle(dedupe(new, pk, [column] if column else pk), "pulled")
+    once = dedupe(new, pk, [column] if column else pk)
+    return settle(once, "pulled") if write else once
 
 
 def remember(lake: Lake, source: str, pulled: DataFrame, passed: DataFrame, columns: list[str], lookback: timedelta) -> None:
@@ -104,11 +105,11 @@ def remember(lake: Lake, source: str, pulled: DataFrame, passed: DataFrame, colu
         return
     mark = high_water(lake, source)
     window = incremental(pulled, column, mark, lookback)
-    rows = with_keys(window, passed, list(key)).select(F.col(column).cast("timestamp").alias("at"), row_hash(*sorted(columns)).alias("seen"))
+    rows = with_keys(window, incremental(passed, column, mark, lookback), list(key)).select(F.col(column).cast("timestamp").alias("at"), row_hash(*sorted(columns)).alias("seen"))
     before = seen_of(lake, source)
     if before is not None:
         rows = incremental(before, "at", mark, lookback).unionByName(rows).distinct()
-    lake.parts("metadata", f"seen_{source}").replace(rows, F.lit("window"), {"window"})
+    lake.parts("metadata", f"seen_{source}").replace(rows, "window", {"window"})
 
 
 def incremental_run(
@@ -132,4 +133,4 @@ def incremental_run(
 def quarantine(lake: Lake, table: str, checked: SilverResult, batch_id: str) -> None:
     """Failed rows of a load in place of those that an earlier attempt of the same load left."""
     failed = checked.quarantine.withColumn("batch_id", F.lit(batch_id))
-    lake.parts("quarantine", table).replace(failed, F.lit(batch_id), {batch_id})
+    lake.parts("quarantine", table).replace(failed, batch_id, {batch_id})

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from tellerlake.functions.hashing import row_hash
 from tellerlake.operators.joins import current
 from tellerlake.operators.keys import assign_sk
+from tellerlake.operators.merge import one_each, without_key
 from tellerlake.operators.scd2 import number_versions, scd2, scd2_apply
-from tellerlake.operators.skew import keyed_join, with_keys, without_keys
-from tellerlake.operators.windows import latest
+from tellerlake.operators.skew import broadcastable, keyed_join, with_keys, without_keys
 from tellerlake.plans import aggregates, dims, facts
 from tellerlake.plans.aggregates import SPANS, SUMS, roll, transaction_measures
 from tellerlake.schemas import CATALOG
@@ -165,7 +165,7 @@ class Fact:
     source: str
     sk: str
     day: str
-    rows: Callable[[DataFrame, Gold, datetime], DataFrame]
+    rows: Callable[[DataFrame, Gold, datetime, list[str]], DataFrame]
     parent: str | None = None
     names_by: str | None = None
     parent_sk: str | None = None
@@ -178,27 +178,36 @@ class Fact:
 
 FACTS = {
     "fact_transactions": Fact(
-        "transactions", "txn_sk", "txn_date", lambda r, g, ts: facts.transaction_rows(r, g["dim_account"], g["dim_date"], ts),
+        "transactions", "txn_sk", "txn_date", lambda r, g, ts, more: facts.transaction_rows(r, g["dim_account"], g["dim_date"], ts, more),
         "dim_account", "account_id", "account_sk", ("customer_sk", "branch_sk"),
     ),
-    "fact_payments": Fact("payment_gateway_logs", "payment_sk", "txn_date", lambda r, g, ts: facts.payment_rows(r, g["dim_date"], ts)),
+    "fact_payments": Fact("payment_gateway_logs", "payment_sk", "txn_date", lambda r, g, ts, more: facts.payment_rows(r, g["dim_date"], ts, more)),
     "fact_credit_risk": Fact(
-        "credit_bureau_reports", "credit_sk", "bureau_pull_date", lambda r, g, ts: facts.credit_rows(r, g["dim_customer"], g["dim_date"], ts),
+        "credit_bureau_reports", "credit_sk", "bureau_pull_date", lambda r, g, ts, more: facts.credit_rows(r, g["dim_customer"], g["dim_date"], ts, more),
         "dim_customer", "customer_id", "customer_sk",
     ),
 }
 
 
 def arrivals(k: Keeper, spec: Fact, ledger: PartTable, known: Entry, loads: DataFrame) -> DataFrame:
-    """Rows of new loads that are new or differ from what the ledger knows of them, with what it knows (_known)."""
-    batch = latest(loads, spec.key, ["load_timestamp"])
+    """Rows of new loads that are new or differ from what the ledger knows of them, with what it knows (_known).
+
+    ``loads`` are written rows. Only keys and fingerprints of rows that the ledger may know are shuffled.
+    """
+    batch = one_each(loads, spec.key, ["load_timestamp"])
     contents = [c.name for c in CATALOG[spec.source] if c.name in batch.columns]
-    batch = settle(batch.withColumn("_content", row_hash(*contents)), "arrived")
+    batch = batch.withColumn("_content", row_hash(*contents))
+    unknown = F.lit(None).cast(f"struct<seq:bigint,{spec.sk}:bigint,home:string,digest:string>")
     if not known.version:
-        return batch.withColumn("_known", F.lit(None).cast(f"struct<seq:bigint,{spec.sk}:bigint,home:string,digest:string>"))
-    newest = settle_keys(known_rows(spec, ledger, known, batch, k.buckets).withColumnRenamed("known", "_known"))
-    found = keyed_join(batch, newest, spec.key, spread=False)
-    return settle(found.filter(F.col("_known").isNull() | (F.col("_known.digest") != F.col("_content"))), "changed")
+        return batch.withColumn("_known", unknown)
+    known_as = F.struct("seq", spec.sk, "home", "digest")
+    mine = ledger.read(names(batch, bucket(spec.key, known.notes.get("buckets", k.buckets))), known)
+    # The first load of a ledger has every key once.
+    newest = mine.select(*spec.key, known_as.alias("_known")) if known.version == 1 else mine.groupBy(*spec.key).agg(F.max(known_as).alias("_known"))
+    keyed, keyless = batch.filter(~without_key(spec.key)), batch.filter(without_key(spec.key)).withColumn("_known", unknown)
+    compared = keyed.select(*spec.key, "_content").join(newest, spec.key, "left")
+    differ = settle(compared.filter(F.col("_known").isNull() | (F.col("_known.digest") != F.col("_content"))).drop("_content"), "differ")
+    return settle(keyed_join(keyed, differ, spec.key, "inner", spread=False).unionByName(keyless), "changed")
 
 
 def known_rows(spec: Fact, ledger: PartTable, entry: Entry, rows: DataFrame, buckets: int) -> DataFrame:
@@ -261,25 +270,33 @@ def keep_fact(k: Keeper, name: str, gold: Gold) -> None:
     if not loads and not touched:
         return
     buckets = known.notes.get("buckets", k.buckets)
-    changed = settle(arrivals(k, spec, ledger, known, silver.read(loads, arrived)), "changed")
+    changed = arrivals(k, spec, ledger, known, silver.read(loads, arrived))
     top = max(held.notes.get("top", 0), known.notes.get("top", 0))
     fresh = assign_sk(changed.filter("_known IS NULL"), spec.key, spec.sk, start=top)
     corrected = changed.filter("_known IS NOT NULL").withColumn(spec.sk, F.col(f"_known.{spec.sk}"))
-    numbered = settle(fresh.unionByName(corrected), "numbered")
-    rows = settle(spec.rows(numbered.drop("_known", "_content"), gold, k.run_ts), "fact-rows")
-    touched |= names(rows, k.home(spec.day)) | names(numbered.filter("_known IS NOT NULL"), F.col("_known.home"))
+    numbered = fresh.unionByName(corrected).withColumn("_was", F.col("_known.home")).drop("_known")
+    if spec.parent:
+        numbered = numbered.withColumn("_names", F.col(spec.names_by))
+        if not broadcastable(current(gold[spec.parent]).select(spec.names_by, spec.parent_sk, *spec.brings)):
+            numbered = settle(numbered, "numbered")  # it is read more than once
+    more = ["_content", "_was", *(["_names"] if spec.parent else [])]
+    kept = settle(spec.rows(numbered, gold, k.run_ts, more), "fact-rows")
+    rows = kept.drop(*more)
+    touched |= names(rows, k.home(spec.day)) | names(kept.filter("_was IS NOT NULL"), F.col("_was"))
     if touched:
         stay = without_keys(fact.read(touched, held), rows.select(*spec.key), spec.key) if held.version else rows.limit(0)
-        top = max(top, numbered.agg(F.max(spec.sk)).first()[0] or 0)
+        top = max(top, rows.agg(F.max(spec.sk)).first()[0] or 0)
         again = looked_up_again(stay, spec, gold, found)
         fact.replace(again.unionByName(rows).sortWithinPartitions(spec.day), k.home(spec.day), touched, {"top": top})
-    homes = rows.select(*spec.key, k.home(spec.day).alias("home"), *([spec.parent_sk] if spec.parent else []))
-    written = settle(keyed_join(numbered, homes, spec.key, spread=False), "written")
+    keyed = ~without_key(spec.key)  # a row without a key is never found again
+    parent = [F.when(keyed, F.col(spec.parent_sk)).alias(spec.parent_sk)] if spec.parent else []
+    named = [F.col("_names").alias(spec.names_by)] if spec.parent and spec.names_by not in spec.key else []
+    written = kept.select(*spec.key, spec.sk, "_content", F.when(keyed, k.home(spec.day)).alias("home"), *parent, *named)
     if spec.parent:
         keep_unresolved(k, name, written, found, buckets)
         owners = current(gold[spec.parent]).select(spec.parent_sk, *spec.brings)
         if spec.brings:
-            k.table("fact_owners").replace(owners, F.lit("all"), {"all"})
+            k.table("fact_owners").replace(owners, "all", {"all"})
     entry = written.select(*spec.key, spec.sk, "home", F.col("_content").alias("digest"), F.lit(known.version + 1).cast("bigint").alias("seq"))
     ledger.append(entry, bucket(spec.key, buckets), {_OF: arrived.version, "top": top, "buckets": buckets})
 

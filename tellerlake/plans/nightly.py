@@ -85,7 +85,8 @@ def of_day(run: Run) -> Callable[[str], bool]:
 def own(run: Run, df: DataFrame, zone: str, table: str, by: list[str]) -> int:
     """Write the rows of this load date; whatever the date had before goes, even if no row replaces it. Returns the rows of the date."""
     mine = of_day(run)
-    entry = run.lake.parts(zone, table).replace(df, part_name(*by), mine)
+    part = run.run_ts.date().isoformat() if by == ["load_date"] else part_name(*by)
+    entry = run.lake.parts(zone, table).replace(df, part, mine)
     return sum(rows for part, _, rows in entry.folders if mine(part))
 
 

@@ -49,7 +49,7 @@ def reprocess_quarantine(run: Run, table: str, fix: Callable[[DataFrame], DataFr
     bronze = with_keys(lake.read("bronze", table), keys, identity)
     result = build_silver(fix(bronze), spec, run.run_ts, once=True)
     mine = f"{run.run_ts.date().isoformat()}~{run.batch_id}~fixed"
-    entry = silver.replace(result.silver, F.lit(mine), {mine})
+    entry = silver.replace(result.silver, mine, {mine})
     passed = silver.read({mine}, entry)
     if merged:
         merge_batch(lake, table, passed)

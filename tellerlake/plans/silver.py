@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tellerlake.functions.banding import risk_band
 from tellerlake.functions.masking import mask_pii
-from tellerlake.quality.engine import drop_helpers, evaluate_rows, reason_text, rule_outcomes, split
+from tellerlake.operators.skew import broadcastable
+from tellerlake.quality.engine import drop_helpers, evaluate_rows, failing_keys, reason_text, rule_outcomes, split
 from tellerlake.quality.rules import FOREIGN_KEYS, FORMAT_RULES, RULES, Rule, foreign_key_rules
 from tellerlake.session import settle
 
@@ -118,12 +119,13 @@ def build_silver(
     """Evaluate the rules on raw values and derive silver, quarantine and rule outcomes.
 
     Quarantined rows of every table are kept with the rules they broke; personal data in them is
-    masked unless ``keep_raw`` is set. ``once`` writes the evaluated rows first, so that the three outputs do not
-    each work them out.
+    masked unless ``keep_raw`` is set. ``once`` writes the evaluated rows first where keys that break a rule are too many for a
+    broadcast, so that the three outputs do not each shuffle all rows. Where they are few, an output is one pass over ``bronze``.
     """
     checked = list(rules if rules is not None else spec.rules)
-    evaluated = evaluate_rows(bronze, checked, parents)
-    if once:
+    failing = failing_keys(bronze, checked, parents)
+    evaluated = evaluate_rows(bronze, checked, failing=failing)
+    if once and not all(broadcastable(keys) for keys in failing.values()):
         evaluated = settle(evaluated, f"evaluated-{spec.name}")
     passed, failed = split(evaluated)
     ts = F.lit(run_ts).cast("timestamp")

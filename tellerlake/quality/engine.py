@@ -23,8 +23,13 @@ OUTCOME_SCHEMA = """table_name string, run_date date, rule_no int, rule string,
     failing_rows bigint, evaluated_rows bigint, ratio double, outcome string, failed_rows bigint"""
 
 
+def failing_keys(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None) -> dict[int, DataFrame]:
+    """The key values that break a key rule, by the place of the rule, worked out once."""
+    return {i: settle_keys(r.bad_keys(df, parents or {}).select(*r.columns)) for i, r in enumerate(rules) if isinstance(r, KeyRule)}
+
+
 def evaluate_rows(
-    df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None
+    df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None, failing: Mapping[int, DataFrame] | None = None
 ) -> DataFrame:
     """Add a bit mask of the rules each row breaks, and whether it breaks none.
 
@@ -33,13 +38,14 @@ def evaluate_rows(
     Column rules are one projection. A key rule first finds its failing key values from the key
     column alone; the (usually few) values are then joined to the rows. The mask keeps the work per
     row to integer arithmetic in generated code; names are spelled out by :func:`failed_rules`.
+    ``failing`` has these values if the caller has found them already.
     """
+    failing = failing_keys(df, rules, parents) if failing is None else failing
     marked, checks = df, []
     for i, rule in enumerate(rules):
         if isinstance(rule, KeyRule):
             flag, keys = f"_bad_{i}", list(rule.columns)
-            bad = settle_keys(rule.bad_keys(df, parents or {}).select(*keys))
-            marked = keyed_join(marked, bad.withColumn(flag, F.lit(True)), keys)
+            marked = keyed_join(marked, failing[i].withColumn(flag, F.lit(True)), keys)
             checks.append(F.col(flag).isNull())
         else:
             checks.append(rule.row_ok())

@@ -51,11 +51,11 @@ def load_files(lake: Lake, source: str, path: str, types: dict[str, str], batch_
     text = settle(read_landing_csv(spark, paths, columns, pattern, header=header, corrupt=True), "landing")
     good = enforce_types(text.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), types)
     batch = Batch(batch_id, run_ts, src_system=f"{source}_csv")
-    lake.parts("bronze", source).replace(add_audit_columns(good, batch), F.lit(batch_id), {batch_id})
+    lake.parts("bronze", source).replace(add_audit_columns(good, batch), batch_id, {batch_id})
     bad = text.filter(F.col(CORRUPT).isNotNull()).select(
         F.col(CORRUPT).alias("line"), "src_file_name", F.lit("MALFORMED_LINE").alias("quarantine_reason"), F.lit(batch_id).alias("batch_id"), F.lit(run_ts).cast("timestamp").alias("quarantine_ts"),
     )
-    lake.parts("quarantine", f"{source}_lines").replace(bad, F.lit(batch_id), {batch_id})
+    lake.parts("quarantine", f"{source}_lines").replace(bad, batch_id, {batch_id})
     counts = text.groupBy(F.col("src_file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("corrupt"))
     counted = keyed_join(fresh, settle_keys(counts), ["file_name"], spread=False)
     entry = counted.select(
@@ -63,7 +63,7 @@ def load_files(lake: Lake, source: str, path: str, types: dict[str, str], batch_
         F.coalesce("corrupt", F.lit(0)).cast("bigint").alias("corrupt_rows"), F.when(F.col("corrupt") > 0, "PARTIAL").otherwise("LOADED").alias("status"),
         F.lit(batch_id).alias("batch_id"), F.lit(run_ts).cast("timestamp").alias("loaded_at"),
     )
-    lake.parts("metadata", f"files_{source}").replace(entry, F.lit(batch_id), {batch_id})
+    lake.parts("metadata", f"files_{source}").replace(entry, batch_id, {batch_id})
     return len(paths)
 
 

@@ -124,8 +124,11 @@ class PartTable:
         folders = [f"{self.path}/{folder}" for part, folder, _ in entry.folders if wanted is None or wanted(part)]
         return self.spark.read.schema(entry.schema).parquet(*folders) if folders else self.spark.createDataFrame([], entry.schema)
 
-    def replace(self, df: DataFrame, part: Column, owned: Iterable[str] | Callable[[str], bool] = (), notes: Mapping[str, int] | None = None) -> Entry:
-        """The rows of ``df`` in place of the parts they lie in and of those ``owned``, even if they bring no rows for them."""
+    def replace(self, df: DataFrame, part: Column | str, owned: Iterable[str] | Callable[[str], bool] = (), notes: Mapping[str, int] | None = None) -> Entry:
+        """The rows of ``df`` in place of the parts they lie in and of those ``owned``, even if they bring no rows for them.
+
+        ``part`` says in which part a row lies, or names the one in which all do.
+        """
         before = self.entry()
         owns = owned if callable(owned) else set(owned).__contains__
         written = self._write(df, part)
@@ -133,16 +136,17 @@ class PartTable:
         kept = [f for f in before.folders if f[0] not in gone and not owns(f[0])]
         return self._publish(before, kept + written, df.schema, notes)
 
-    def append(self, df: DataFrame, part: Column, notes: Mapping[str, int] | None = None) -> Entry:
+    def append(self, df: DataFrame, part: Column | str, notes: Mapping[str, int] | None = None) -> Entry:
         """The rows of ``df`` beside those that their parts have already."""
         before = self.entry()
         return self._publish(before, [*before.folders, *self._write(df, part)], df.schema, notes)
 
-    def _write(self, df: DataFrame, part: Column) -> list[tuple[str, str, int]]:
+    def _write(self, df: DataFrame, part: Column | str) -> list[tuple[str, str, int]]:
         folder = f"data-{uuid.uuid4().hex}"
         path = f"{self.path}/{folder}"
-        # Rows of a part meet in a few tasks, so that parts have few files; a large part is split by Spark.
-        df.withColumn(PART, part).hint("rebalance", PART).write.option("compression", "snappy").partitionBy(PART).parquet(path)
+        # Rows of a part meet in a few tasks, so that parts have few files; a large part is split by Spark. Rows of one part need not meet.
+        placed = df.withColumn(PART, F.lit(part)) if isinstance(part, str) else df.withColumn(PART, part).hint("rebalance", PART)
+        placed.write.option("compression", "snappy").partitionBy(PART).parquet(path)
         names = [n for n in children(self.spark, path) if n.startswith(f"{PART}=")]
         if not names:
             return []
