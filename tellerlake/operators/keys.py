@@ -10,13 +10,14 @@ from tellerlake.operators.skew import without_keys
 from tellerlake.session import BROADCAST_BYTES, setting, settle_keys
 
 
-_ROWS_PER_BUCKET = 1_000_000
+# Few enough that hashing spreads a large table's buckets evenly over the tasks.
+_ROWS_PER_BUCKET = 20_000
 # So many hex digits of a bucket are summed up within a group of buckets, the digits before name the group.
 _INNER = 3
 
 
 def _digits(rows: int) -> int:
-    """Hex characters that cut ``rows`` into buckets of about a million."""
+    """Hex characters that cut ``rows`` into buckets of at most some 20,000."""
     digits = 1
     while rows > _ROWS_PER_BUCKET * 16**digits:
         digits += 1
@@ -54,10 +55,14 @@ def assign_sk(
     # A row for each bucket: digits and number, some 32 bytes.
     small = 16**digits * 32 <= setting(df.sparkSession, BROADCAST_BYTES)
     in_bucket = Window.partitionBy(bucket).orderBy(digest, *natural_key)
-    placed = df.withColumn(bucket, F.substring(hashed, 1, digits)).join(F.broadcast(offsets) if small else offsets, bucket)
+    if small:
+        # Digest and bucket are worked out behind the shuffle, and the offset is joined there: rows are shuffled as they are.
+        placed = df.repartition(F.substring(hashed, 1, digits)).withColumn(digest, hashed).withColumn(bucket, F.substring(digest, 1, digits))
+        placed = placed.join(F.broadcast(offsets), bucket)
+    else:
+        placed = df.withColumn(bucket, F.substring(hashed, 1, digits)).join(offsets, bucket).withColumn(digest, hashed)
     return (
-        (placed.repartition(bucket) if small else placed)
-        .withColumn(digest, hashed)  # behind the shuffle, which need not carry it
+        placed
         .withColumn(name, (F.row_number().over(in_bucket) + F.col("_offset") + start).cast(as_type))
         .drop(digest, bucket, "_offset")
         .select(name, *df.columns)

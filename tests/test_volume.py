@@ -115,3 +115,19 @@ def test_a_load_writes_what_it_pulled_once(lake, settled):
     assert continuous.load_source(run, "payment_gateway_logs", payments(lake.spark, *range(30)), incremental.LOOKBACK, False) == 30
     assert settled == {}
     assert incremental.read_merged(lake, "payment_gateway_logs").count() == 30
+
+
+def test_numbering_deals_large_tables_over_many_tasks(spark):
+    df = spark.range(0, 400_000, 1, 4).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        numbered = assign_sk(df, ["k"], "sk")
+        per_task = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(per_task) == 400_000 and len(per_task) > 28 and max(per_task) < 4 * 400_000 / 32
+    sample = "k % 40000 = 7"
+    assert rows(numbered.filter(sample)) == rows(assign_sk(df, ["k"], "sk", digits=1).filter(sample))
+    assert numbered.agg(F.min("sk"), F.max("sk"), F.countDistinct("sk")).first()[:] == (1, 400_000, 400_000)
