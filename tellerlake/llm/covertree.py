@@ -6,7 +6,7 @@ bounded size, and shards are paired unless their pivots prove that they are too
 tree has nested levels of centres with halving radii; every node knows the farthest vector below it.
 Two trees are traversed together, level by level: node pairs too far apart for their covering
 radii go, pairs near enough for all vectors below them count as linked without being opened, the
-others are opened; at the leaves the cosine itself decides. So groups of copies cost a few
+others are opened, in portions, so that few of them wait; at the leaves the cosine itself decides. So groups of copies cost a few
 node pairs, and no list of all their pairs is ever made. Each pair of shards gives the number of links
 of a vector and one vector that it is connected with; components follow from those.
 
@@ -33,8 +33,10 @@ from tellerlake.llm.search import padded
 from tellerlake.session import settle
 
 PIVOTS = 64
-SHARD_ROWS = 2048
-RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
+SHARD_ROWS = 8192
+# Small tables have smaller shards, so that there are about as many as this; vectors meet in pairs of shards.
+SHARDS, LEAST_ROWS = 8, 2048
+RADII = (0.5, 0.25, 0.125, 0.0625)  # nodes of radius 1 would rule out no other: unit vectors are at most 2 apart
 ROUNDING = 1e-5
 BLOCK = 512
 OPENED = 1 << 20
@@ -132,11 +134,18 @@ def near_pairs(a: Tree, b: Tree, level: int, i: np.ndarray, j: np.ndarray, radiu
     for x, y in zip(i[big], j[big], strict=True):
         own = a.children[level][a.bounds[level][x] : a.bounds[level][x + 1]]
         other = b.children[level][b.bounds[level][y] : b.bounds[level][y + 1]]
-        right = b.near[b.centre[low][other]].T
+        # By covering radius, so that one bound for a whole block is near to those of its pairs.
+        own, other = (z[np.argsort(t.cover[low][z], kind="stable")] for t, z in ((a, own), (b, other)))
+        right = b.near[b.centre[low][other]]
         for k in range(0, len(own), BLOCK):
-            product = a.near[a.centre[low][own[k : k + BLOCK]]] @ right
-            r, c = np.nonzero(product >= least(own[k : k + BLOCK, None], other[None, :]))
-            yield own[k + r], other[c], product[r, c]
+            left, last = a.near[a.centre[low][own[k : k + BLOCK]]], own[k : k + BLOCK][-1:]
+            for m in range(0, len(other), BLOCK):
+                product = left @ right[m : m + BLOCK].T
+                loose = np.flatnonzero(product >= least(last, other[m : m + BLOCK][-1:])[0])
+                r, c = np.divmod(loose, product.shape[1])
+                found, one, two = product.ravel()[loose], own[k + r], other[m + c]
+                keep = found >= least(one, two)
+                yield one[keep], two[keep], found[keep]
     i, j, size_a, size_b = i[~big], j[~big], size_a[~big], size_b[~big]
     pairs = np.cumsum(size_a * size_b)
     begin = 0
@@ -161,12 +170,21 @@ def dual_traversal(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndar
     same, radius, n = a is b, float(np.sqrt(2 - 2 * cosine)), len(a.unit)
     shift = 0 if same else n
     links_a, links_b, edges = np.zeros(n, np.int64), np.zeros(len(b.unit), np.int64), []
-    depth = len(a.node) - 1
-    todo = [(0, np.array([0]), np.array([0]))]
-    while todo:
-        level, i, j = todo.pop()
+    depth, held = len(a.node) - 1, 0
+
+    def connect(x: np.ndarray, y: np.ndarray) -> None:
+        nonlocal held
+        edges.append((x, y))
+        held += len(x)
+        if held > OPENED:  # of what is connected so far one edge a vector is kept
+            root = joined(shift + len(b.unit), edges)
+            edges[:], held = [(np.arange(len(root)), root)], 0
+
+    def walk(level: int, i: np.ndarray, j: np.ndarray) -> None:
+        """Node pairs are opened below in portions, so that only a bounded number of them waits on each level."""
         low = level + 1
         opened: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
         sums_a, sums_b = np.zeros(len(a.centre[low]), np.int64), np.zeros(len(b.centre[low]), np.int64)
         for x, y, product in near_pairs(a, b, level, i, j, radius):
             if low == depth:  # vectors themselves
@@ -180,22 +198,27 @@ def dual_traversal(a: Tree, b: Tree, cosine: float) -> tuple[np.ndarray, np.ndar
                 inside = apart + reach <= radius - 0.01
                 maybe = ~inside & (apart - reach <= radius + 0.01)
                 opened.append((x[maybe], y[maybe]))
+                waiting += len(opened[-1][0])
             x, y = x[inside], y[inside]
-            np.add.at(sums_a, x, b.count[low][y])
-            np.add.at(sums_b, y, a.count[low][x])
-            if same and low < depth:
-                np.subtract.at(sums_a, x[x == y], 1)
-            edges.append((a.centre[low][x], b.centre[low][y] + shift))
+            if len(x):
+                np.add.at(sums_a, x, b.count[low][y])
+                np.add.at(sums_b, y, a.count[low][x])
+                if same and low < depth:
+                    np.subtract.at(sums_a, x[x == y], 1)
+                connect(a.centre[low][x], b.centre[low][y] + shift)
+            if waiting > OPENED:
+                walk(low, *(np.concatenate(z) for z in zip(*opened, strict=True)))
+                opened, waiting = [], 0
         for t, sums, links, move in ((a, sums_a, links_a, 0), (b, sums_b, links_b, shift)):
             linked = sums > 0
             if linked.any():  # all vectors below a linked node are linked with the other node's vectors, so with its own centre's too
                 links += sums[t.node[low]]
                 at = np.flatnonzero(linked[t.node[low]])
-                edges.append((at + move, t.centre[low][t.node[low][at]] + move))
-        if opened:
-            x, y = (np.concatenate(z) for z in zip(*opened, strict=True))
-            if len(x):
-                todo.append((low, x, y))
+                connect(at + move, t.centre[low][t.node[low][at]] + move)
+        if waiting:
+            walk(low, *(np.concatenate(z) for z in zip(*opened, strict=True)))
+
+    walk(0, np.array([0]), np.array([0]))
     return links_a, links_b, edges
 
 
@@ -307,6 +330,7 @@ def linked_shards(valid: DataFrame, sample: list[list[float]], cosine: float, sh
     placed = settle(with_pivots(valid, centres), "nearest-pivots")
     seen = placed.groupBy("pivot").agg(F.count("*").alias("n"), F.max("apart").alias("far")).collect()  # at most a row per pivot
     counts, reach = {r["pivot"]: r["n"] for r in seen}, {r["pivot"]: r["far"] for r in seen}
+    shard_rows = min(shard_rows, max(LEAST_ROWS, -(-sum(counts.values()) // SHARDS)))
     plan = partners(centres, counts, reach, shard_rows, float(np.sqrt(2 - 2 * cosine)))
     groups = F.broadcast(spark.createDataFrame([p[:3] for p in plan], "pivot int, first long, number long"))
     spread = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.col("number"))

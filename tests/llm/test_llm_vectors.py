@@ -107,6 +107,39 @@ def test_clusters_at_every_scale(spark):
         assert {r.vec_id: (r.n_links, r.component_id) for r in found} == wanted
 
 
+def dense(rng, n, spread, width=16):
+    return covertree.units(rng.normal(size=(1, width)) + spread * rng.normal(size=(n, width)))
+
+
+@pytest.mark.parametrize("opened", [1 << 20, 5000])
+def test_traversal_holds_few_pairs_at_a_time(monkeypatch, opened):
+    """Where nearly every pair must be opened, results do not depend on the size of the portions, and none is much larger."""
+    rng, sizes, inner = np.random.default_rng(9), [], covertree.near_pairs
+    monkeypatch.setattr(covertree, "OPENED", opened)
+    monkeypatch.setattr(covertree, "BLOCK", 64)
+    monkeypatch.setattr(covertree, "near_pairs", lambda a, b, level, i, j, radius: sizes.append(len(i)) or inner(a, b, level, i, j, radius))
+    one, two = dense(rng, 700, 0.3), dense(rng, 500, 0.3)
+    two[:40] = one[:40]
+    a, b = (covertree.Tree(x, covertree.tree(x.astype(np.float32))) for x in (one, two))
+    linked = one @ two.T >= 0.9
+    links_a, links_b, edges = covertree.dual_traversal(a, b, 0.9)
+    assert linked.any() and (links_a == linked.sum(axis=1)).all() and (links_b == linked.sum(axis=0)).all()
+    root = covertree.joined(1200, edges)
+    assert (root == covertree.joined(1200, [(i, j + 700) for i, j in [np.nonzero(linked)]])).all()
+    own = one @ one.T >= 0.9
+    np.fill_diagonal(own, False)
+    assert (covertree.dual_traversal(a, a, 0.9)[0] == own.sum(axis=1)).all()
+    assert max(sizes) <= opened + 64 * 64
+
+
+def test_far_vectors_are_ruled_out_by_block():
+    """Vectors without structure: few pairs are looked at one by one, and shards are so large that each meets few others."""
+    rng = np.random.default_rng(10)
+    a, b = (covertree.Tree(x, covertree.tree(x.astype(np.float32))) for x in (covertree.units(rng.normal(size=(600, 64))) for _ in "ab"))
+    opened = sum(len(x) for x, _, _ in covertree.near_pairs(a, b, 0, np.array([0]), np.array([0]), float(np.sqrt(0.2))))
+    assert opened < 600 * 600 // 100 and covertree.SHARD_ROWS >= 8192
+
+
 def test_levels_are_nested_and_cover():
     rng = np.random.default_rng(4)
     unit = covertree.units(np.concatenate([rng.normal(size=(80, 3)), np.repeat(rng.normal(size=(1, 3)), 20, axis=0)]))
