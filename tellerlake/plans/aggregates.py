@@ -82,7 +82,21 @@ def agg_monthly_summary(fact: DataFrame, dim_branch: DataFrame, run_ts: datetime
 
 def monthly_rows(accounts: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
     """Aggregate rows of measures rolled up to branch, month and account."""
-    counted = accounts.withColumn("active_accounts", F.lit(1).cast("bigint"))
+    return named_months(accounts.withColumn("active_accounts", F.lit(1).cast("bigint")), dim_branch, run_ts)
+
+
+def monthly_cells(cells: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
+    """:func:`monthly_rows` of measures in finer cells: sums and accounts are taken apart, so that accounts are shuffled without sums."""
+    keys = ["branch_sk", "year_month"]
+    sums = roll(cells, keys, SUMS).withColumn("active_accounts", F.lit(0).cast("bigint"))
+    accounts = cells.select(*keys, "account_sk").distinct().select(
+        *keys, *[F.lit(None).cast(sums.schema[c].dataType).alias(c) for c in SUMS], F.lit(1).cast("bigint").alias("active_accounts")
+    )
+    return named_months(sums.unionByName(accounts), dim_branch, run_ts)
+
+
+def named_months(counted: DataFrame, dim_branch: DataFrame, run_ts: datetime) -> DataFrame:
+    """Aggregate rows of measures and numbers of accounts (active_accounts) per branch and month."""
     per_month = roll(counted, ["branch_sk", "year_month"], [*SUMS, "active_accounts"])
     named = keyed_join(per_month, dim_branch.select("branch_sk", "branch_code", "branch_name"), ["branch_sk"], spread=False)
     out = named.withColumns(

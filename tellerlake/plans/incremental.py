@@ -14,7 +14,7 @@ from tellerlake.operators.windows import latest
 from tellerlake.plans.silver import SPEC, SilverResult, build_silver
 from tellerlake.session import settle
 from tellerlake.sources.lake import Lake
-from tellerlake.sources.parts import bucket
+from tellerlake.sources.parts import bucket, plenty
 from tellerlake.sources.state import LOAD_POLICY, high_water, incremental, update_watermark
 
 # How far behind the mark rows may arrive late.
@@ -56,7 +56,8 @@ def merge_batch(lake: Lake, source: str, batch: DataFrame, present: DataFrame |
         touched |= entry.parts
     target = table.read(touched, entry) if entry.version else lake.spark.createDataFrame([], batch.schema)
     if load_type in APPENDED:
-        return table.append(new_rows(target, batch, pk, [column]), part, notes).rows - entry.rows
+        placed = plenty(lake.spark, batch.count(), notes["buckets"])
+        return table.append(new_rows(target, batch, pk, [column]), part, notes, placed).rows - entry.rows
     order = [column] if column else pk
     if load_type == "FULL_MERGE" and entry.version:
         # A full snapshot replaces known rows; keys it no longer has stay, marked inactive.

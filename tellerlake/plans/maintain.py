@@ -38,7 +38,7 @@ from tellerlake.plans.aggregates import SPANS, SUMS, roll, transaction_measures
 from tellerlake.schemas import CATALOG
 from tellerlake.session import in_parallel, settle, settle_keys
 from tellerlake.sources.lake import Lake
-from tellerlake.sources.parts import NO_PART, Entry, PartTable, bucket
+from tellerlake.sources.parts import NO_PART, Entry, PartTable, bucket, plenty
 from tellerlake.sources.state import LOAD_POLICY
 
 Gold = dict[str, DataFrame]
@@ -47,6 +47,8 @@ Gold = dict[str, DataFrame]
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
 ACCOUNT = ["branch_sk", "customer_sk", "account_sk"]
 _OF = "of"
+# So many rows of a part go to one task where rows are dealt for a grouping within parts.
+DEALT_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -189,15 +191,20 @@ FACTS = {
 }
 
 
+def contents(spec: Fact, columns: list[str], known: Entry) -> Column:
+    """Fingerprint of a row's content, as bytes; a ledger that has it as text goes on so."""
+    digest = row_hash(*[c.name for c in CATALOG[spec.source] if c.name in columns])
+    return digest if known.version and known.schema["digest"].dataType.typeName() == "string" else F.unhex(digest)
+
+
 def arrivals(k: Keeper, spec: Fact, ledger: PartTable, known: Entry, loads: DataFrame) -> DataFrame:
     """Rows of new loads that are new or differ from what the ledger knows of them, with what it knows (_known).
 
     ``loads`` are written rows. Only keys and fingerprints of rows that the ledger may know are shuffled.
     """
     batch = one_each(loads, spec.key, ["load_timestamp"])
-    contents = [c.name for c in CATALOG[spec.source] if c.name in batch.columns]
-    batch = batch.withColumn("_content", row_hash(*contents))
-    unknown = F.lit(None).cast(f"struct<seq:bigint,{spec.sk}:bigint,home:string,digest:string>")
+    batch = batch.withColumn("_content", contents(spec, batch.columns, known))
+    unknown = F.lit(None).cast(f"struct<seq:bigint,{spec.sk}:bigint,home:string,digest:{batch.schema['_content'].dataType.simpleString()}>")
     if not known.version:
         return batch.withColumn("_known", unknown)
     known_as = F.struct("seq", spec.sk, "home", "digest")
@@ -205,8 +212,10 @@ def arrivals(k: Keeper, spec: Fact, ledger: PartTable, known: Entry, loads: Data
     # The first load of a ledger has every key once.
     newest = mine.select(*spec.key, known_as.alias("_known")) if known.version == 1 else mine.groupBy(*spec.key).agg(F.max(known_as).alias("_known"))
     keyed, keyless = batch.filter(~without_key(spec.key)), batch.filter(without_key(spec.key)).withColumn("_known", unknown)
-    compared = keyed.select(*spec.key, "_content").join(newest, spec.key, "left")
-    differ = settle(compared.filter(F.col("_known").isNull() | (F.col("_known.digest") != F.col("_content"))).drop("_content"), "differ")
+    # Keys and fingerprints are compared; what else the ledger knows is looked up for the few rows that differ.
+    compared = keyed.select(*spec.key, "_content").join(newest.select(*spec.key, F.col("_known.digest").alias("_digest")), spec.key, "left")
+    unlike = settle_keys(compared.filter(F.col("_digest").isNull() | (F.col("_digest") != F.col("_content"))).select(*spec.key))
+    differ = settle(unlike.join(settle(with_keys(newest, unlike, spec.key), "differ"), spec.key, "left"), "differ-known")
     return settle(keyed_join(keyed, differ, spec.key, "inner", spread=False).unionByName(keyless), "changed")
 
 
@@ -274,7 +283,9 @@ def keep_fact(k: Keeper, name: str, gold: Gold) -> None:
     top = max(held.notes.get("top", 0), known.notes.get("top", 0))
     fresh = assign_sk(changed.filter("_known IS NULL"), spec.key, spec.sk, start=top)
     corrected = changed.filter("_known IS NOT NULL").withColumn(spec.sk, F.col(f"_known.{spec.sk}"))
-    numbered = fresh.unionByName(corrected).withColumn("_was", F.col("_known.home")).drop("_known")
+    # Fingerprints of new rows are worked out again behind the shuffle of the numbering rather than sent through it.
+    digest = contents(spec, changed.columns, known)
+    numbered = fresh.drop("_content").unionByName(corrected.drop("_content")).withColumn("_content", digest).withColumn("_was", F.col("_known.home")).drop("_known")
     if spec.parent:
         numbered = numbered.withColumn("_names", F.col(spec.names_by))
         if not broadcastable(current(gold[spec.parent]).select(spec.names_by, spec.parent_sk, *spec.brings)):
@@ -298,7 +309,7 @@ def keep_fact(k: Keeper, name: str, gold: Gold) -> None:
         if spec.brings:
             k.table("fact_owners").replace(owners, "all", {"all"})
     entry = written.select(*spec.key, spec.sk, "home", F.col("_content").alias("digest"), F.lit(known.version + 1).cast("bigint").alias("seq"))
-    ledger.append(entry, bucket(spec.key, buckets), {_OF: arrived.version, "top": top, "buckets": buckets})
+    ledger.append(entry, bucket(spec.key, buckets), {_OF: arrived.version, "top": top, "buckets": buckets}, plenty(k.lake.spark, kept.count(), buckets))
 
 
 def keep_unresolved(k: Keeper, name: str, written: DataFrame, found: DataFrame | None, buckets: int) -> None:
@@ -322,12 +333,27 @@ def keep_unresolved(k: Keeper, name: str, written: DataFrame, found: DataFrame |
 # --- aggregates -------------------------------------------------------------------------------
 
 
-def follow(k: Keeper, name: str, upstream: PartTable, make: Callable[[DataFrame], DataFrame], part: Column) -> None:
-    """A table whose parts are made from the same parts of another one."""
+def rolled_in_parts(rows: DataFrame, slices: int, part: Column, keys: list[str], sums: list[str], maxima: list[str] = []) -> DataFrame:
+    """:func:`roll` by keys that a part follows from: rows go once, as they are, to the task that groups them and writes their part.
+
+    Each part is dealt over ``slices`` tasks by all keys, so that an account with very many rows is spread by its days.
+    """
+    deal = F.pmod(F.xxhash64(*keys), F.lit(slices))
+    dealt = rows.withColumns({"_home": part, "_slice": deal}).repartition("_home", "_slice")
+    return roll(dealt, ["_home", "_slice", *keys], sums, maxima).drop("_home", "_slice")
+
+
+def follow(k: Keeper, name: str, upstream: PartTable, make: Callable[[DataFrame, int], DataFrame], part: Column, placed: bool = True) -> None:
+    """A table whose parts are made from the same parts of another one.
+
+    ``make`` also gets the number of tasks over which the largest of these parts is to be dealt; with ``placed`` it leaves rows there.
+    """
     table = k.table(name)
     _, new, touched = changed_parts(upstream, table.entry().notes.get(_OF, 0))
     if touched or not table.entry().version:
-        table.replace(make(upstream.read(touched, new)), part, touched, {_OF: new.version})
+        sizes = [sum(n for p, _, n in new.folders if p == one) for one in touched]
+        slices = -(-max(sizes, default=1) // DEALT_ROWS) or 1
+        table.replace(make(upstream.read(touched, new), slices), part, touched, {_OF: new.version}, placed)
 
 
 def keep_monthly(k: Keeper, cube: PartTable, dim_branch: DataFrame) -> None:
@@ -347,9 +373,7 @@ def keep_monthly(k: Keeper, cube: PartTable, dim_branch: DataFrame) -> None:
         if not months:
             return
     rows = cube.read(lambda p: p[:7] in months, new).withColumn("year_month", F.date_format("txn_date", "yyyy-MM"))
-    accounts = roll(rows, ["branch_sk", "year_month", "account_sk"], SUMS)
-    monthly = aggregates.monthly_rows(accounts, dim_branch, k.run_ts)
-    table.replace(monthly, F.coalesce("year_month", F.lit(NO_PART)), months, {_OF: new.version})
+    table.replace(aggregates.monthly_cells(rows, dim_branch, k.run_ts), F.coalesce("year_month", F.lit(NO_PART)), months, {_OF: new.version})
 
 
 def difference(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -457,18 +481,20 @@ def keep_aggregates(k: Keeper, gold: Gold) -> None:
     """All aggregates of the transaction fact."""
     fact, cube = k.table("fact_transactions"), k.table("daily_cube")
 
-    def measured(rows: DataFrame) -> DataFrame:
-        spans = {"maxima": ["largest"], "minima": []}
+    def measured(rows: DataFrame, slices: int) -> DataFrame:
         counted = transaction_measures(rows).withColumn("rows", F.lit(1).cast("bigint"))
-        cells = roll(counted, [*ACCOUNT, "txn_date"], [*SUMS, "rows"], **spans)
+        cells = rolled_in_parts(counted, slices, k.home("txn_date"), [*ACCOUNT, "txn_date"], [*SUMS, "rows"], ["largest"])
         return cells.withColumns({"first_date": F.col("txn_date"), "last_date": F.col("txn_date")})
 
-    def daily(rows: DataFrame) -> DataFrame:
-        return aggregates.daily_rows(roll(rows, ["account_sk", "txn_date"], SUMS), gold["dim_account"], k.run_ts)
+    named = broadcastable(gold["dim_account"].select("account_sk", "account_id"))
+
+    def daily(rows: DataFrame, slices: int) -> DataFrame:
+        days = rolled_in_parts(rows, slices, k.home("txn_date"), ["account_sk", "txn_date"], SUMS)
+        return aggregates.daily_rows(days, gold["dim_account"], k.run_ts)
 
     follow(k, "daily_cube", fact, measured, k.home("txn_date"))
     in_parallel({
-        "days": lambda: follow(k, "agg_daily_balances", cube, daily, k.home("txn_date")),
+        "days": lambda: follow(k, "agg_daily_balances", cube, daily, k.home("txn_date"), named),
         "months": lambda: keep_monthly(k, cube, gold["dim_branch"]),
         "totals": lambda: keep_totals(k, cube),
         "customer_days": lambda: keep_days(k, cube),

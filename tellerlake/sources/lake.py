@@ -56,7 +56,7 @@ class Lake:
 
     def append(self, df: DataFrame, zone: str, table: str, partition_by: list[str] | None = None) -> str:
         path = self.path(zone, table)
-        df.write.mode("append").option("compression", "snappy").partitionBy(*(partition_by or [])).parquet(path)
+        df.write.mode("append").option("compression", "zstd").partitionBy(*(partition_by or [])).parquet(path)
         return path
 
     def overwrite(self, df: DataFrame, zone: str, table: str, partition_by: list[str] | None = None) -> str:
@@ -65,7 +65,7 @@ class Lake:
         A repeated run of the same load date replaces its own output.
         """
         path = self.path(zone, table)
-        writer = df.write.mode("overwrite").option("compression", "snappy")
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
         writer.parquet(path)
@@ -90,7 +90,7 @@ class Lake:
         """Write a new unpublished version; returns its name and its rows as read back."""
         version = uuid.uuid4().hex
         path = f"{self.path(zone, table)}/version={version}"
-        df.write.option("compression", "snappy").parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return version, self.spark.read.parquet(path).count()
 
     def publish(self, zone: str, table: str, version: str, rows: int) -> None:

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 PART = "_part"
 NO_PART = "none"
+# A task that has so many rows for each part writes its own file of the part; fewer are first brought together.
+FILE_ROWS = 10_000
 
 
 class VersionTaken(RuntimeError):
@@ -31,6 +33,11 @@ def bucket(key: list[str], buckets: int) -> Column:
     return F.lpad(F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key]), F.lit(buckets)).cast("string"), 6, "0")
 
 
+def plenty(spark: SparkSession, rows: int, parts: int) -> bool:
+    """Whether every task of a load of ``rows`` rows has enough of them for a file of its own in each of ``parts`` parts."""
+    return rows >= FILE_ROWS * parts * spark.sparkContext.defaultParallelism
+
+
 def part_name(*cols: str) -> Column:
     return F.concat_ws("~", *[F.coalesce(F.col(c).cast("string"), F.lit(NO_PART)) for c in cols])
 
@@ -124,29 +131,31 @@ class PartTable:
         folders = [f"{self.path}/{folder}" for part, folder, _ in entry.folders if wanted is None or wanted(part)]
         return self.spark.read.schema(entry.schema).parquet(*folders) if folders else self.spark.createDataFrame([], entry.schema)
 
-    def replace(self, df: DataFrame, part: Column | str, owned: Iterable[str] | Callable[[str], bool] = (), notes: Mapping[str, int] | None = None) -> Entry:
+    def replace(self, df: DataFrame, part: Column | str, owned: Iterable[str] | Callable[[str], bool] = (), notes: Mapping[str, int] | None = None, placed: bool = False) -> Entry:
         """The rows of ``df`` in place of the parts they lie in and of those ``owned``, even if they bring no rows for them.
 
-        ``part`` says in which part a row lies, or names the one in which all do.
+        ``part`` says in which part a row lies, or names the one in which all do. ``placed`` rows lie in few tasks a part, or are
+        so many that each task has its own files of the parts; others are shuffled by part.
         """
         before = self.entry()
         owns = owned if callable(owned) else set(owned).__contains__
-        written = self._write(df, part)
+        written = self._write(df, part, placed)
         gone = {p for p, _, _ in written}
         kept = [f for f in before.folders if f[0] not in gone and not owns(f[0])]
         return self._publish(before, kept + written, df.schema, notes)
 
-    def append(self, df: DataFrame, part: Column | str, notes: Mapping[str, int] | None = None) -> Entry:
+    def append(self, df: DataFrame, part: Column | str, notes: Mapping[str, int] | None = None, placed: bool = False) -> Entry:
         """The rows of ``df`` beside those that their parts have already."""
         before = self.entry()
-        return self._publish(before, [*before.folders, *self._write(df, part)], df.schema, notes)
+        return self._publish(before, [*before.folders, *self._write(df, part, placed)], df.schema, notes)
 
-    def _write(self, df: DataFrame, part: Column | str) -> list[tuple[str, str, int]]:
+    def _write(self, df: DataFrame, part: Column | str, placed: bool = False) -> list[tuple[str, str, int]]:
         folder = f"data-{uuid.uuid4().hex}"
         path = f"{self.path}/{folder}"
         # Rows of a part meet in a few tasks, so that parts have few files; a large part is split by Spark. Rows of one part need not meet.
-        placed = df.withColumn(PART, F.lit(part)) if isinstance(part, str) else df.withColumn(PART, part).hint("rebalance", PART)
-        placed.write.option("compression", "snappy").partitionBy(PART).parquet(path)
+        marked = df.withColumn(PART, F.lit(part) if isinstance(part, str) else part)
+        gathered = marked if placed or isinstance(part, str) else marked.hint("rebalance", PART)
+        gathered.write.option("compression", "zstd").partitionBy(PART).parquet(path)
         names = [n for n in children(self.spark, path) if n.startswith(f"{PART}=")]
         if not names:
             return []

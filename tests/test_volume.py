@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from tellerlake.operators.keys import assign_sk
 from tellerlake.operators.merge import new_rows, one_each
 from tellerlake.operators.windows import latest
-from tellerlake.plans import continuous, incremental, maintain, silver
+from tellerlake.plans import aggregates, continuous, incremental, maintain, silver
 from tellerlake.plans.silver import SPEC, build_silver
+from tellerlake.sources import parts
 from tellerlake.sources.lake import Lake
 from tellerlake.sources.parts import Entry, bucket, children
 from tests.conftest import rows
@@ -131,3 +133,57 @@ def test_numbering_deals_large_tables_over_many_tasks(spark):
     sample = "k % 40000 = 7"
     assert rows(numbered.filter(sample)) == rows(assign_sk(df, ["k"], "sk", digits=1).filter(sample))
     assert numbered.agg(F.min("sk"), F.max("sk"), F.countDistinct("sk")).first()[:] == (1, 400_000, 400_000)
+
+
+def exchanges(df):
+    df.collect()
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines() if " Exchange " in line or "- Exchange" in line]
+
+
+def test_a_large_load_is_written_where_it_lies(lake, monkeypatch):
+    table, part = lake.parts("silver", "t"), bucket(["id"], 2)
+    df = lake.spark.range(0, 1000, 1, 4)
+    assert not parts.plenty(lake.spark, 1000, 2)
+    monkeypatch.setattr(parts, "FILE_ROWS", 10)
+    assert parts.plenty(lake.spark, 1000, 2)
+    first = table.append(df, part, placed=True)
+    assert first.rows == 1000 and len(first.parts) == 2 and rows(table.read()) == rows(df)
+    for _, folder, n in first.folders:
+        assert n > 400 and len([f for f in children(lake.spark, f"{table.path}/{folder}") if f.endswith(".parquet")]) == 4  # one of each task
+
+
+def test_cells_of_a_part_are_grouped_with_one_shuffle(spark):
+    shape = "branch_sk bigint, account_sk bigint, txn_date date, volume decimal(18,2), txns bigint, largest decimal(18,2)"
+    df = spark.createDataFrame([(b, a, date(2024, m, 1) if m else None, Decimal(a * m), 1, Decimal(m)) for b in (1, None) for a in (0, 1, 2, None) if a is not None for m in range(6) for _ in "ab"], shape)
+    part, keys = F.coalesce(F.date_format("txn_date", "yyyy-MM"), F.lit("none")), ["branch_sk", "account_sk", "txn_date"]
+    for slices in (1, 3):
+        found = maintain.rolled_in_parts(df, slices, part, keys, ["volume", "txns"], ["largest"])
+        assert rows(found) == rows(aggregates.roll(df, keys, ["volume", "txns"], ["largest"]))
+        assert found.columns == [*keys, "volume", "txns", "largest"]
+        assert len(exchanges(found)) == 1
+
+
+def test_months_from_cells_equal_months_from_accounts(spark):
+    shape = "branch_sk bigint, year_month string, account_sk bigint, volume decimal(18,2), credits decimal(18,2), debits decimal(18,2), txns bigint"
+    cells = [(b, m, a, None if a == 3 else Decimal(a or 7), Decimal(1), None, 1) for b in (1, 2, None) for m in ("2024-01", None) for a in (1, 1, 2, 3, None)]
+    cells.append((4, "2024-02", 1, None, None, None, 0))
+    df = spark.createDataFrame(cells, shape)
+    branches = spark.createDataFrame([(1, "B1", "one"), (4, "B4", "four")], "branch_sk bigint, branch_code string, branch_name string")
+    now = datetime(2025, 3, 1)
+    wanted = aggregates.monthly_rows(aggregates.roll(df, ["branch_sk", "year_month", "account_sk"], aggregates.SUMS), branches, now)
+    found = aggregates.monthly_cells(df, branches, now)
+    assert rows(found) == rows(wanted) and found.schema == wanted.schema
+
+
+def test_a_ledger_of_texts_goes_on_as_texts(lake):
+    spark, spec = lake.spark, maintain.FACTS["fact_payments"]
+    keeper = maintain.Keeper(lake, datetime(2025, 3, 1), "month", 4)
+    loads = payments(spark, *range(9)).withColumn("load_timestamp", F.lit(datetime(2025, 3, 1)))
+    first = maintain.arrivals(keeper, spec, lake.parts("gold", "keys"), Entry(), loads)
+    assert first.schema["_content"].dataType.typeName() == "binary"
+    ledger = lake.parts("gold", "keys")
+    shown = first.select("txn_id", F.col("txn_id").alias("payment_sk"), F.lit("2024-01").alias("home"), F.lower(F.hex("_content")).alias("digest"), F.lit(1).cast("bigint").alias("seq"))
+    ledger.append(shown, bucket(["txn_id"], 4), {"buckets": 4})
+    assert maintain.arrivals(keeper, spec, ledger, ledger.entry(), loads).count() == 0
+    changed = maintain.arrivals(keeper, spec, ledger, ledger.entry(), payments(spark, 3, ms=6).withColumn("load_timestamp", F.lit(datetime(2025, 3, 2))))
+    assert rows(changed, "txn_id", "_known.payment_sk") == [(3, 3)] and changed.schema["_content"].dataType.typeName() == "string"
