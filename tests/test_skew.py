@@ -8,8 +8,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tellerlake import session
 from tellerlake.operators.joins import asof_dim
-from tellerlake.operators.skew import COPIES, frame_bytes, hot_keys, keyed_join, row_salt
+from tellerlake.operators.skew import COPIES, broadcastable, frame_bytes, hot_keys, keyed_join, row_salt
 from tests.conftest import rows
 
 
@@ -73,3 +74,21 @@ def test_as_of_join_does_not_shuffle_the_facts(spark):
     fact, dim, _, _ = versions_and_facts(spark)
     plan = asof_dim(fact, dim, ["k"], "ts", ["name"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Window" not in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize(("heap", "fits"), [(750 << 20, False), (8 << 30, True)])
+def test_tables_sent_to_all_tasks_fit_the_heap_of_the_driver(spark, monkeypatch, heap, fits):
+    monkeypatch.setattr(session, "driver_heap", lambda _: heap, raising=False)
+    one = spark.range(1_000_000).withColumn("v", F.col("id"))  # 16 MB
+    assert broadcastable(one) == fits
+    plan = keyed_join(spark.range(10), one, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == fits
+
+
+def test_a_set_limit_of_broadcasts_holds(spark, monkeypatch):
+    monkeypatch.setattr(session, "driver_heap", lambda _: 750 << 20, raising=False)
+    spark.conf.set("tellerlake.broadcast.maxBytes", "64000000")
+    try:
+        assert broadcastable(spark.range(1_000_000))
+    finally:
+        spark.conf.unset("tellerlake.broadcast.maxBytes")
