@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conformance import mapping
 from conformance.workspace import CALENDAR, Workspace
+from tellerlake.operators.skew import keyed_join
 from tellerlake.plans import nightly
 from tellerlake.plans.continuous import run_incremental_night
 from tellerlake.plans.incremental import incremental_run, read_merged
@@ -70,14 +71,14 @@ def second_run(w: Workspace) -> DataFrame:
     _, gold, _ = two_nights(w)
     out = gold["fact_transactions"]
     for dim, sk, key in (("dim_account", "account_sk", "account_id"), ("dim_customer", "customer_sk", "customer_id"), ("dim_branch", "branch_sk", "branch_code")):
-        out = out.join(gold[dim].filter("is_current = 1").select(sk, key), sk, "left")
+        out = keyed_join(out, gold[dim].filter("is_current = 1").select(sk, key), [sk])
     return out.select("txn_id", "account_id", "customer_id", "branch_code", "date_sk", "amount", "debit_amount", "credit_amount", "txn_date", "status")
 
 
 def second_customers(w: Workspace) -> DataFrame:
     _, gold, _ = two_nights(w)
     known = gold["dim_customer"].filter("is_current = 1").select("customer_sk", "customer_id", F.col("branch_code").alias("home_branch"))
-    return gold["agg_customer_360"].join(known, "customer_sk", "left").drop("customer_sk")
+    return keyed_join(gold["agg_customer_360"], known, ["customer_sk"], spread=False).drop("customer_sk")
 
 
 def written_parts(w: Workspace) -> DataFrame:

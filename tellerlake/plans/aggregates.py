@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerlake.functions.measures import mean2
-from tellerlake.operators.skew import keyed_join
+from tellerlake.operators.skew import SHUFFLED, keyed_join
 from tellerlake.plans.dims import columns_of
 
 # Content of agg_type.
@@ -151,7 +151,7 @@ def agg_customer_360(fact: DataFrame, run_ts: datetime) -> DataFrame:
 def customer_rows(accounts: DataFrame, days: DataFrame, run_ts: datetime) -> DataFrame:
     """Aggregate rows of measures rolled up to customer and account, and the days of each customer."""
     totals = roll(accounts.withColumn("accounts", F.lit(1).cast("bigint")), ["customer_sk"], [*SUMS, "accounts"], **SPANS)
-    joined = totals.join(days, "customer_sk")
+    joined = totals.join(days.hint(SHUFFLED), "customer_sk")
     out = joined.withColumns(
         {
             "lifetime_txn_volume": F.col("volume"),

@@ -247,7 +247,7 @@ def moved_parts(k: Keeper, spec: Fact, gold: Gold) -> set[str]:
     if not spec.brings or not owners.entry().version:
         return set()
     now = current(gold[spec.parent]).select(spec.parent_sk, F.struct(*spec.brings).alias("_now"))
-    joined = owners.read().join(now, spec.parent_sk)
+    joined = keyed_join(owners.read(), now, [spec.parent_sk], "inner", spread=False)
     moved = settle_keys(joined.filter(F.struct(*spec.brings) != F.col("_now")).select(spec.parent_sk))
     if moved.isEmpty():
         return set()

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from conformance import nights
 from tellerlake import session
 from tellerlake.operators.joins import asof_dim
 from tellerlake.operators.skew import COPIES, broadcastable, frame_bytes, hot_keys, keyed_join, row_salt
@@ -92,3 +93,29 @@ def test_a_set_limit_of_broadcasts_holds(spark, monkeypatch):
         assert broadcastable(spark.range(1_000_000))
     finally:
         spark.conf.unset("tellerlake.broadcast.maxBytes")
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_a_table_beyond_the_limit_is_not_broadcast_by_its_compressed_files(spark, tmp_path, how):
+    spark.range(500_000).withColumn("v", F.lit(1)).write.option("compression", "zstd").parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")  # some 8 MB of rows in 2 MB of files
+    spark.conf.set("tellerlake.broadcast.maxBytes", "1000000")
+    try:
+        plan = keyed_join(spark.range(600_000), one, ["id"], how)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("tellerlake.broadcast.maxBytes")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_names_of_the_second_night_are_looked_up_by_measured_size(tight, monkeypatch):
+    large = {n: tight.range(1, 20).select(F.col("id").cast("int").alias(f"{n}_sk"), F.col("id").alias(key), F.lit("BR001").alias("branch_code"), F.lit(1).alias("is_current")) for n, key in (("account", "account_id"), ("customer", "customer_id"))}
+    gold = {f"dim_{n}": df for n, df in large.items()} | {"dim_branch": tight.range(1, 3).select(F.col("id").alias("branch_sk"), F.lit("BR001").alias("branch_code"), F.lit(1).alias("is_current"))}
+    gold["agg_customer_360"] = tight.range(5).select(F.col("id").cast("int").alias("customer_sk"), "id")
+    fact = tight.range(9).select(F.col("id").alias("txn_id"), F.col("id").cast("int").alias("account_sk"), F.col("id").cast("int").alias("customer_sk"), F.lit(1).alias("branch_sk"))
+    gold["fact_transactions"] = fact.withColumns({c: F.lit(1) for c in ("date_sk", "amount", "debit_amount", "credit_amount", "txn_date", "status")})
+    measured = []
+    monkeypatch.setattr(nights, "two_nights", lambda w: (None, gold, set()))
+    monkeypatch.setattr(nights, "keyed_join", lambda many, one, on, **more: measured.append(on) or keyed_join(many, one, on, **more), raising=False)
+    assert nights.second_run(None).filter("txn_id > 0 AND account_id = customer_id").count() == 8
+    assert nights.second_customers(None).filter("home_branch IS NULL").count() == 1
+    assert measured == [["account_sk"], ["customer_sk"], ["branch_sk"], ["customer_sk"]]
